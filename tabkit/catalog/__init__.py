@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabkit.catalog.registry import QUERIES, SQL
 
-SECTIONS = ("scalars", "gaps", "joining")
+SECTIONS = ("statistics", "pages", "encoding")
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
