@@ -6,19 +6,21 @@ import time
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.columns import ref, replace_columns
 from tabkit.functions.draws import fold_by_key, normal_by_key
 
 SEED = 42
+FOLD = "_fold"
+LEADERBOARD = "place int, model string, metric string, value double, seconds double, params string"
 
 CLASSIFIERS: dict[str, Callable] = {
     "logreg": LogisticRegression,
@@ -43,7 +45,7 @@ def make_pipeline(kind: str, cols: Sequence[str], label: str, before: Sequence =
     """Preparing stages, vector assembly and one classifier."""
     model = CLASSIFIERS[kind](labelCol=label, featuresCol="features", **params)
     if model.hasParam("seed"):
-        model.set("seed", SEED)
+        model.set(model.getParam("seed"), SEED)
     return Pipeline(stages=[*before, VectorAssembler(inputCols=list(cols), outputCol="features"), model])
 
 
@@ -70,41 +72,57 @@ class FoldedCrossValidator(CrossValidator):
         return [(dataset.filter(fold != i), dataset.filter(fold == i)) for i in range(self.getNumFolds())]
 
 
-def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str, key: str, folds: int = 5,
-                   metric: str = "auc", parallelism: int = 4) -> tuple[CrossValidatorModel, dict]:
-    """Grid search over folds fixed by the row key. Returns the fitted model and the best parameters with their score."""
-    with_fold = df.withColumn("_fold", fold_by_key(ref(key), folds))
-    search = FoldedCrossValidator(estimator=pipeline, estimatorParamMaps=param_grid(pipeline, grid), numFolds=folds,
-                                  evaluator=evaluator(metric, label), foldCol="_fold", parallelism=parallelism, seed=SEED)
-    fitted = search.fit(with_fold)
+def with_folds(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
+    """Add the fold number of every row, fixed by its key."""
+    return df.withColumn(FOLD, fold_by_key(ref(key), folds))
+
+
+def grid_search(pipeline: Pipeline, grid: dict[str, list], label: str, folds: int = 5, metric: str = "auc",
+                parallelism: int = 4) -> CrossValidator:
+    """Estimator that picks the best parameters over the folds of ``with_folds``."""
+    return FoldedCrossValidator(estimator=pipeline, estimatorParamMaps=param_grid(pipeline, grid), numFolds=folds,
+                                evaluator=evaluator(metric, label), foldCol=FOLD, parallelism=parallelism, seed=SEED)
+
+
+def best_params(fitted: CrossValidatorModel) -> tuple[float, dict]:
+    """Cross-validated score of the winning parameters, and the parameters by name."""
     best = max(range(len(fitted.avgMetrics)), key=fitted.avgMetrics.__getitem__)
-    chosen = {p.name: v for p, v in search.getEstimatorParamMaps()[best].items()}
-    return fitted, {"score": fitted.avgMetrics[best], "params": chosen}
+    return float(fitted.avgMetrics[best]), {p.name: v for p, v in fitted.getEstimatorParamMaps()[best].items()}
+
+
+def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str, key: str, folds: int = 5,
+                   metric: str = "auc") -> tuple[CrossValidatorModel, float, dict]:
+    """Grid search over keyed folds: the fitted model, its score and its parameters."""
+    fitted = grid_search(pipeline, grid, label, folds, metric).fit(with_folds(df, key, folds))
+    return fitted, *best_params(fitted)
 
 
 def oof_predictions(df: DataFrame, pipeline: Pipeline, key: str, folds: int = 5) -> DataFrame:
     """Prediction of every row by a model that has not seen its fold."""
-    with_fold = df.withColumn("_fold", fold_by_key(ref(key), folds))
+    folded = with_folds(df, key, folds)
     parts = []
     for fold in range(folds):
-        fitted = pipeline.fit(with_fold.filter(F.col("_fold") != fold))
-        parts.append(fitted.transform(with_fold.filter(F.col("_fold") == fold)))
+        fitted = pipeline.fit(folded.filter(F.col(FOLD) != fold))
+        parts.append(fitted.transform(folded.filter(F.col(FOLD) == fold)))
     return reduce(DataFrame.unionByName, parts)
 
 
-def leaderboard(spark: SparkSession, train: DataFrame, test: DataFrame, contestants: dict[str, Pipeline], label: str,
+def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estimator], label: str,
                 metrics: Sequence[str] = ("auc",)) -> DataFrame:
     """Fit every contestant, score all on the same test rows by the same metrics, and record the seconds taken."""
     train, test = train.persist(), test.persist()
     rows = []
-    for place, (name, pipeline) in enumerate(contestants.items()):
+    for place, (name, contestant) in enumerate(contestants.items()):
         started = time.time()
-        scored = pipeline.fit(train).transform(test)
-        values = [(metric, evaluator(metric, label).evaluate(scored)) for metric in metrics]
-        rows += [(place, name, metric, value, time.time() - started) for metric, value in values]
+        fitted = contestant.fit(train)
+        scored = fitted.transform(test)
+        params = best_params(fitted)[1] if isinstance(fitted, CrossValidatorModel) else {}
+        values = {metric: evaluator(metric, label).evaluate(scored) for metric in metrics}
+        seconds = time.time() - started
+        rows += [(place, name, metric, value, seconds, str(params)) for metric, value in values.items()]
     train.unpersist()
     test.unpersist()
-    return spark.createDataFrame(rows, "place int, model string, metric string, value double, seconds double")
+    return train.sparkSession.createDataFrame(rows, LEADERBOARD)
 
 
 def perturbation_scores(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str,
