@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabkit.columns import long_form, ref, replace_columns
 from tabkit.functions.numbers import product, row_max, square
-from tabkit.runtime import cut_lineage
+from tabkit.runtime import settle
 
 MOST_DUMMIES = 10_000  # one-hot makes one column per value; a wider table is refused
 
@@ -31,10 +31,10 @@ def one_hot(df: DataFrame, col: str, values: Sequence | None = None) -> DataFram
 def _codes(values: DataFrame, col: str) -> DataFrame:
     """Position of every distinct value in sorted order, from 0.
 
-    Values are range-partitioned and numbered inside each range; the ranges are numbered by their sizes. The
-    checkpoint keeps the ranges fixed for both uses.
+    Values are range-partitioned and numbered inside each range; the ranges are numbered by their sizes. They are
+    stored in between, because a range computed anew could begin elsewhere.
     """
-    ranged = cut_lineage(values.repartitionByRange(ref(col)).withColumn("_range", F.spark_partition_id()))
+    ranged = settle(values.repartitionByRange(ref(col)).withColumn("_range", F.spark_partition_id()))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.withColumn("_start", F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).drop("_n")
     inside = F.row_number().over(W.partitionBy("_range").orderBy(ref(col))) - 1

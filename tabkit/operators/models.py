@@ -49,13 +49,18 @@ def make_pipeline(kind: str, cols: Sequence[str], label: str, before: Sequence =
     return Pipeline(stages=[*before, VectorAssembler(inputCols=list(cols), outputCol="features"), model])
 
 
-def evaluator(metric: str, label: str):
-    """Area under the ROC curve ("auc") or share of right predictions ("accuracy")."""
+def evaluator(metric: str, label: str, score: str = "rawPrediction"):
+    """Area under the ROC curve of a score column ("auc") or share of right predictions ("accuracy")."""
     if metric == "auc":
-        return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC")
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
+def score_column(classifier) -> str:
+    """The probability where a model gives one: the raw prediction of a single tree is a row count, not a score."""
+    return "probability" if classifier.hasParam("probabilityCol") else "rawPrediction"
+
+
 def param_grid(pipeline: Pipeline, grid: dict[str, list]) -> list:
     classifier = pipeline.getStages()[-1]
     builder = ParamGridBuilder()
@@ -81,7 +86,7 @@ def grid_search(pipeline: Pipeline, grid: dict[str, list], label: str, folds: in
                 parallelism: int = 4) -> CrossValidator:
     """Estimator that picks the best parameters over the folds of ``with_folds``."""
     return FoldedCrossValidator(estimator=pipeline, estimatorParamMaps=param_grid(pipeline, grid), numFolds=folds,
-                                evaluator=evaluator(metric, label), foldCol=FOLD, parallelism=parallelism, seed=SEED)
+                                evaluator=evaluator(metric, label, score_column(pipeline.getStages()[-1])), foldCol=FOLD, parallelism=parallelism, seed=SEED)
 
 
 def best_params(fitted: CrossValidatorModel) -> tuple[float, dict]:
@@ -117,7 +122,8 @@ def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estima
         fitted = contestant.fit(train)
         scored = fitted.transform(test)
         params = best_params(fitted)[1] if isinstance(fitted, CrossValidatorModel) else {}
-        values = {metric: evaluator(metric, label).evaluate(scored) for metric in metrics}
+        score = "probability" if "probability" in scored.columns else "rawPrediction"
+        values = {metric: evaluator(metric, label, score).evaluate(scored) for metric in metrics}
         seconds = time.time() - started
         rows += [(place, name, metric, value, seconds, str(params)) for metric, value in values.items()]
     train.unpersist()

@@ -40,9 +40,10 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     upto = counts.withColumn("_upto", F.sum("_in").over(by_label.orderBy("_slice")))
     upto = upto.withColumn("_take", F.floor(F.sum("_in").over(by_label) * ratio + 0.5))
     edge = upto.filter((F.col("_take") > F.col("_upto") - F.col("_in")) & (F.col("_take") <= F.col("_upto")))
-    edge = edge.select("_label", "_slice", (F.col("_take") - F.col("_upto") + F.col("_in")).alias("_rank"))
+    edge = edge.select(F.col("_label").alias("_edge_label"), F.col("_slice").alias("_edge_slice"), (F.col("_take") - F.col("_upto") + F.col("_in")).alias("_rank"))
     in_order = F.row_number().over(W.partitionBy("_label").orderBy("_u", "_key"))
-    last = (in_slice.join(edge, ["_label", "_slice"]).withColumn("_row", in_order)
+    at_edge = F.col("_label").eqNullSafe(F.col("_edge_label")) & (F.col("_slice") == F.col("_edge_slice"))
+    last = (in_slice.join(edge, at_edge).withColumn("_row", in_order)
             .filter(F.col("_row") == F.col("_rank"))
             .select("_label", F.struct("_u", "_key").alias("_last")))
     joined = drawn.join(last, ref(label).eqNullSafe(F.col("_label")), "left")

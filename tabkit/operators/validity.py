@@ -42,7 +42,7 @@ def valid_rows_parse(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
-    return df.na.drop("any")
+    return drop_null_subset(df, df.columns)
 
 
 def drop_null_subset(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -50,7 +50,11 @@ def drop_null_subset(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def drop_rows_thresh(df: DataFrame, min_non_null: float, cols: Sequence[str] | None = None) -> DataFrame:
-    """Keep rows with at least this many non-NULL cells; a fractional bound is rounded up."""
+    """Keep rows with at least this many non-NULL cells; a fractional bound is rounded up.
+
+    ``settle`` a frame first when many of these columns were just computed: the optimizer restates a condition over
+    n columns for every combination of them with their new definitions.
+    """
     cols = cols or df.columns
     present = reduce(Column.__add__, [ref(c).isNotNull().cast("int") for c in cols])
     return df.filter(present >= math.ceil(min_non_null))

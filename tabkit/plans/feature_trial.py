@@ -13,6 +13,7 @@ from tabkit.operators import models as L
 from tabkit.operators import outliers as O
 from tabkit.operators import validity as V
 from tabkit.operators.splits import split_by_key
+from tabkit.runtime import settle
 
 # Share of test rows, outlier bound, tolerance, size and number of perturbations, confidence.
 TEST_SHARE, OUTLIER_WIDTH, TOLERANCE = 0.2, 3.0, 0.01
@@ -21,17 +22,17 @@ CHAMPION, CHALLENGERS = "production", ("max", "product")
 
 
 def clean(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Complete rows without outliers; text columns replaced by their codes."""
+    """Complete rows without outliers, text columns replaced by their codes, stored for the steps that follow."""
     df = V.drop_null_rows(df)
     df = O.outliers_zscore(df, numeric_cols(df, [key, label]), OUTLIER_WIDTH, TOLERANCE)
     text = string_cols(df, [key, label])
-    return E.label_encode(df, text).drop(*text)
+    return settle(E.label_encode(df, text).drop(*text), "clean")
 
 
 def split_and_scale(df: DataFrame, key: str, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Training and test part, both scaled by the ranges of the training part, and those ranges."""
     train, test = split_by_key(df, key, 1 - TEST_SHARE)
-    params = E.fit_minmax(train, numeric_cols(train, [key, label])).persist()
+    params = E.fit_minmax(train, numeric_cols(train, [key, label]))
     return E.apply_minmax(train, params), E.apply_minmax(test, params), params
 
 

@@ -14,6 +14,7 @@ from tabkit.operators import models as L
 from tabkit.operators import projection as P
 from tabkit.operators import validity as V
 from tabkit.operators.splits import split_by_key
+from tabkit.runtime import settle
 
 # The columns of a patient record.
 RECORD = ("age", "sex", "painloc", "painexer", "cp", "trestbps", "smoke", "fbs", "prop", "nitr", "pro", "diuretic",
@@ -29,7 +30,7 @@ HIGH_DEPRESSION, DEPRESSION = 4, 1.5
 def clean_initial(raw: DataFrame, key: str, cols: Sequence[str] = RECORD) -> DataFrame:
     """Text cells to numbers: rows with unreadable or too few cells go, a missing age becomes the most common one."""
     df = V.valid_rows_parse(P.project(raw, [key, *cols]), cols)
-    df = M.nan_to_null(P.cast_all(P.trim_strings(df), cols, "double"))
+    df = settle(M.nan_to_null(P.cast_all(P.trim_strings(df), cols, "double")), "records")
     df = V.drop_rows_thresh(df, MIN_FILLED, cols)
     return M.impute_mode(df.withColumn("age", F.col("age").try_cast("int")), ["age"])
 

@@ -30,7 +30,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tabkit/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and is never computed twice."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    What follows starts from stored columns: nothing before is computed twice or again after a lost executor,
+    later passes read only the columns they use, and the optimizer has a short plan to work on.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
