@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 from tabkit.columns import ref
 
+BROADCAST_BANDS = 50_000  # at most 300,000 narrow rows
+
 
 def join_full_outer(left: DataFrame, right: DataFrame, lcol: str, rcol: str) -> DataFrame:
-    """All rows of both sides, both key columns kept."""
-    return left.join(right, left[lcol] == right[rcol], "full_outer")
+    """All rows of both sides, both key columns kept; the sides share no column name.
+
+    Written as a left join plus the right rows whose key never occurs on the left. A full outer join always
+    shuffles both sides and cannot split a hot key; a left join broadcasts a small right side or splits hot keys
+    of the left, and the keys that occur are reduced to one each before they move.
+    """
+    matched = left.join(right, ref(lcol) == ref(rcol), "left")
+    occurring = left.select(ref(lcol).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    alone = right.join(occurring, ref(rcol) == F.col("_key"), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def join_by_row_key(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -24,8 +34,8 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
 
     The number line is cut into slots at least as wide as an average band, few enough that all bands together
     are listed under no more than six slots per band. A row lies in exactly one slot, so the join is an equality
-    join on the slot with the exact range test behind it: Spark broadcasts the bands when their size allows it
-    and otherwise shuffles both sides, splitting slots that hold very many rows.
+    join on the slot with the exact range test behind it: the counted bands are broadcast when they are few; otherwise
+    both sides are shuffled and slots that hold very many rows are split.
     """
     lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
     stats = bands.agg(F.min(lo), F.greatest(F.max(lo), F.max(hi)), F.avg(hi - lo),
@@ -42,6 +52,7 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
     own = {c: f"_band_{c}" for c in bands.columns}
     covered = F.sequence(slot(lo).cast("int"), F.coalesce(slot(hi), F.lit(last)).cast("int"))
     listed = bands.withColumn("_band_slot", F.explode(covered)).withColumnsRenamed(own)
+    listed = F.broadcast(listed) if count <= BROADCAST_BANDS else listed
     rows = df.withColumn("_slot", slot(ref(col)).cast("int"))
     condition = ((F.col("_slot") == F.col("_band_slot")) & (ref(col) >= F.col("_band_lo"))
                  & (F.col("_band_hi").isNull() | (ref(col) <= F.col("_band_hi"))))

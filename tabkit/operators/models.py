@@ -98,12 +98,14 @@ def best_params(fitted: CrossValidatorModel) -> tuple[float, dict]:
 def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str, key: str, folds: int = 5,
                    metric: str = "auc") -> tuple[CrossValidatorModel, float, dict]:
     """Grid search over keyed folds: the fitted model, its score and its parameters."""
-    fitted = grid_search(pipeline, grid, label, folds, metric).fit(with_folds(df, key, folds))
+    folded = with_folds(df, key, folds).persist()
+    fitted = grid_search(pipeline, grid, label, folds, metric).fit(folded)
+    folded.unpersist()
     return fitted, *best_params(fitted)
 
 
 def oof_predictions(df: DataFrame, pipeline: Pipeline, key: str, folds: int = 5) -> DataFrame:
-    """Prediction of every row by a model that has not seen its fold."""
+    """Prediction of every row by a model that has not seen its fold. Persist or settle ``df`` first: every fold reads it."""
     folded = with_folds(df, key, folds)
     parts = []
     for fold in range(folds):

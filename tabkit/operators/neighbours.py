@@ -14,17 +14,15 @@ from tabkit.columns import ref
 from tabkit.functions.draws import fold_by_key
 
 BLOCK_ROWS = 1_000
-CELL_BYTES = 64 * 2**20  # working memory of one distance step
 
 
 def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """Distances of every row of a to every row of b, a few rows of a at a time."""
-    step = max(1, CELL_BYTES // (8 * b.size))
-    out = np.empty((len(a), len(b)))
-    for i in range(0, len(a), step):
-        gap = a[i:i + step, None, :] - b[None, :, :]
-        out[i:i + step] = np.abs(gap).sum(axis=2) if p == 1 else np.sqrt((gap * gap).sum(axis=2))
-    return out
+    """Distances of every row of a to every row of b, summed dimension by dimension."""
+    out = np.zeros((len(a), len(b)))
+    for x, y in zip(a.T, b.T):
+        gap = x[:, None] - y[None, :]
+        out += np.abs(gap) if p == 1 else gap * gap
+    return out if p == 1 else np.sqrt(out)
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int, p: int = 2, id_col: str = "id", vec_col: str = "vec",
@@ -51,7 +49,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, p: int = 2, id_col: str
             return pd.DataFrame({"id": [], "base_id": [], "label": [], "distance": []}).astype(
                 {"id": "int64", "base_id": "int64", "label": "int64", "distance": "float64"})
         b = b.sort_values(id_col, ignore_index=True)
-        far = _distances(np.array(q[vec_col].tolist(), dtype="float64"), np.array(b[vec_col].tolist(), dtype="float64"), p)
+        far = _distances(np.stack(q[vec_col]).astype("float64"), np.stack(b[vec_col]).astype("float64"), p)
         q_ids, b_ids = q[id_col].to_numpy(), b[id_col].to_numpy()
         far[q_ids[:, None] == b_ids[None, :]] = np.inf
         first = np.argsort(far, axis=1, kind="stable")[:, :k]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,52 +17,60 @@ ACCURACY = 10_000  # a sketch quantile is at most 1/ACCURACY of the rows away fr
 SORTED_AT_ONCE = 2_000_000  # rows of a bracket that are counted value by value
 
 
-def _order_statistics(df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int]) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks. Every rank is first enclosed in a bracket [lo, hi] by sketches whose error is
-    bounded, then only the rows inside the brackets are counted by value."""
-    brackets = {(c, r): (-math.inf, math.inf) for c, rs in ranks.items() for r in rs}
-    below = dict.fromkeys(brackets, 0)
-    inside = {key: counts[key[0]] for key in brackets}
-
-    def x(c):
-        return ref(c).cast("double")
-
-    while (wide := [k for k in brackets if inside[k] > SORTED_AT_ONCE and brackets[k][0] < brackets[k][1]]):
-        sketches = []
-        for c, r in wide:
-            share, slack = (r - below[c, r]) / inside[c, r], 2.0 / ACCURACY
-            probs = [max(share - slack, 0.0), min(share + slack, 1.0)]
-            sketches.append(F.percentile_approx(_inside(x(c), *brackets[c, r]), probs, ACCURACY))
-        narrowed = dict(zip(wide, df.agg(*sketches).first()))
-        sizes = df.agg(*[f for (c, _), (lo, hi) in narrowed.items()
-                         for f in (F.count_if(x(c) < lo), F.count_if(x(c).between(lo, hi)))]).first()
-        progress = False
-        for i, (key, (lo, hi)) in enumerate(narrowed.items()):
-            progress |= sizes[2 * i + 1] < inside[key]
-            brackets[key], below[key], inside[key] = (lo, hi), sizes[2 * i], sizes[2 * i + 1]
-        if not progress:  # what is left are copies of few values
+Target = tuple[str, float]  # column and probability
+
+
+def _brackets(df: DataFrame, ranks: dict[Target, tuple[int, int]], counts: dict[str, int]) -> dict[Target, tuple[float, float, int]]:
+    """For every target a range [lo, hi] that holds both of its ranks, and the number of values below it.
+
+    Sketches with a bounded error narrow the ranges until one can be sorted at once; each round is one pass for
+    the sketches and one to count, and shrinks a range about ACCURACY / 4 times.
+    """
+    found = {t: (-math.inf, math.inf, 0) for t in ranks}
+    inside = {t: counts[t[0]] for t in ranks}
+    while wide := [t for t in ranks if inside[t] > SORTED_AT_ONCE and found[t][0] < found[t][1]]:
+        probs: dict[tuple, list[float]] = {}
+        for t in wide:
+            lo, hi, below = found[t]
+            low, high = ((r - below) / inside[t] for r in ranks[t])
+            probs.setdefault((t[0], lo, hi), []).extend([max(low - 2 / ACCURACY, 0.0), min(high + 2 / ACCURACY, 1.0)])
+        sketches = df.agg(*[F.percentile_approx(_inside(_value(c), lo, hi), ps, ACCURACY) for (c, lo, hi), ps in probs.items()]).first()
+        ends = {source: iter(values) for source, values in zip(probs, sketches)}
+        narrowed = {t: tuple(islice(ends[t[0], *found[t][:2]], 2)) for t in wide}
+        sizes = df.agg(*[f for t, (lo, hi) in narrowed.items()
+                         for f in (F.count_if(_value(t[0]) < lo), F.count_if(_value(t[0]).between(lo, hi)))]).first()
+        stuck = True
+        for i, (t, (lo, hi)) in enumerate(narrowed.items()):
+            stuck &= sizes[2 * i + 1] == inside[t]
+            found[t], inside[t] = (lo, hi, sizes[2 * i]), sizes[2 * i + 1]
+        if stuck:  # what is left are copies of few values
             break
+    return found
 
-    distinct = sorted({(c, *brackets[c, r], below[c, r]) for c, r in brackets})
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), _inside(x(c), lo, hi).alias("v"))
+
+def _order_statistics(df: DataFrame, ranks: dict[Target, tuple[int, int]], counts: dict[str, int]) -> dict[Target, tuple[float, float]]:
+    """Values at the two 0-based ranks of every target: the rows inside the brackets are counted by value."""
+    brackets = _brackets(df, ranks, counts)
+    distinct = sorted({(t[0], *bracket) for t, bracket in brackets.items()})
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), _inside(_value(c), lo, hi).alias("v"))
                       for i, (c, lo, hi, _) in enumerate(distinct)])
     by_value = (df.select(F.inline(cells)).filter(F.col("v").isNotNull())
                 .groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
-    running = by_value.withColumn("upto", F.sum("n").over(W.partitionBy("i").orderBy("v")))
-    wanted = None
-    for i, (c, lo, hi, before) in enumerate(distinct):
-        for r in ranks[c]:
-            if (brackets[c, r], below[c, r]) == ((lo, hi), before):
-                at = r - before
-                test = (F.col("i") == i) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at)
-                wanted = test if wanted is None else wanted | test
-    found = running.filter(wanted).collect()
-    result = {}
-    for c, r in brackets:
-        i = distinct.index((c, *brackets[c, r], below[c, r]))
-        at = r - below[c, r]
-        result[c, r] = next(row["v"] for row in found if row["i"] == i and row["upto"] - row["n"] <= at < row["upto"])
-    return result
+    upto = by_value.withColumn("upto", F.sum("n").over(W.partitionBy("i").orderBy("v")))
+    number = {t: distinct.index((t[0], *bracket)) for t, bracket in brackets.items()}
+    places = {(number[t], r - brackets[t][2]) for t, pair in ranks.items() for r in pair}
+    tests = [(F.col("i") == i) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at) for i, at in places]
+    rows = upto.filter(reduce(Column.__or__, tests)).collect()
+
+    def value(t, r):
+        at = r - brackets[t][2]
+        return next(row["v"] for row in rows if row["i"] == number[t] and row["upto"] - row["n"] <= at < row["upto"])
+
+    return {t: (value(t, r0), value(t, r1)) for t, (r0, r1) in ranks.items()}
+
+
+def _value(c: str) -> Column:
+    return ref(c).cast("double")
 
 
 def _inside(x: Column, lo: float, hi: float) -> Column:
@@ -72,13 +82,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     row = df.agg(*[F.count(ref(c)) for c in cols]).first()
     counts = {c: n for c, n in zip(cols, row) if n}
     at = {(c, p): p * (n - 1) for c, n in counts.items() for p in probs}
-    ranks = {c: sorted({f(at[c, p]) for p in probs for f in (math.floor, math.ceil)}) for c in counts}
-    values = _order_statistics(df, ranks, counts) if counts else {}
+    values = _order_statistics(df, {t: (math.floor(h), math.ceil(h)) for t, h in at.items()}, counts) if at else {}
 
-    def quantile(c, p):
-        if c not in counts:
+    def quantile(t):
+        if t not in values:
             return None
-        lo, hi = values[c, math.floor(at[c, p])], values[c, math.ceil(at[c, p])]
-        return lo + (hi - lo) * (at[c, p] - math.floor(at[c, p]))
+        lo, hi = values[t]
+        return lo + (hi - lo) * (at[t] - math.floor(at[t]))
 
-    return {c: [quantile(c, p) for p in probs] for c in cols}
+    return {c: [quantile((c, p)) for p in probs] for c in cols}

@@ -11,6 +11,7 @@ from tabkit.functions.draws import uniform_by_key
 
 ROWS_PER_SLICE = 100_000
 MOST_SLICES = 100_000
+BROADCAST_LABELS = 100_000  # one narrow row per label
 
 
 def split_by_key(df: DataFrame, key: str, ratio: float, salt: int | str = "split") -> tuple[DataFrame, DataFrame]:
@@ -32,7 +33,7 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     """
     drawn = df.withColumn("_u", uniform_by_key(ref(key), salt))
     per_label = drawn.groupBy(ref(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    most = per_label.agg(F.max("_n")).first()[0] or 0
+    most, labels = per_label.agg(F.coalesce(F.max("_n"), F.lit(0)), F.count(F.lit(1))).first()
     slices = min(MOST_SLICES, most // ROWS_PER_SLICE + 1)
     in_slice = drawn.select(ref(label).alias("_label"), F.floor(F.col("_u") * slices).alias("_slice"), "_u", ref(key).alias("_key"))
     counts = in_slice.groupBy("_label", "_slice").agg(F.count(F.lit(1)).alias("_in"))
@@ -46,6 +47,7 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     last = (in_slice.join(edge, at_edge).withColumn("_row", in_order)
             .filter(F.col("_row") == F.col("_rank"))
             .select("_label", F.struct("_u", "_key").alias("_last")))
+    last = F.broadcast(last) if labels <= BROADCAST_LABELS else last
     joined = drawn.join(last, ref(label).eqNullSafe(F.col("_label")), "left")
     chosen = F.coalesce(F.struct(F.col("_u"), ref(key).alias("_key")) <= F.col("_last"), F.lit(False))
     flagged = joined.withColumn("_chosen", chosen).drop("_u", "_label", "_last")

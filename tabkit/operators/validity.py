@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +18,10 @@ from tabkit.operators.projection import project
 PLAIN_NUMBER = r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 # Any text that reads as a number: padding, sign, exponent, digit groups, infinity and nan.
-DIGITS = r"[0-9](_?[0-9])*"
+DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 READABLE_NUMBER = (
-    r"^\s*[+-]?((" + DIGITS + r"(\.(" + DIGITS + r")?)?|\." + DIGITS + r")([eE][+-]?" + DIGITS + r")?"
-    r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*\z"
+    r"^\s*+[+-]?(?:(?:" + DIGITS + r"(?:\.(?:" + DIGITS + r")?)?|\." + DIGITS + r")(?:[eE][+-]?" + DIGITS + r")?"
+    r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*+\z"
 )
 
 
@@ -79,10 +80,8 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first in the stated order.
 
-    Written as an aggregate, so each task first reduces its own copies and a key that holds most of the
-    rows costs no more than any other.
+    Spark keeps the first row per key of every task before it shuffles, so a key that holds most of the rows
+    costs no more than any other.
     """
-    others = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[ref(c) for c in others]), F.struct(*[ref(c) for c in order]))
-    picked = df.groupBy(*[ref(k) for k in keys]).agg(first.alias("_first"))
-    return picked.select(*[ref(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
+    place = F.row_number().over(W.partitionBy(*[ref(k) for k in keys]).orderBy(*[ref(c) for c in order]))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabkit.operators.missing import nan_to_null
 
@@ -71,6 +73,10 @@ def read_mixed(spark: SparkSession, paths: dict[str, str], schema: T.StructType,
     return result
 
 
-def inline(spark: SparkSession, rows: Sequence[Sequence], schema: Schema) -> DataFrame:
-    """Small literal table, for example published rates."""
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+def inline(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """Small literal table, for example published rates. Handed over as Arrow data, so that its size is known to
+    the planner."""
+    wanted = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(wanted)
+    arrays = [pa.array(list(values), to_arrow_type(field.dataType)) for values, field in zip(columns, wanted.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=wanted.names), wanted)

@@ -117,6 +117,7 @@ def test_codes_over_several_ranges(spark):
 def test_hot_key(spark):
     df = spark.range(9000).selectExpr("IF(id % 3 > 0, -1, id) AS k", "9000 - id AS o", "id AS v")
     first = V.dedup_first(df, ["k"], ["o"])
+    assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
     assert first.count() == 3001 and first.filter("k = -1").first()["v"] == 8999
 
 
