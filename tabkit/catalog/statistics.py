@@ -56,8 +56,8 @@ def group_count_desc(spark, sf_dir):
 
 @query("column_stats", per_column("""
 SELECT '{c}' AS column_name, round(avg({c}), 6) + 0.0 AS mean, round(quantile_cont({c}, 0.5), 6) + 0.0 AS median,
- round(stddev_samp({c}), 6) AS std_dev, (SELECT {c} FROM {t} GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) + 0.0 AS mode,
- round(var_samp({c}), 2) AS variance, max({c}) + 0.0 AS max, min({c}) + 0.0 AS min FROM {t}"""))
+ round(stddev_samp({c}), 6) AS std_dev, round((SELECT {c} FROM {t} GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), 6) + 0.0 AS mode,
+ round(var_samp({c}), 2) AS variance, round(max({c}), 6) + 0.0 AS max, round(min({c}), 6) + 0.0 AS min FROM {t}"""))
 def column_stats(spark, sf_dir):
     stats = rounded(S.column_stats(lineitem(spark, sf_dir), MEASURES), 6, "mean", "median", "std_dev", "mode", "max", "min")
     return rounded(stats, 2, "variance")
@@ -65,8 +65,8 @@ def column_stats(spark, sf_dir):
 
 @query("describe", per_column("""
 SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 6) + 0.0 AS mean, round(stddev_samp({c}), 6) AS std,
- min({c}) + 0.0 AS min, round(quantile_cont({c}, 0.25), 6) + 0.0 AS p25, round(quantile_cont({c}, 0.5), 6) + 0.0 AS p50,
- round(quantile_cont({c}, 0.75), 6) + 0.0 AS p75, max({c}) + 0.0 AS max FROM {t}"""))
+ round(min({c}), 6) + 0.0 AS min, round(quantile_cont({c}, 0.25), 6) + 0.0 AS p25, round(quantile_cont({c}, 0.5), 6) + 0.0 AS p50,
+ round(quantile_cont({c}, 0.75), 6) + 0.0 AS p75, round(max({c}), 6) + 0.0 AS max FROM {t}"""))
 def describe(spark, sf_dir):
     return rounded(S.describe(lineitem(spark, sf_dir), MEASURES), 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 

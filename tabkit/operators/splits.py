@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabkit.columns import ref
 from tabkit.functions.draws import uniform_by_key
+from tabkit.runtime import settle
 
 ROWS_PER_SLICE = 100_000
 MOST_SLICES = 100_000
@@ -43,11 +44,14 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     edge = upto.filter((F.col("_take") > F.col("_upto") - F.col("_in")) & (F.col("_take") <= F.col("_upto")))
     edge = edge.select(F.col("_label").alias("_edge_label"), F.col("_slice").alias("_edge_slice"), (F.col("_take") - F.col("_upto") + F.col("_in")).alias("_rank"))
     in_order = F.row_number().over(W.partitionBy("_label").orderBy("_u", "_key"))
+    few = labels <= BROADCAST_LABELS
+    edge = F.broadcast(edge) if few else edge
     at_edge = F.col("_label").eqNullSafe(F.col("_edge_label")) & (F.col("_slice") == F.col("_edge_slice"))
     last = (in_slice.join(edge, at_edge).withColumn("_row", in_order)
             .filter(F.col("_row") == F.col("_rank"))
             .select("_label", F.struct("_u", "_key").alias("_last")))
-    last = F.broadcast(last) if labels <= BROADCAST_LABELS else last
+    last = settle(last, "split")  # both parts are read again and again
+    last = F.broadcast(last) if few else last
     joined = drawn.join(last, ref(label).eqNullSafe(F.col("_label")), "left")
     chosen = F.coalesce(F.struct(F.col("_u"), ref(key).alias("_key")) <= F.col("_last"), F.lit(False))
     flagged = joined.withColumn("_chosen", chosen).drop("_u", "_label", "_last")
