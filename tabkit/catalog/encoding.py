@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import GAPPY_SQL, draw_sql, gappy, query, rounded, table
+from tabkit.functions import draws
 from tabkit.operators import features as E
 from tabkit.operators import splits as P
 from tabkit.operators.transformers import PairwiseProduct, Square
@@ -120,3 +121,18 @@ def split_stratified(spark, sf_dir):
 @query("sample_fraction", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {draw_sql('o_orderkey', repr('sample'))} < 0.01")
 def sample_fraction(spark, sf_dir):
     return P.sample_by_key(table(spark, sf_dir, "orders"), "o_orderkey", 0.01).select("o_orderkey", "o_totalprice")
+
+
+@query("fold_by_key", f"SELECT o_orderkey, CAST(floor({draw_sql('o_orderkey', repr('fold'))} * 5) AS INT) AS fold FROM orders")
+def fold_by_key(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", draws.fold_by_key(F.col("o_orderkey"), 5).alias("fold"))
+
+
+@query("minmax_test_part", f"""
+WITH t AS (SELECT o_orderkey, o_totalprice, {draw_sql('o_orderkey', repr('split'))} < 0.8 AS train FROM orders),
+     r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM t WHERE train)
+SELECT o_orderkey, round((o_totalprice - lo) / (hi - lo), 9) + 0.0 AS o_totalprice FROM t, r WHERE NOT train""")
+def minmax_test_part(spark, sf_dir):
+    """Test rows scaled by the ranges of the training rows."""
+    train, test = P.split_by_key(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.8)
+    return rounded(E.apply_minmax(test, E.fit_minmax(train, ["o_totalprice"])), 9, "o_totalprice")

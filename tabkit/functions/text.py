@@ -45,10 +45,14 @@ def extract_numbers(text: Column) -> Column:
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
+# Signs that a text is not clean yet.
+UNCLEAN = "[<&\\t\\r\\n\u00a0]|  |^ | $"
+
+
 def strip_markup(html: Column) -> Column:
     """Text content: comments and tags removed, entities decoded, white space collapsed, no-break spaces dropped."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     text = F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
-    return F.regexp_replace(text, "&nbsp;|\u00a0", "")
+    return F.when(html.rlike(UNCLEAN), F.regexp_replace(text, "&nbsp;|\u00a0", "")).otherwise(html)

@@ -35,7 +35,8 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
     The number line is cut into slots at least as wide as an average band, few enough that all bands together
     are listed under no more than six slots per band. A row lies in exactly one slot, so the join is an equality
     join on the slot with the exact range test behind it: the counted bands are broadcast when they are few; otherwise
-    both sides are shuffled and slots that hold very many rows are split.
+    both sides are shuffled and slots that hold very many rows are split. Very long bands among many short ones widen
+    every slot; join them in a call of their own.
     """
     lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
     stats = bands.agg(F.min(lo), F.greatest(F.max(lo), F.max(hi)), F.avg(hi - lo),

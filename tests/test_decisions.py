@@ -1,6 +1,7 @@
 """Small literal frames for the choices made where a rule could be read in two ways."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,13 @@ def test_lenient_cells_are_those_python_reads(spark):
     assert values(V.valid_rows_parse(df), "c") == sorted(filter(reads_as_number, CELLS), key=str)
 
 
+def test_lenient_cells_at_random(spark):
+    rnd = random.Random(11)
+    cells = ["".join(rnd.choice("0123456789.eE+-_ nanif\t") for _ in range(rnd.randint(0, 6))) for _ in range(4000)]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    assert values(V.valid_rows_parse(df), "c") == sorted(filter(reads_as_number, cells), key=str)
+
+
 def test_strict_cells_are_digits_with_one_dot(spark):
     def strict(c):
         return c is None or (" " not in c and c.replace(".", "", 1).isdigit())
