@@ -12,22 +12,23 @@ from tabkit.operators import models as L
 from tabkit.operators.neighbours import knn_classify
 from tabkit.operators.splits import split_by_key
 from tabkit.operators.transformers import PairwiseProduct, Square
+from tabkit.runtime import settle
 
 FEATURES = ["total", "priority", "lines", "quantity", "discount", "tax"]
 
 
 def labelled(spark, sf_dir):
-    """Orders with totals of their lines; the label is a large order, blurred by one order in ten."""
+    """Orders with totals of their lines, stored for the folds that read it; the label is a large order, blurred by the customer."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).cast("double").alias("lines"), F.sum("l_quantity").alias("quantity"),
         F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"))
     orders = table(spark, sf_dir, "orders")
     large = (F.col("o_totalprice") + F.col("o_custkey") % 10 * 20000 > 340000).cast("double")
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    return joined.select(
+    return settle(joined.select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in FEATURES[2:]], large.alias("label"))
+        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in FEATURES[2:]], large.alias("label")), "labelled")
 
 
 def scores(spark, sf_dir, kind, **params):
@@ -88,7 +89,7 @@ def cross_validate(spark, sf_dir):
 @query("oof_predictions")
 def oof_predictions(spark, sf_dir):
     tree = L.make_pipeline("decision_tree", FEATURES, "label", maxDepth=4)
-    return L.oof_predictions(labelled(spark, sf_dir).persist(), tree, "id", 3).select("id", "label", "prediction")
+    return L.oof_predictions(labelled(spark, sf_dir), tree, "id", 3).select("id", "label", "prediction")
 
 
 @query("oof_report")
