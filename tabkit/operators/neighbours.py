@@ -16,15 +16,6 @@ from tabkit.functions.draws import fold_by_key
 BLOCK_ROWS = 1_000
 
 
-def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """Distances of every row of a to every row of b, summed dimension by dimension."""
-    out = np.zeros((len(a), len(b)))
-    for x, y in zip(a.T, b.T):
-        gap = x[:, None] - y[None, :]
-        out += np.abs(gap) if p == 1 else gap * gap
-    return out if p == 1 else np.sqrt(out)
-
-
 def nearest(base: DataFrame, queries: DataFrame, k: int, p: int = 2, id_col: str = "id", vec_col: str = "vec",
             label_col: str = "label") -> DataFrame:
     """The k nearest base vectors of each query: ``id``, ``rank``, ``label``, ``distance``; equal distances in
@@ -37,25 +28,36 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, p: int = 2, id_col: str
     base_blocks = max(1, math.ceil(base.count() / BLOCK_ROWS))
     query_blocks = max(1, math.ceil(queries.count() / BLOCK_ROWS))
 
-    def dealt(df, blocks, own, other, others):
-        rows = df.withColumn(own, fold_by_key(ref(id_col), blocks, "block"))
+    def dealt(df, key, blocks, own, other, others):
+        rows = df.withColumn(own, fold_by_key(F.col(key), blocks, "block"))
         return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
-    left = dealt(queries.select(ref(id_col).alias(id_col), ref(vec_col)), query_blocks, "qb", "bb", base_blocks)
-    right = dealt(base.select(ref(id_col).alias(id_col), ref(vec_col), ref(label_col)), base_blocks, "bb", "qb", query_blocks)
+    # every column is renamed on both sides: base and queries may be the same frame
+    left = dealt(queries.select(ref(id_col).alias("q_id"), ref(vec_col).alias("q_vec")), "q_id", query_blocks, "qb", "bb", base_blocks)
+    right = dealt(base.select(ref(id_col).alias("b_id"), ref(vec_col).alias("b_vec"), ref(label_col).alias("b_label")),
+                  "b_id", base_blocks, "bb", "qb", query_blocks)
+
+    # both functions travel to the tasks by value, which need numpy and pandas but not this package
+    def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Every row of a to every row of b, summed dimension by dimension."""
+        total = np.zeros((len(a), len(b)))
+        for x, y in zip(a.T, b.T):
+            gap = x[:, None] - y[None, :]
+            total += np.abs(gap) if p == 1 else gap * gap
+        return total if p == 1 else np.sqrt(total)
 
     def block_nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if q.empty or b.empty:
             return pd.DataFrame({"id": [], "base_id": [], "label": [], "distance": []}).astype(
                 {"id": "int64", "base_id": "int64", "label": "int64", "distance": "float64"})
-        b = b.sort_values(id_col, ignore_index=True)
-        far = _distances(np.stack(q[vec_col]).astype("float64"), np.stack(b[vec_col]).astype("float64"), p)
-        q_ids, b_ids = q[id_col].to_numpy(), b[id_col].to_numpy()
+        b = b.sort_values("b_id", ignore_index=True)
+        far = distances(np.stack(q["q_vec"]).astype("float64"), np.stack(b["b_vec"]).astype("float64"))
+        q_ids, b_ids = q["q_id"].to_numpy(), b["b_id"].to_numpy()
         far[q_ids[:, None] == b_ids[None, :]] = np.inf
         first = np.argsort(far, axis=1, kind="stable")[:, :k]
         near = np.take_along_axis(far, first, axis=1)
         found = pd.DataFrame({"id": np.repeat(q_ids, first.shape[1]), "base_id": b_ids[first].ravel(),
-                              "label": b[label_col].to_numpy()[first].ravel(), "distance": near.ravel()})
+                              "label": b["b_label"].to_numpy()[first].ravel(), "distance": near.ravel()})
         return found[np.isfinite(found["distance"])]
 
     blocks = left.groupBy("qb", "bb").cogroup(right.groupBy("qb", "bb"))

@@ -80,7 +80,9 @@ def test_neighbours(spark, monkeypatch, p, weights, block):
     labels = rnd.integers(0, 3, 150)
     rows = [(i, vecs[i].tolist(), int(labels[i])) for i in range(150)]
     df = spark.createDataFrame(rows, "id bigint, vec array<double>, label int")
-    got = {r["id"]: r["prediction"] for r in N.knn_classify(df, df, 5, p, weights).collect()}
+    classified = N.knn_classify(df, df, 5, p, weights)
+    assert classified.count() == 150  # the same frame on both sides, no column used
+    got = {r["id"]: r["prediction"] for r in classified.collect()}
     for i in range(150):
         far = np.abs(vecs - vecs[i]).sum(1) if p == 1 else np.sqrt(((vecs - vecs[i]) ** 2).sum(1))
         near = sorted((far[j], j) for j in range(150) if j != i)[:5]
