@@ -7,22 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import secrets
+from tabkit.llm import rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable:
+    def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+    return register
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-@query
+@query(rules.SQL)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(documents(spark, sf_dir)).drop("cleaned_text")
+
+
+@query()
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
