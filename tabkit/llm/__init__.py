@@ -1 +1,11 @@
-"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
+"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage.
+
+Functions that run in tasks travel with the task, so executors need numpy, pyarrow and the tokenizer libraries, but not
+this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import rules, secrets
+from tabkit.llm import huffman, rules, secrets
+from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +23,12 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizer of that name lies on the driver; its content is sent to the tasks."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -31,6 +38,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir)).drop("cleaned_text")
 
 
+@query()
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    huffman.write_ids(documents(spark, sf_dir), path, tokenizer_file("byte_bpe_50k.json"))
+    return huffman.read_ids(spark, path, digest=True)
+
+
 @query()
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir))
