@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, rules, secrets
+from tabkit.llm import huffman, lines, rules, secrets
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", number("assign"), number("access"), number("hex"),
                         F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
                         secrets.spans_text(F.col("spans")).alias("spans"))
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(documents(spark, sf_dir))
