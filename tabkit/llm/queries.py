@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, lines, rules, secrets
+from tabkit.llm import huffman, lines, near, rules, secrets
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir))
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir))
