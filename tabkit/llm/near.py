@@ -1,6 +1,7 @@
 """N-gram Jaccard join: all links between texts whose sets of five-word shingles are similar to 0.8 or more.
 
-Words are runs of characters other than ASCII white space, in lower case. Equal texts are joined first, by a 128-bit hash.
+Words are runs of ASCII letters, ASCII digits and characters beyond ASCII, in lower case, so marks and case at the edges of
+sentences do not hide a copy. Equal texts are joined first, by a 128-bit hash.
 Of each different text a MinHash forest is made: ``TREES`` tries, each over its own sequence of minima. Two texts meet in a
 trie if their sequences share a prefix; prefixes are shortened, from ``LONGEST`` on, until the chance that a pair at the
 threshold meets in some trie reaches ``RECALL``. That is the depth of the nodes which are compared, 6 with these values;
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.graph import components
-from tabkit.llm.text import SHINGLE, SPACE, mix, shingle_hashes, slices, span_hashes, text_bytes, words_of
+from tabkit.llm.text import SHINGLE, WORD, mix, shingle_hashes, slices, span_hashes, text_bytes, words_of
 from tabkit.runtime import settle
 
 THRESHOLD_PERCENT = 80
@@ -50,7 +51,7 @@ def prefix_depth(threshold: float, trees: int = TREES, longest: int = LONGEST, r
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all texts on end, with repeats, and offsets."""
     data, offsets = text_bytes(pc.utf8_lower(texts))
-    starts, ends, first = words_of(data, offsets, ~SPACE)
+    starts, ends, first = words_of(data, offsets, WORD)
     return shingle_hashes(span_hashes(data, starts, ends), first, size)
 
 
