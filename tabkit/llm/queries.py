@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, lines, near, rules, secrets
+from tabkit.llm import huffman, leaks, lines, near, rules, secrets
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, path, digest=True)
 
 
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query()
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir))
