@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, leaks, lines, near, rules, secrets
+from tabkit.llm import huffman, leaks, lines, near, quality, rules, secrets
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -59,6 +63,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query()
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir))
