@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, leaks, lines, near, quality, rules, secrets
+from tabkit.llm import huffman, leaks, lines, near, quality, rules, secrets, toxicity
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query()
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir))
