@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, leaks, lines, near, quality, rules, secrets, toxicity
+from tabkit.llm import huffman, leaks, lines, near, pieces, quality, rules, secrets, toxicity
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,14 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, path, digest=True)
 
 
+@query()
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load(tokenizer_file("piece_bpe_32k.model"))
+    encoded = pieces.encode_pieces(documents(spark, sf_dir), vocabulary)
+    return pieces.decode_pieces(encoded, vocabulary).select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))
+
+
 @query()
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -5,10 +5,11 @@ Task code only. It looks at the UTF-8 bytes of many texts at once, so the cost p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 2_000_000  # texts are handled in slices of about so many bytes; a longer text is a slice of its own
 SHINGLE = 5
@@ -127,3 +128,50 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Binary values cut out of one run of bytes."""
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+class PieceStore:
+    """Ids of text pieces, each learned once and remembered up to a number of pieces."""
+
+    def __init__(self, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> None:
+        """``learn`` gives the ids of pieces on end, and their numbers."""
+        self.learn, self.most = learn, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pieces, self.ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
+        self.at, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _add(self, pieces: pa.Array) -> None:
+        ids, counts = self.learn(pieces)
+        self.at = np.concatenate([self.at, (np.cumsum(counts) - counts + len(self.ids)).astype(np.int32)])
+        self.length, self.ids = np.concatenate([self.length, counts.astype(np.int32)]), np.concatenate([self.ids, ids.astype(np.uint32)])
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+
+    def ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces on end, and offsets (one more than there are pieces)."""
+        if len(self.pieces) > self.most:
+            self._forget()
+        known = pc.index_in(pieces, value_set=self.pieces) if len(self.pieces) else pa.nulls(len(pieces), pa.int32())
+        if known.null_count:
+            missing, base = known.is_null(), len(self.pieces)
+            self._add(pc.unique(pieces.filter(missing)))
+            known = known.fill_null(-1).to_numpy().copy()
+            known[known < 0] = base + pc.index_in(pieces.filter(missing), value_set=self.pieces.slice(base)).to_numpy()
+        else:
+            known = known.to_numpy()
+        length = self.length[known]
+        ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        return self.ids[np.arange(ends[-1]) + np.repeat(self.at[known] - ends[:-1], length)], ends
+
+
+def kept_by_worker(kind: str, raw: bytes, make: Callable[[bytes], object]) -> object:
+    """What ``make`` makes of ``raw``, made once by a Python worker, which keeps it from task to task."""
+    import sys
+    import types
+    import zlib
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    name = f"{kind}:{zlib.crc32(raw)}:{len(raw)}"
+    if name not in kept:
+        kept[name] = make(raw)
+    return kept[name]
