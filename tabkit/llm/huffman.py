@@ -2,8 +2,8 @@
 
 ``write_ids`` encodes whole texts, counts all ids, makes one code and writes two Parquet tables below a folder: ``code``
 (id, length) and ``blocks``. A block holds whole documents in order of their ids: the part and block number, the id number
-at which it starts within its part, the documents' ids and sizes, the code bits, and the bit offset of every 256th id and
-of every document. Blocks decode on their own, and the checkpoints let numpy decode all runs of 256 ids side by side by
+at which it starts within its part, the documents' ids and sizes, the code bits, and the bit offsets of every
+document and of every 256th id in it. Blocks decode on their own, and the checkpoints let numpy decode all runs of 256 ids side by side by
 one table of 2^16 entries. ``read_ids`` gives the documents back with their starts.
 
 Ids are stored once by Spark before the code is known, so a lost executor repeats its own splits only. Parts are ranges
@@ -34,19 +34,28 @@ END_ID = 0
 MOST_BITS = 16  # longest code, and the width of the decoding table
 CHECKPOINT = 256  # ids between two bit offsets
 BLOCK_IDS = 1 << 16
+DECODED_IDS = 1 << 20  # ids decoded side by side
 PART_IDS = 1 << 22
 
-# White space that keeps a text from being cut at its spaces and line ends; see encode_texts.
+# White space that keeps a text from being cut at its spaces and line ends; see Encoder.
 _ODD = r"[^\S \n]|^\s|\s$|\s\s"
-_KNOWN = 200_000  # pieces a task remembers
+_KNOWN = 500_000  # pieces a worker remembers
+_SLICE = 4_000_000
+
+# Kinds of bytes: 1 space or line end, 2 ASCII letter, 3 ASCII mark that ends a run of letters, 4 may be odd.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[32, 10]] = 1
+_KIND[[*range(65, 91), *range(97, 123)]] = 2
+_KIND[[ord(c) for c in ".,;:!?*$#%&|"]] = 3
+_KIND[[9, 11, 12, 13, 28, 29, 30, 31, ord("<"), 0xC2, 0xE1, 0xE2, 0xE3]] = 4
 
 
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    The vocabulary's own rule ends a word at a space or line end that stands between two other characters. There the text
-    is cut, each distinct piece is encoded once, and the ids are put together again. Texts with other white space or with
-    a special token's string are encoded uncut.
+    The vocabulary's own rule ends a word at a space or line end that stands between two other characters, and between a
+    letter and a mark. There the text is cut, each distinct piece is encoded once, and the ids are put together again.
+    Texts with other white space or with a special token's string are encoded uncut.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -59,95 +68,103 @@ class Encoder:
         names = self.tokenizer.get_vocab()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = regex.compile("|".join([_ODD, *map(regex.escape, special)]))
-        self.special = special
-        self.line_end = names.get("Ċ", -1)
+        line_end = names.get("Ċ", -1)
         self.opens = np.zeros(max([*names.values(), 0]) + 1, bool)
         for name, i in names.items():
-            self.opens[i] = name.startswith("Ġ") or i == self.line_end
+            self.opens[i] = name.startswith("Ġ") or i == line_end
         self._forget()
 
     def _forget(self) -> None:
-        self.pieces, self.at, self.length, self.ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pieces, self.ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
+        self.at, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def plainly(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: pa.Array) -> None:
-        """Ids of pieces that begin with a space or a line end and hold no other white space."""
-        ids = self.plainly(["".join(pieces.to_pylist())])[0] if len(pieces) else np.zeros(0, np.int64)
+        """Ids of pieces without white space but for a space or line end in front; one without gets a line end, which is dropped again."""
+        data, offsets = text_bytes(pieces)
+        opened = _KIND[data[offsets[:-1]]] == 1
+        first, rest = pieces.filter(pa.array(opened)), pieces.filter(pa.array(~opened))
+        joined = text_bytes(first)[0].tobytes().decode() + "".join("\n" + x for x in rest.to_pylist())
+        ids = self.plainly([joined])[0]
         starts = np.flatnonzero(self.opens[ids])
-        if len(starts) == len(pieces):
-            lengths = np.diff(np.append(starts, len(ids)))
-        else:  # a vocabulary that joins across the cuts
-            each = self.plainly(pieces.to_pylist())
-            lengths = np.array([len(x) for x in each], np.int64)
-            ids, starts = np.concatenate(each), np.cumsum(lengths) - lengths
-        self.at = np.concatenate([self.at, starts + len(self.ids)])
-        self.length, self.ids = np.concatenate([self.length, lengths]), np.concatenate([self.ids, ids])
-        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        lengths = np.diff(np.append(starts, len(ids)))
+        if len(starts) != len(pieces):  # a vocabulary that joins across the cuts
+            each = self.plainly([*first.to_pylist(), *("\n" + x for x in rest.to_pylist())])
+            lengths = np.array([len(x) for x in each])
+            ids = np.concatenate(each)
+            starts = np.cumsum(lengths) - lengths
+        drop = np.arange(len(pieces)) >= len(first)
+        self.at = np.concatenate([self.at, (starts + drop + len(self.ids)).astype(np.int32)])
+        self.length, self.ids = np.concatenate([self.length, (lengths - drop).astype(np.int32)]), np.concatenate([self.ids, ids])
+        self.pieces = pa.concat_arrays([self.pieces, first, rest])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end without end ids, and offsets."""
         texts = pc.fill_null(texts, "").cast(pa.string())
         data, offsets = text_bytes(texts)
-        uncut = self._uncut(texts, data, offsets)
+        kind = _KIND[data]
+        uncut = self._uncut(texts, kind, offsets)
         if uncut.all():
             each = self.plainly(texts.to_pylist())
-            sizes = np.array([len(x) for x in each], np.int64)
-            return np.concatenate([np.zeros(0, np.int64), *each]), np.concatenate([[0], np.cumsum(sizes)])
+            return np.concatenate([np.zeros(0, np.uint32), *each]), np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
         if uncut.any():  # the others first, then put both together
             return self._merge(texts, uncut)
-        cuts = np.unique(np.concatenate([np.flatnonzero((data == 32) | (data == 10)), offsets[:-1][np.diff(offsets) > 0]]))
-        bounds = np.append(cuts, len(data))
-        pieces = pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-        coded = pieces.dictionary_encode()
-        words, places = coded.dictionary, coded.indices.to_numpy()
-        lead = np.frombuffer(data, np.uint8)[cuts] if len(cuts) else np.zeros(0, np.uint8)
-        opened = np.zeros(len(words), bool)
-        opened[places] = (lead == 32) | (lead == 10)
-        # a text's first piece gets a line end in front, whose id is dropped again
-        with_lead = pc.if_else(pa.array(opened), words, pc.binary_join_element_wise("\n", words, "")) if len(words) else words
-        known = pc.index_in(with_lead, value_set=self.pieces) if len(self.pieces) else pa.nulls(len(with_lead), pa.int32())
+        cut = kind == 1
+        cut[1:] |= (kind[1:] == 3) & (kind[:-1] == 2)
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        bounds = np.append(np.flatnonzero(cut), len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         if len(self.pieces) > _KNOWN:
             self._forget()
-            known = pa.nulls(len(with_lead), pa.int32())
-        missing = pc.is_null(known)
-        if pc.any(missing).as_py():
-            self._learn(pc.unique(with_lead.filter(missing)))
-            known = pc.index_in(with_lead, value_set=self.pieces)
-        known = known.to_numpy(zero_copy_only=False).astype(np.int64)
-        drop = (~opened).astype(np.int64)
-        at, length = (self.at[known] + drop)[places], (self.length[known] - drop)[places]
-        ids = self.ids[ragged(at, length)]
-        ends = np.concatenate([[0], np.cumsum(length)])
+        known = pc.index_in(pieces, value_set=self.pieces) if len(self.pieces) else pa.nulls(len(pieces), pa.int32())
+        if known.null_count:
+            missing = known.is_null()
+            new = pc.unique(pieces.filter(missing))
+            base = len(self.pieces)
+            self._learn(new)
+            known = known.fill_null(-1).to_numpy().copy()
+            known[known < 0] = base + pc.index_in(pieces.filter(missing), value_set=self.pieces.slice(base)).to_numpy()
+        else:
+            known = known.to_numpy()
+        length = self.length[known]
+        ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.at[known] - ends[:-1], length)]
         return ids, ends[np.searchsorted(bounds, offsets)]
 
-    def _uncut(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Which texts must be encoded whole; a look at the bytes first, then at the texts that may be odd."""
-        space = np.isin(data, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32))
-        strange = (data >= 9) & (data <= 31) & (data != 10) | (data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3) | (data == 0x3C)
+    def _uncut(self, texts: pa.Array, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts must be encoded whole: a look at the bytes, then at the texts that may be odd."""
+        strange, space = kind == 4, kind == 1
         strange[1:] |= space[1:] & space[:-1]
         filled = np.flatnonzero(np.diff(offsets) > 0)
         strange[offsets[filled]] |= space[offsets[filled]]
         strange[offsets[filled + 1] - 1] |= space[offsets[filled + 1] - 1]
-        marks = np.concatenate([[0], np.cumsum(strange)])
-        maybe = np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]])
         out = np.zeros(len(texts), bool)
-        for i in maybe:
+        for i in np.unique(np.searchsorted(offsets, np.flatnonzero(strange), side="right") - 1):
             out[i] = self.odd.search(texts[int(i)].as_py()) is not None
         return out
 
     def _merge(self, texts: pa.Array, uncut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes, parts = np.zeros(len(texts), np.int64), [None] * len(texts)
-        whole = np.flatnonzero(uncut)
+        parts = [np.zeros(0, np.uint32)] * len(texts)
+        whole, rest = np.flatnonzero(uncut), np.flatnonzero(~uncut)
         for i, ids in zip(whole, self.plainly([texts[int(i)].as_py() for i in whole])):
             parts[i] = ids
-        rest = np.flatnonzero(~uncut)
         ids, offsets = self.encode(texts.take(pa.array(rest)))
         for n, i in enumerate(rest):
             parts[i] = ids[offsets[n]:offsets[n + 1]]
-        sizes = np.array([len(x) for x in parts], np.int64)
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+
+
+def worker_encoder(vocabulary: str) -> Encoder:
+    """The encoder of this Python worker, which keeps it, and the pieces it knows, from task to task."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
+    name = f"{zlib.crc32(vocabulary.encode())}:{len(vocabulary)}"
+    if name not in kept:
+        kept[name] = Encoder(vocabulary)
+    return kept[name]
 
 
 def code_lengths(counts: np.ndarray, most_bits: int = MOST_BITS) -> np.ndarray:
@@ -189,22 +206,28 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code bits of the ids on end, and the bit offset of each id (one more than there are ids)."""
+def pack_bits(ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code bits of all texts, as bytes; byte offsets of the texts; bit offset of every id within its text). A text starts at an even byte."""
     bits = lengths[ids]
-    at = np.concatenate([[0], np.cumsum(bits)])
-    byte, shift = at[:-1] >> 3, 24 - bits - (at[:-1] & 7)
-    wide = codes[ids] << shift
-    size = int(at[-1] + 7) // 8
-    out = np.zeros(size + 3)
-    for j in range(3):  # codes never share a bit, so adding is joining
-        out += np.bincount(byte + j, weights=(wide >> (16 - 8 * j)) & 255, minlength=size + 3)[:size + 3]
-    return out[:size].astype(np.uint8), at
+    sums = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
+    first = np.cumsum(sizes) - sizes
+    of_text = sums[first + sizes] - sums[first]
+    begin = np.concatenate([[0], np.cumsum((of_text + 15) // 16 * 16)])
+    within = sums[:-1] - np.repeat(sums[first], sizes)
+    at = within + np.repeat(begin[:-1], sizes)
+    word = at >> 4
+    wide = codes[ids].astype(np.uint32) << (32 - bits - (at & 15)).astype(np.uint32)
+    out = np.zeros(int(begin[-1] >> 4) + 2, np.uint32)
+    if len(ids):  # a code lies in one word of 16 bits or in two; codes never share a bit, so adding is joining
+        groups = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        out[word[groups]] = np.add.reduceat(wide >> np.uint32(16), groups)
+        out[word[groups] + 1] += np.add.reduceat(wide & np.uint32(0xFFFF), groups)
+    return out[:int(begin[-1] >> 4)].astype(">u2").view(np.uint8), begin >> 3, within
 
 
 def decoding_table(lengths: np.ndarray, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Id and length for every value of the next ``most_bits`` bits."""
-    ids, sizes = np.zeros(1 << most_bits, np.int64), np.ones(1 << most_bits, np.int64)
+    ids, sizes = np.zeros(1 << most_bits, np.uint32), np.ones(1 << most_bits, np.int64)
     codes = canonical_codes(lengths)
     order = np.flatnonzero(lengths)
     order = order[np.lexsort((order, lengths[order]))]
@@ -220,7 +243,7 @@ def unpack_bits(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, table:
     ids, sizes = table
     data = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
     wide = (data[:-3] << 16) | (data[1:-2] << 8) | data[2:-1]
-    out = np.zeros(int(counts.sum()), np.int64)
+    out = np.zeros(int(counts.sum()), np.uint32)
     to = np.cumsum(counts) - counts
     order = np.argsort(-counts, kind="stable")
     at, to, left = starts[order].astype(np.int64), to[order], counts[order]
@@ -233,14 +256,16 @@ def unpack_bits(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, table:
 
 
 def encode_texts(df: DataFrame, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 16- or 32-bit, end id included)."""
+    """doc_id, n_tokens and ids (little-endian unsigned 16- or 32-bit, end id included); each task adds a row with only
+    ``seen``, its counts of ids: pairs of unsigned 64-bit integers (id, count)."""
     import json
     wide = max(json.loads(vocabulary)["model"]["vocab"].values(), default=0) >= 1 << 16
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(vocabulary)
+        names, total = ["doc_id", "n_tokens", "ids", "seen"], np.zeros(len(encoder.opens) + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 ids, offsets = encoder.encode(part.column(1))
                 sizes = np.diff(offsets) + 1
                 ends = np.cumsum(sizes)
@@ -248,32 +273,35 @@ def encode_texts(df: DataFrame, vocabulary: str, id_col: str, text_col: str) ->
                 keep = np.ones(len(full), bool)
                 keep[ends - 1] = False
                 full[keep] = ids
-                places = np.concatenate([[0], ends]) * full.itemsize
-                yield pa.record_batch([part.column(0), pa.array(sizes, pa.int64()), binary_array(full.view(np.uint8), places)],
-                                      ["doc_id", "n_tokens", "ids"])
+                found = np.bincount(full)
+                total[:len(found)] += found
+                yield pa.record_batch([part.column(0), pa.array(sizes, pa.int64()), binary_array(full.view(np.uint8), np.concatenate([[0], ends]) * full.itemsize),
+                                       pa.nulls(part.num_rows, pa.binary())], names)
+        present = np.flatnonzero(total)
+        seen = np.stack([present, total[present]], 1).astype("<u8").tobytes()
+        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen], pa.binary())], names)
 
     source = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return source.mapInArrow(task, "doc_id bigint, n_tokens bigint, ids binary")
+    return source.mapInArrow(task, "doc_id bigint, n_tokens bigint, ids binary, seen binary")
 
 
 def _ids_type(n_tokens: np.ndarray, n_bytes: int) -> str:
     return "<u4" if n_bytes == 4 * int(n_tokens.sum()) else "<u2"
 
 
-def count_ids(encoded: DataFrame) -> DataFrame:
-    """id, n over all documents; each task adds up its own."""
+def _bytes(column: pa.Array) -> pa.Array:
+    """Binary values as if they were texts, for the helpers on texts."""
+    return column.cast(pa.large_binary()).view(pa.large_string())
+
+
+def count_ids(seen: DataFrame) -> DataFrame:
+    """id, n over all documents, from the tasks' counts."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            sizes, (data, _) = batch.column(0).to_numpy(), text_bytes(batch.column(1).cast(pa.large_binary()).view(pa.large_string()))
-            found = np.bincount(data.view(_ids_type(sizes, len(data))) if len(data) else np.zeros(0, np.int64))
-            if len(found) > len(total):
-                total, found = found.astype(np.int64), total
-            total[:len(found)] += found
-        present = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(present, pa.int64()), pa.array(total[present], pa.int64())], ["id", "n"])
+            pairs = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8").reshape(-1, 2)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["id", "n"])
 
-    return encoded.select("n_tokens", "ids").mapInArrow(task, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return seen.where("seen IS NOT NULL").select("seen").mapInArrow(task, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
@@ -282,10 +310,10 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
     spark = df.sparkSession
     staged = scratch_path(spark, "ids")
     encode_texts(df, Path(tokenizer_file).read_text(encoding="utf-8"), id_col, text_col).write.option("compression", "zstd").parquet(staged)
-    encoded = spark.read.parquet(staged)
-    counted = count_ids(encoded).toPandas()  # one row for each id of the vocabulary at most
+    counted = count_ids(spark.read.parquet(staged)).toPandas()  # one row for each id of the vocabulary at most
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
     counts[counted["id"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    encoded = spark.read.parquet(staged).where("seen IS NULL").drop("seen")
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
@@ -298,21 +326,18 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
 
     def code_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.set_column(3, "size", batch.column(3).cast(pa.large_binary()).view(pa.large_string())), "size"):
-                sizes = part.column(2).to_numpy()
-                data, _ = text_bytes(part.column(3))
-                ids = data.view(_ids_type(sizes, len(data))).astype(np.int64)
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                pieces, marks, ends = [], [], [0]
-                for a, b in zip(first[:-1], first[1:]):
-                    bits, at = pack_bits(ids[a:b], codes, lengths)
-                    pieces.append(bits)
-                    marks.append(at[:-1:CHECKPOINT].astype("<u8").tobytes())
-                    ends.append(ends[-1] + len(bits))
-                yield pa.record_batch([part.column(0), part.column(1), part.column(2), binary_array(np.concatenate(pieces), np.array(ends)),
-                                       pa.array(marks, pa.binary())], ["part", "doc_id", "n_tokens", "bits", "marks"])
-
-    coded = (encoded.select(F.coalesce(number, F.lit(0)).cast("int").alias("part"), "doc_id", "n_tokens", F.col("ids").alias("size"))
+            batch = batch.set_column(3, "ids", _bytes(batch.column(3)))
+            for part in slices(batch, "ids"):
+                sizes, (data, _) = part.column(2).to_numpy(), text_bytes(part.column(3))
+                bits, ends, within = pack_bits(data.view(_ids_type(sizes, len(data))), sizes, codes, lengths)
+                each = -(-sizes // CHECKPOINT)
+                first = np.cumsum(sizes) - sizes
+                places = ragged(np.zeros(len(each), np.int64), each) * CHECKPOINT + np.repeat(first, each)
+                yield pa.record_batch([part.column(0), part.column(1), part.column(2), binary_array(bits, ends),
+                                       binary_array(within[places].astype("<u8").view(np.uint8), 8 * np.concatenate([[0], np.cumsum(each)]))],
+                                      ["part", "doc_id", "n_tokens", "bits", "marks"])
+
+    coded = (encoded.select(F.coalesce(number, F.lit(0)).cast("int").alias("part"), "doc_id", "n_tokens", "ids")
              .mapInArrow(code_task, "part int, doc_id bigint, n_tokens bigint, bits binary, marks binary"))
     ordered = coded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n_tokens", "bits")
 
@@ -353,22 +378,36 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     lengths[code["id"].to_numpy(np.int64)] = code["length"].to_numpy(np.int64)
     blocks = spark.read.parquet(f"{path}/blocks")
 
+    def decoded(blocks: list[dict], table: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([n for b in blocks for n in b["sizes"]], np.int64)
+        each = -(-sizes // CHECKPOINT)  # runs of a document
+        runs = np.full(int(each.sum()), CHECKPOINT, np.int64)
+        runs[np.cumsum(each) - 1] = sizes - (each - 1) * CHECKPOINT
+        marks = [np.frombuffer(b["marks"], "<u8").astype(np.int64) for b in blocks]
+        before = np.cumsum([0, *(len(b["bits"]) for b in blocks)])
+        starts = np.concatenate([m + 8 * int(at) for m, at in zip(marks, before)])
+        ids = unpack_bits(np.frombuffer(b"".join(b["bits"] for b in blocks), np.uint8), starts, runs, table)
+        ends = np.cumsum(sizes)
+        raw = memoryview(ids.astype("<u4").tobytes())
+        last = (pa.array([zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), sizes.tolist())], pa.int64()) if digest
+                else pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int64())))
+        at = np.concatenate([b["start"] + np.cumsum([0, *b["sizes"][:-1]]) for b in blocks])
+        return pa.record_batch([pa.array([b["part"] for b in blocks for _ in b["sizes"]], pa.int32()), pa.array([i for b in blocks for i in b["doc_ids"]], pa.int64()),
+                                pa.array(at, pa.int64()), pa.array(sizes), last], ["part", "doc_id", "at", "n_tokens", "last"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decoding_table(lengths)
+        held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                part, _, start, doc_ids, sizes, marks, bits = (batch.column(c)[i] for c in range(7))
-                sizes = np.array(sizes.as_py(), np.int64)
-                each = -(-sizes // CHECKPOINT)  # runs of a document
-                runs = np.full(int(each.sum()), CHECKPOINT, np.int64)
-                runs[np.cumsum(each) - 1] = sizes - (each - 1) * CHECKPOINT
-                ids = unpack_bits(np.frombuffer(bits.as_py(), np.uint8), np.frombuffer(marks.as_py(), "<u8").astype(np.int64), runs, table)
-                ends = np.cumsum(sizes)
-                own = np.split(ids, ends[:-1])
-                last = (pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()) if digest
-                        else pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int64())))
-                yield pa.record_batch([pa.array([part.as_py()] * len(sizes), pa.int32()), doc_ids.values, pa.array(start.as_py() + ends - sizes, pa.int64()),
-                                       pa.array(sizes, pa.int64()), last], ["part", "doc_id", "at", "n_tokens", "last"])
+                block = {name: batch.column(c)[i].as_py() for c, name in enumerate(batch.schema.names)}
+                held.append(block)
+                size += sum(block["sizes"])
+                if size >= DECODED_IDS:
+                    yield decoded(held, table)
+                    held, size = [], 0
+        if held:
+            yield decoded(held, table)
 
     name = "ids_crc32" if digest else "ids"
     documents = blocks.mapInArrow(task, f"part int, doc_id bigint, at bigint, n_tokens bigint, last {'bigint' if digest else 'array<bigint>'}")
