@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, leaks, lines, near, pieces, quality, rules, secrets, toxicity
+from tabkit.llm import huffman, leaks, lines, near, pages, pieces, quality, rules, secrets, toxicity
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+@query()
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pages.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query()
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir))
