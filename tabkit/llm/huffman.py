@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabkit.llm.text import binary_array, ragged, slices, text_bytes
+from tabkit.llm.text import PieceStore, binary_array, kept_by_worker, ragged, slices, text_bytes
 from tabkit.runtime import scratch_path
 
 END_ID = 0
@@ -39,7 +39,6 @@ PART_IDS = 1 << 22
 
 # White space that keeps a text from being cut at its spaces and line ends; see Encoder.
 _ODD = r"[^\S \n]|^\s|\s$|\s\s"
-_KNOWN = 500_000  # pieces a worker remembers
 _SLICE = 4_000_000
 
 # Kinds of bytes: 1 space or line end, 2 ASCII letter, 3 ASCII mark that ends a run of letters, 4 may be odd.
@@ -72,33 +71,26 @@ class Encoder:
         self.opens = np.zeros(max([*names.values(), 0]) + 1, bool)
         for name, i in names.items():
             self.opens[i] = name.startswith("Ġ") or i == line_end
-        self._forget()
-
-    def _forget(self) -> None:
-        self.pieces, self.ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
-        self.at, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.store = PieceStore(self._learn)
 
     def plainly(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: pa.Array) -> None:
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces without white space but for a space or line end in front; one without gets a line end, which is dropped again."""
         data, offsets = text_bytes(pieces)
         opened = _KIND[data[offsets[:-1]]] == 1
-        first, rest = pieces.filter(pa.array(opened)), pieces.filter(pa.array(~opened))
-        joined = text_bytes(first)[0].tobytes().decode() + "".join("\n" + x for x in rest.to_pylist())
-        ids = self.plainly([joined])[0]
+        texts = [x if o else "\n" + x for x, o in zip(pieces.to_pylist(), opened)]
+        ids = self.plainly(["".join(texts)])[0]
         starts = np.flatnonzero(self.opens[ids])
         lengths = np.diff(np.append(starts, len(ids)))
         if len(starts) != len(pieces):  # a vocabulary that joins across the cuts
-            each = self.plainly([*first.to_pylist(), *("\n" + x for x in rest.to_pylist())])
-            lengths = np.array([len(x) for x in each])
-            ids = np.concatenate(each)
+            each = self.plainly(texts)
+            ids, lengths = np.concatenate(each), np.array([len(x) for x in each])
             starts = np.cumsum(lengths) - lengths
-        drop = np.arange(len(pieces)) >= len(first)
-        self.at = np.concatenate([self.at, (starts + drop + len(self.ids)).astype(np.int32)])
-        self.length, self.ids = np.concatenate([self.length, (lengths - drop).astype(np.int32)]), np.concatenate([self.ids, ids])
-        self.pieces = pa.concat_arrays([self.pieces, first, rest])
+        keep = np.ones(len(ids), bool)
+        keep[starts[~opened]] = False
+        return ids[keep], lengths - ~opened
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end without end ids, and offsets."""
@@ -116,21 +108,7 @@ class Encoder:
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         bounds = np.append(np.flatnonzero(cut), len(data)).astype(np.int32)
         pieces = pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
-        if len(self.pieces) > _KNOWN:
-            self._forget()
-        known = pc.index_in(pieces, value_set=self.pieces) if len(self.pieces) else pa.nulls(len(pieces), pa.int32())
-        if known.null_count:
-            missing = known.is_null()
-            new = pc.unique(pieces.filter(missing))
-            base = len(self.pieces)
-            self._learn(new)
-            known = known.fill_null(-1).to_numpy().copy()
-            known[known < 0] = base + pc.index_in(pieces.filter(missing), value_set=self.pieces.slice(base)).to_numpy()
-        else:
-            known = known.to_numpy()
-        length = self.length[known]
-        ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.at[known] - ends[:-1], length)]
+        ids, ends = self.store.ids_of(pieces)
         return ids, ends[np.searchsorted(bounds, offsets)]
 
     def _uncut(self, texts: pa.Array, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -156,17 +134,6 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
 
 
-def worker_encoder(vocabulary: str) -> Encoder:
-    """The encoder of this Python worker, which keeps it, and the pieces it knows, from task to task."""
-    import sys
-    import types
-    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
-    name = f"{zlib.crc32(vocabulary.encode())}:{len(vocabulary)}"
-    if name not in kept:
-        kept[name] = Encoder(vocabulary)
-    return kept[name]
-
-
 def code_lengths(counts: np.ndarray, most_bits: int = MOST_BITS) -> np.ndarray:
     """Best code lengths of at most ``most_bits`` bits for ids with these counts (package-merge); 0 for absent ids."""
     present = np.flatnonzero(counts)
@@ -262,7 +229,7 @@ def encode_texts(df: DataFrame, vocabulary: str, id_col: str, text_col: str) ->
     wide = max(json.loads(vocabulary)["model"]["vocab"].values(), default=0) >= 1 << 16
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(vocabulary)
+        encoder = kept_by_worker("ids", vocabulary.encode(), lambda raw: Encoder(raw.decode()))
         names, total = ["doc_id", "n_tokens", "ids", "seen"], np.zeros(len(encoder.opens) + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
