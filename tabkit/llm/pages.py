@@ -2,7 +2,7 @@
 
 A page is read into blocks, the text between block-level tags. Scripts, styles, heads and hidden parts are no blocks; menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments are known by their tag, role, class or id. The blocks
-of all pages of a host, as word counts and hashes, are the token streams; a suffix array over them, built by the same
+of all pages of a host outside marked articles, as word counts and hashes, are the token streams; a suffix array over them, built by the same
 distributed prefix doubling as in ``lines``, gives the runs of blocks with ``LEAST_WORDS`` words or more that repeat on distinct
 pages. Blocks covered by such runs are boilerplate, and what is left are the unique runs, joined by line ends in page order.
 
@@ -174,10 +174,12 @@ def _streams(pages: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         for batch in batches:
-            owner, hashes, sizes, words = [], [], [], []
+            owner, hashes, sizes, words, own = [], [], [], [], []
             for i, (host, page) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                seed = xxhash.xxh3_64_intdigest(host)
-                for block in blocks_of(page):
+                seed, blocks = xxhash.xxh3_64_intdigest(host), blocks_of(page)
+                best = max((b.place for b in blocks if not b.known), default=0)
+                for block in blocks:
+                    own.append(best > 0 and block.place == best and not block.known)
                     owner.append(i)
                     hashes.append(xxhash.xxh3_64_intdigest(block.text, seed))
                     sizes.append(len(block.text))
@@ -187,9 +189,10 @@ def _streams(pages: DataFrame) -> DataFrame:
             first = np.searchsorted(owner, owner, side="left")
             of = np.searchsorted(places, np.arange(len(owner) + 1))
             row = pa.array(owner)
-            yield pa.record_batch([batch.column(0).take(row), batch.column(1).take(row), pa.array((np.arange(len(owner)) - first).astype(np.int32)),
-                                   pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()),
-                                   pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(lengths.astype(np.int32)))], ["id", "print", "pos", "h1", "h2", "parts"])
+            rows = pa.record_batch([batch.column(0).take(row), batch.column(1).take(row), pa.array((np.arange(len(owner)) - first).astype(np.int32)),
+                                    pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()),
+                                    pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(lengths.astype(np.int32)))], ["id", "print", "pos", "h1", "h2", "parts"])
+            yield rows.filter(pa.array(~np.array(own, bool)))  # the places of what is left out stay empty, so no run goes across
 
     return pages.select("id", "print", "host", "html").mapInArrow(task, "id bigint, print bigint, pos int, h1 bigint, h2 int, parts array<int>")
 
