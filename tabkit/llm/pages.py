@@ -102,9 +102,11 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(depth: int) -> None:
         nonlocal place, known, mute
-        flush()
+        _, *after = open_[depth - 1] if depth else ("", 0, False, False)
+        if [place, known, mute] != after or any(name in BLOCK for name, *_ in open_[depth:]):
+            flush()
         del open_[depth:]
-        _, place, known, mute = open_[-1] if open_ else ("", 0, False, False)
+        place, known, mute = after
 
     while at < end:
         lt = page.find("<", at)
