@@ -304,7 +304,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
                                        binary_array(within[places].astype("<u8").view(np.uint8), 8 * np.concatenate([[0], np.cumsum(each)]))],
                                       ["part", "doc_id", "n_tokens", "bits", "marks"])
 
-    coded = (encoded.select(F.coalesce(number, F.lit(0)).cast("int").alias("part"), "doc_id", "n_tokens", "ids")
+    coded = (encoded.select(F.when(F.col("doc_id").isNull(), 0).otherwise(number).cast("int").alias("part"), "doc_id", "n_tokens", "ids")
              .mapInArrow(code_task, "part int, doc_id bigint, n_tokens bigint, bits binary, marks binary"))
     ordered = coded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n_tokens", "bits")
 
