@@ -29,9 +29,9 @@ def one_hot(spark, sf_dir):
 
 @query("label_encode", f"""
 SELECT id, priority, priority_encoded, cust, cust_encoded FROM {GAPPY_SQL}
-LEFT JOIN (SELECT priority, CAST(row_number() OVER (ORDER BY priority) - 1 AS INT) AS priority_encoded
+LEFT JOIN (SELECT priority, CAST(row_number() OVER (ORDER BY priority) - 1 AS BIGINT) AS priority_encoded
            FROM (SELECT DISTINCT priority FROM {GAPPY_SQL} WHERE priority IS NOT NULL)) USING (priority)
-LEFT JOIN (SELECT cust, CAST(row_number() OVER (ORDER BY cust) - 1 AS INT) AS cust_encoded
+LEFT JOIN (SELECT cust, CAST(row_number() OVER (ORDER BY cust) - 1 AS BIGINT) AS cust_encoded
            FROM (SELECT DISTINCT cust FROM {GAPPY_SQL})) USING (cust)""")
 def label_encode(spark, sf_dir):
     return E.label_encode(gappy(spark, sf_dir).select("id", "priority", "cust"), ["priority", "cust"])
@@ -47,6 +47,27 @@ def string_index_frequency(spark, sf_dir):
     return E.string_index_frequency(gappy(spark, sf_dir).select("id", "priority"), ["priority"])
 
 
+@query("string_index_frequency_large", """
+WITH k AS (SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS DOUBLE) AS i
+           FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_linenumber, k.part, i AS "partIndex" FROM lineitem JOIN k ON CAST(l_partkey AS VARCHAR) = k.part""")
+def string_index_frequency_large(spark, sf_dir):
+    """As many values as there are parts."""
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return E.string_index_frequency(df, ["part"])
+
+
+@query("one_hot_sparse", f"""
+SELECT id, cust, CAST(dense_rank() OVER (ORDER BY cust) - 1 AS DOUBLE) AS position, 1.0::DOUBLE AS total,
+ CAST((SELECT count(DISTINCT cust) FROM {GAPPY_SQL}) AS INT) AS size FROM {GAPPY_SQL}""")
+def one_hot_sparse(spark, sf_dir):
+    """The place of the 1, the sum and the length of every vector."""
+    out = E.one_hot_sparse(gappy(spark, sf_dir).select("id", "cust"), "cust")
+    dense = vector_to_array("cust_vector")
+    return out.select("id", "cust", (F.array_position(dense, 1.0) - 1).cast("double").alias("position"),
+                      F.aggregate(dense, F.lit(0.0), lambda a, x: a + x).alias("total"), F.size(dense).alias("size"))
+
+
 @query("minmax_params", " UNION ALL ".join(
     f"SELECT '{c}' AS name, min({c}) + 0.0 AS min, max({c}) + 0.0 AS max, round(1.0 / (max({c}) - min({c})), 9) AS scale FROM lineitem"
     for c in MEASURES))

@@ -96,8 +96,7 @@ SELECT t.id, coalesce(k.i, CAST((SELECT count(*) FROM k) AS DOUBLE)) AS "priorit
 FROM t LEFT JOIN k ON t.priority = k.priority""")
 def impute_category_sentinel(spark, sf_dir):
     df = gappy(spark, sf_dir).select("id", "priority")
-    stages = Pipeline(stages=M.category_imputer(df, ["priority"]))
-    return stages.fit(df).transform(df).drop("priority")
+    return M.impute_category(df, ["priority"]).drop("priority")
 
 
 # Made-up rates by age, and by sex and age; the last band of each is open-ended.
@@ -124,6 +123,22 @@ def impute_by_rate(spark, sf_dir):
     return M.impute_by_rate(df, "flag", "id", "age", "sex", bands, by_sex)
 
 
+@query("impute_by_rate_named", f"""
+SELECT g.id, g.sex, g.age, g.age AS lo, 'kept' AS hi, g.sex AS grp, coalesce(CASE WHEN g.flag > 1 THEN 1 ELSE g.flag END, greatest(
+    coalesce(CAST({draw_sql('g.id', repr('first'))} < CAST(a.prob AS DOUBLE) AS INT), 0),
+    coalesce(CAST({draw_sql('g.id', repr('second'))} < CAST(s.prob AS DOUBLE) AS INT), 0))) AS flag
+FROM {GAPPY_SQL} AS g
+LEFT JOIN {values_sql(AGE_RATES, 'a(lo, hi, prob)')} ON g.age >= a.lo AND (a.hi IS NULL OR g.age <= a.hi)
+LEFT JOIN {values_sql(SEX_AGE_RATES, 's(grp, lo, hi, prob)')} ON g.sex = s.grp AND g.age >= s.lo AND (s.hi IS NULL OR g.age <= s.hi)""")
+def impute_by_rate_named(spark, sf_dir):
+    """The caller's own columns lo, hi and grp are kept."""
+    flag = F.least(F.col("flag"), F.lit(1))
+    df = gappy(spark, sf_dir).select("id", "sex", "age", F.col("age").alias("lo"), F.lit("kept").alias("hi"), F.col("sex").alias("grp"),
+                                     F.when(F.col("flag").isNotNull(), flag).alias("flag"))
+    return M.impute_by_rate(df, "flag", "id", "age", "sex", inline(spark, AGE_RATES, "lo int, hi int, prob double"),
+                            inline(spark, SEX_AGE_RATES, "grp int, lo int, hi int, prob double"))
+
+
 def _chain_sql(width: str, lo_op: str, hi_op: str) -> str:
     steps, source = [], "t"
     for i, c in enumerate(("value", "sq")):

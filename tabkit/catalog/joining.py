@@ -50,6 +50,23 @@ def join_band_large(spark, sf_dir):
     return hits.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("hits"), F.sum("p_partkey").alias("keys"))
 
 
+SPREAD = ["SELECT p_retailprice * 2 AS lo, p_retailprice * 2.0002 AS hi, p_partkey FROM part",
+          "SELECT CAST(1e12 AS DOUBLE), CAST(1.1e12 AS DOUBLE), -1", "SELECT CAST(0 AS DOUBLE), CAST(1e6 AS DOUBLE), -2",
+          "SELECT CAST(4000 AS DOUBLE), CAST(NULL AS DOUBLE), -3", "SELECT CAST(5 AS DOUBLE), CAST(4 AS DOUBLE), -4"]
+
+
+@query("join_band_spread", f"""
+SELECT l_suppkey, CAST(count(*) AS BIGINT) AS hits, CAST(sum(p_partkey) AS BIGINT) AS keys
+FROM lineitem JOIN ({' UNION ALL '.join(SPREAD)}) ON l_extendedprice / l_quantity >= lo AND (hi IS NULL OR l_extendedprice / l_quantity <= hi) GROUP BY 1""")
+def join_band_spread(spark, sf_dir):
+    """Tightly packed bands with a far, a very long, an open-ended and a reversed one among them."""
+    bands = table(spark, sf_dir, "part").selectExpr("p_retailprice * 2 AS lo", "p_retailprice * 2.0002D AS hi", "p_partkey")
+    bands = bands.unionByName(inline(spark, [(1e12, 1.1e12, -1), (0.0, 1e6, -2), (4000.0, None, -3), (5.0, 4.0, -4)], "lo double, hi double, p_partkey bigint"))
+    prices = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey", "l_extendedprice / l_quantity AS price")
+    hits = J.join_band(prices, bands, "price", "inner")
+    return hits.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("hits"), F.sum("p_partkey").alias("keys"))
+
+
 @query("join_by_row_key", """
 SELECT event_id, value, round(value * 2.0, 6) + 0.0 AS twice FROM events""")
 def join_by_row_key(spark, sf_dir):

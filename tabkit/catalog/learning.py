@@ -70,9 +70,10 @@ def fit_predict(spark, sf_dir):
         F.col("c_custkey").alias("id"), (F.col("c_acctbal") > 5000).cast("double").alias("label"),
         F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"),
         F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"), F.col("c_nationkey").cast("double").alias("nation"))
+    df = M.impute_category(df, ["segment"])
     numbers = ["Imputedbalance", "Imputednation"]
     products = PairwiseProduct(inputCols=numbers)
-    before = [*M.category_imputer(df, ["segment"]), M.ml_imputer(["balance", "nation"]), products, Square(inputCols=numbers)]
+    before = [M.ml_imputer(["balance", "nation"]), products, Square(inputCols=numbers)]
     cols = [*products.getOutputCols(), *numbers, "ImputedsegmentIndex"]
     model = L.make_pipeline("random_forest", cols, "label", before, numTrees=10, maxDepth=4).fit(df)
     return model.transform(df).select("id", "label", "prediction")
@@ -120,7 +121,7 @@ WITH d AS (SELECT q.vec_id AS id, b.vec_id AS bid, b.label, {distance} AS dist F
             JOIN (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) AS b ON q.vec_id <> b.vec_id),
      n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, bid) <= {k}),
      v AS (SELECT id, label, round(sum({weight}), 9) AS votes FROM n GROUP BY id, label)
-SELECT id, CAST(label AS BIGINT) AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1"""
+SELECT id, label AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1"""
 
 
 def vectors(spark, sf_dir):
@@ -131,11 +132,36 @@ def vectors(spark, sf_dir):
 def knn_uniform(spark, sf_dir):
     """Every vector labelled by its 5 nearest others."""
     df = vectors(spark, sf_dir)
-    return knn_classify(df, df, 5, 2, "uniform")
+    return knn_classify(df, df, 5, 2, "uniform", same=True)
 
 
 @query("knn_classify_weighted", KNN_SQL.format(
     distance="list_sum(list_transform(list_zip(q.e, b.e), lambda x: abs(x[1] - x[2])))", k=10, weight="1 / dist"))
 def knn_weighted(spark, sf_dir):
     df = vectors(spark, sf_dir)
-    return knn_classify(df, df, 10, 1, "distance")
+    return knn_classify(df, df, 10, 1, "distance", same=True)
+
+
+TRAIN_TEST_SQL = """
+WITH base AS (SELECT vec_id % 400 AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 5 <> 0),
+ d AS (SELECT q.vec_id AS id, b.id AS bid, {label} AS label, {distance} AS dist
+   FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 5 = 0) AS q, base AS b),
+ n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, bid) <= 5),
+ v AS (SELECT id, label, count(*) AS votes FROM n GROUP BY id, label)
+SELECT id, label AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1"""
+
+
+@query("knn_train_test", TRAIN_TEST_SQL.format(label="b.label", distance="list_distance(q.e, b.e)").replace("vec_id % 400", "vec_id"))
+def knn_train_test(spark, sf_dir):
+    """Test vectors against training vectors."""
+    df = vectors(spark, sf_dir)
+    return knn_classify(df.where("id % 5 <> 0"), df.where("id % 5 = 0"))
+
+
+@query("knn_text_labels", TRAIN_TEST_SQL.format(label="'class ' || CAST(b.label AS VARCHAR)", distance=(
+    "pow(list_sum(list_transform(list_zip(q.e, b.e), lambda x: pow(abs(x[1] - x[2]), 3))), 1 / 3.0::DOUBLE)")).replace("vec_id % 400", "vec_id + 1"))
+def knn_text_labels(spark, sf_dir):
+    """Text labels, the third power, and ids that the two tables share for different vectors."""
+    df = vectors(spark, sf_dir)
+    base = df.where("id % 5 <> 0").select((F.col("id") + 1).alias("id"), "vec", F.concat(F.lit("class "), F.col("label")).alias("label"))
+    return knn_classify(base, df.where("id % 5 = 0"), 5, 3)

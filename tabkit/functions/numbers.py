@@ -29,11 +29,6 @@ def row_max(*cols: Column) -> Column:
     return F.greatest(*cols)
 
 
-def z_score(x: Column, mean: float, std: float) -> Column:
-    """NULL when the spread is zero."""
-    return F.try_divide(x - F.lit(mean), F.lit(std))
-
-
 def array_map(arr: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(arr, fn)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.columns import ref
 
-BROADCAST_BANDS = 50_000  # at most 300,000 narrow rows
+CELLS = 4_096  # cuts of the number line that the driver holds
+SLOTS_PER_BAND = 6  # places under which a band is listed, on average, at most
+COLLECTED_BANDS = 10_000  # bands whose ends the driver compares itself
 
 
 def join_full_outer(left: DataFrame, right: DataFrame, lcol: str, rcol: str) -> DataFrame:
@@ -15,7 +18,8 @@ def join_full_outer(left: DataFrame, right: DataFrame, lcol: str, rcol: str) ->
 
     Written as a left join plus the right rows whose key never occurs on the left. A full outer join always
     shuffles both sides and cannot split a hot key; a left join broadcasts a small right side or splits hot keys
-    of the left, and the keys that occur are reduced to one each before they move.
+    of the left, and the keys that occur are reduced to one each before they move. The left side is read twice: store
+    it first if it is expensive.
     """
     matched = left.join(right, ref(lcol) == ref(rcol), "left")
     occurring = left.select(ref(lcol).alias("_key")).where(F.col("_key").isNotNull()).distinct()
@@ -28,43 +32,83 @@ def join_by_row_key(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other, key, "inner")
 
 
+def _cell(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataFrame:
+    """Add the number of the cell of a value between sorted cuts; NULL for NULL and NaN."""
+    kept = df.withColumn("_value", F.when(~F.isnan(value.cast("double")), value.cast("double")))
+    splits = [float("-inf"), *cuts, float("inf")]
+    put = Bucketizer(splits=splits, inputCol="_value", outputCol=name, handleInvalid="keep").transform(kept)
+    return put.withColumn(name, F.when(F.col("_value").isNotNull(), F.col(name).cast("bigint"))).drop("_value")
+
+
 def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
-              eq: tuple[str, str] | None = None) -> DataFrame:
+              eq: tuple[str, str] | None = None, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Attach the bands with lo <= col <= hi; a NULL hi is open-ended. ``eq`` = (df column, band column).
 
-    The number line is cut into slots at least as wide as an average band, few enough that all bands together
-    are listed under no more than six slots per band. A row lies in exactly one slot, so the join is an equality
-    join on the slot with the exact range test behind it: the counted bands are broadcast when they are few; otherwise
-    both sides are shuffled and slots that hold very many rows are split. Very long bands among many short ones widen
-    every slot; join them in a call of their own.
+    The number line is cut at quantiles of the band ends, and the cells between the cuts into equal slots, so that far or
+    very long bands do not widen the slots of the others. Of several numbers of slots the largest is taken that lists all
+    bands under no more than six slots each on average. A row lies in exactly one slot, so the join is an equality
+    join on the slot with the exact range test behind it; Spark broadcasts the bands if they are small, and otherwise
+    splits slots that hold very many rows. A band whose hi is below its lo holds nothing. The sides share no column name.
     """
-    lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
-    stats = bands.agg(F.min(lo), F.greatest(F.max(lo), F.max(hi)), F.avg(hi - lo),
-                      F.count(F.lit(1)), F.count_if(hi.isNull())).first()
-    start, end, mean_width, count, open_ended = [v or 0.0 for v in stats]
-    most_slots = max(1, 4 * count // max(1, open_ended))
-    width = max(mean_width, (end - start) / most_slots) or 1.0
-    last = int((end - start) // width)
-
-    def slot(x):
-        number = F.floor((x.cast("double") - F.lit(start)) / F.lit(width))
-        return F.greatest(F.least(number, F.lit(last)), F.lit(0)) 
-
-    own = {c: f"_band_{c}" for c in bands.columns}
-    covered = F.sequence(slot(lo).cast("int"), F.coalesce(slot(hi), F.lit(last)).cast("int"))
-    listed = bands.withColumn("_band_slot", F.explode(covered)).withColumnsRenamed(own)
-    listed = F.broadcast(listed) if count <= BROADCAST_BANDS else listed
-    rows = df.withColumn("_slot", slot(ref(col)).cast("int"))
-    condition = ((F.col("_slot") == F.col("_band_slot")) & (ref(col) >= F.col("_band_lo"))
-                 & (F.col("_band_hi").isNull() | (ref(col) <= F.col("_band_hi"))))
+    clash = sorted(set(c.lower() for c in df.columns) & set(c.lower() for c in bands.columns))
+    if clash:
+        raise ValueError(f"both sides have the columns {clash}")
+    ends = bands.select(F.explode(F.array(ref(lo).cast("double"), ref(hi).cast("double"))).alias("end")).where("end IS NOT NULL AND NOT isnan(end)")
+    count, found = ends.agg(F.count(F.lit(1)), F.percentile_approx("end", [i / CELLS for i in range(CELLS + 1)], 10 * CELLS)).first()
+    cuts = sorted({float(x) for x in found or [] if abs(x) != float("inf")}) or [0.0]
+    levels = [1]
+    while levels[-1] < 2 * count:
+        levels.append(4 * levels[-1])
+
+    def slot(value: Column, cell: Column, slots: int) -> Column:
+        """Number of the slot: fewer slots than cells join cells, more divide each cell that has two cuts."""
+        each = max(1, slots // (len(cuts) + 1))
+        if each == 1:
+            return F.floor(cell * F.lit(min(slots, len(cuts) + 1)) / F.lit(len(cuts) + 1)).cast("bigint")
+        at = F.array(*map(F.lit, cuts))
+        below, above = F.get(at, cell.cast("int") - 1), F.get(at, cell.cast("int"))
+        part = F.floor((value.cast("double") - below) / (above - below) * F.lit(each))
+        inner = F.when(below.isNotNull() & above.isNotNull(), F.greatest(F.least(part, F.lit(each - 1)), F.lit(0))).otherwise(0)
+        return (cell * F.lit(each) + inner).cast("bigint")
+
+    last = F.lit(len(cuts)).cast("bigint")
+    own = {c: f"_band_{i}" for i, c in enumerate(bands.columns)}
+    named = bands.withColumnsRenamed(own)
+    b_lo, b_hi = F.col(own[lo]), F.col(own[hi])
+    cut = _cell(_cell(named, b_lo, cuts, "_first"), b_hi, cuts, "_last").withColumn("_last", F.when(b_hi.isNull(), last).otherwise(F.col("_last")))
+    cut = cut.where((b_hi.isNull() | (b_hi >= b_lo)) & F.col("_first").isNotNull())
+
+    def covered(slots: int) -> tuple[Column, Column]:
+        each = max(1, slots // (len(cuts) + 1))
+        end = F.when(b_hi.isNull(), F.lit((len(cuts) + 1) * each - 1) if each > 1 else slot(F.lit(0.0), last, slots)).otherwise(slot(b_hi, F.col("_last"), slots))
+        return slot(b_lo, F.col("_first"), slots), end
+
+    spans = cut.agg(*[F.sum(covered(n)[1] - covered(n)[0] + 1) for n in levels]).first()
+    slots = max([n for n, listed in zip(levels, spans) if (listed or 0) <= SLOTS_PER_BAND * max(1, count)], default=1)
+    listed = cut.withColumn("_band_slot", F.explode(F.sequence(*covered(slots)))).drop("_first", "_last")
+    rows = _cell(df, ref(col), cuts, "_cell").withColumn("_slot", slot(ref(col), F.col("_cell"), slots)).drop("_cell")
+    condition = (F.col("_slot") == F.col("_band_slot")) & (ref(col) >= b_lo) & (b_hi.isNull() | (ref(col) <= b_hi))
     if eq is not None:
         condition = condition & (ref(eq[0]) == F.col(own[eq[1]]))
     return (rows.join(listed, condition, how).drop("_slot", "_band_slot")
             .withColumnsRenamed({new: old for old, new in own.items()}))
 
 
-def bands_overlap(bands: DataFrame, by: str | None = None) -> bool:
-    """Whether two bands of one group share a value: then some lower end lies in more than its own band."""
-    points = bands.select(F.col("lo").alias("_point"), *([ref(by).alias("_by")] if by else []))
-    hits = join_band(points, bands, "_point", "inner", ("_by", by) if by else None)
-    return hits.count() > bands.count()
+def bands_overlap(bands: DataFrame, by: str | None = None, lo: str = "lo", hi: str = "hi") -> bool:
+    """Whether two bands of one group share a value. Bands whose hi is below their lo hold nothing and are ignored.
+
+    Few bands are compared on the driver, counted first; of many, some lower end lies in two bands.
+    """
+    group = ref(by) if by else F.lit(0)
+    own = bands.select(group.alias("by"), ref(lo).cast("double").alias("lo"), ref(hi).cast("double").alias("hi")).where("lo IS NOT NULL AND (hi IS NULL OR hi >= lo)")
+    few = own.limit(COLLECTED_BANDS + 1).collect()
+    if len(few) <= COLLECTED_BANDS:
+        upto: dict[object, float] = {}
+        for row in sorted(few, key=lambda r: r.lo):
+            if row.by is not None and row.lo <= upto.get(row.by, float("-inf")):
+                return True
+            upto[row.by] = max(upto.get(row.by, float("-inf")), float("inf") if row.hi is None else row.hi)
+        return False
+    points = own.select(F.col("by").alias("_by"), F.col("lo").alias("_point")).distinct()
+    hits = join_band(points, own, "_point", "inner", ("_by", "by"))
+    return not hits.groupBy("_by", "_point").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()

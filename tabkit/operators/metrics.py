@@ -7,15 +7,14 @@ from functools import reduce
 from itertools import product
 from statistics import NormalDist
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabkit.columns import long_form, ref
+from tabkit.runtime import settle
 
 SCORES_PER_SLICE = 1_000_000
-MOST_SLICES = 10_000
 
 
 def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -73,20 +72,18 @@ def classification_report(df: DataFrame, y: str, p: str, labels: Sequence = (0,
 def auc_roc(df: DataFrame, y: str, score: str) -> DataFrame:
     """Exact area under the ROC curve: share of (positive, negative) pairs in the right order, ties count half.
 
-    Rows are reduced to one per distinct score. The scores are cut into slices of about equal size, ranked
-    inside each slice, and only the slice totals are ranked globally.
+    NULL scores and labels are left out; NaN counts as the highest score. Rows are reduced to one per distinct score. The
+    scores are cut into as many ranges as they need, ranked inside each, and only the range totals are ranked globally. Ranges
+    are stored, because a range computed anew could begin elsewhere.
     """
-    s = ref(score).cast("double")
+    s = ref(score).cast("double") + F.lit(0.0)
     rows = df.filter(s.isNotNull() & ref(y).isNotNull()).select(s.alias("s"), (ref(y) == 1).cast("bigint").alias("pos"))
-    slices = min(MOST_SLICES, rows.count() // SCORES_PER_SLICE + 1)
     by_score = rows.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum(F.lit(1) - F.col("pos")).alias("neg"))
+    slices = rows.count() // SCORES_PER_SLICE + 1
     if slices == 1:
-        sliced = by_score.withColumn("slice", F.lit(0.0))
+        sliced = by_score.withColumn("slice", F.lit(0))
     else:
-        inner = [i / slices for i in range(1, slices)]
-        cuts = rows.agg(F.percentile_approx("s", inner, 10 * slices)).first()[0]
-        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-        sliced = Bucketizer(splits=splits, inputCol="s", outputCol="slice").transform(by_score)
+        sliced = settle(by_score.repartitionByRange(slices, "s").withColumn("slice", F.spark_partition_id()), "scores")
     lower = W.partitionBy("slice").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     inside = sliced.withColumn("below", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
     totals = inside.groupBy("slice").agg(

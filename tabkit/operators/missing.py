@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Imputer, StringIndexer
+from pyspark.ml.feature import Imputer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.columns import float_cols, long_form, ref, replace_columns, string_cols
 from tabkit.functions.draws import bernoulli_by_key
-from tabkit.operators.joins import join_band
+from tabkit.operators.features import string_index_frequency
+from tabkit.operators.joins import bands_overlap, join_band
 
 
 def nan_to_null(df: DataFrame, text: bool = False) -> DataFrame:
@@ -105,13 +106,11 @@ def ml_imputer(cols: Sequence[str], strategy: str = "mean", prefix: str = "Imput
     return Imputer(inputCols=list(cols), outputCols=[prefix + c for c in cols], strategy=strategy)
 
 
-def category_imputer(df: DataFrame, cols: Sequence[str]) -> list:
-    """Stages that index text columns and fill the "unknown" index with the most frequent one."""
-    counts = df.agg(*[F.count_distinct(ref(c)) for c in cols]).first()
-    indexer = StringIndexer(inputCols=list(cols), outputCols=[f"{c}Index" for c in cols], handleInvalid="keep")
-    fillers = [Imputer(inputCol=f"{c}Index", outputCol=f"Imputed{c}Index", strategy="mode", missingValue=float(n))
-               for c, n in zip(cols, counts)]
-    return [indexer, *fillers]
+def impute_category(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Index text columns by falling frequency, as ``<column>Index``, and fill the index of unknown values with the most
+    frequent one, as ``Imputed<column>Index``."""
+    out = string_index_frequency(df, cols)
+    return out.select("*", *[F.when(ref(c).isNull(), F.lit(0.0)).otherwise(ref(f"{c}Index")).alias(f"Imputed{c}Index") for c in cols])
 
 
 def impute_by_rate(df: DataFrame, target: str, key: str, value: str, group: str,
@@ -119,12 +118,15 @@ def impute_by_rate(df: DataFrame, target: str, key: str, value: str, group: str,
     """Fill a NULL flag by two independent draws against published rates; 1 if either draw says so.
 
     ``bands`` (lo, hi, prob) is looked up by ``value``; ``group_bands`` (grp, lo, hi, prob) by ``group`` and
-    ``value``. Bands must not overlap. Rows outside all bands stay, with probability 0.
+    ``value``. Bands that overlap are refused, since a row would come back twice. Rows outside all bands stay, with
+    probability 0. Columns of the input are kept, whatever their names.
     """
-    first = bands.select("lo", "hi", F.col("prob").alias("_p1"))
-    second = group_bands.select("grp", "lo", "hi", F.col("prob").alias("_p2"))
-    joined = join_band(df, first, value).drop("lo", "hi")
-    joined = join_band(joined, second, value, eq=(group, "grp")).drop("lo", "hi", "grp")
+    if bands_overlap(bands) or bands_overlap(group_bands, "grp"):
+        raise ValueError("rates overlap")
+    first = bands.select(F.col("lo").alias("_lo1"), F.col("hi").alias("_hi1"), F.col("prob").alias("_p1"))
+    second = group_bands.select(F.col("grp").alias("_grp2"), F.col("lo").alias("_lo2"), F.col("hi").alias("_hi2"), F.col("prob").alias("_p2"))
+    joined = join_band(df, first, value, lo="_lo1", hi="_hi1").drop("_lo1", "_hi1")
+    joined = join_band(joined, second, value, eq=(group, "_grp2"), lo="_lo2", hi="_hi2").drop("_lo2", "_hi2", "_grp2")
     drawn = F.greatest(bernoulli_by_key(ref(key), F.col("_p1"), "first"),
                        bernoulli_by_key(ref(key), F.col("_p2"), "second"))
     return joined.withColumn(target, F.coalesce(ref(target), drawn)).drop("_p1", "_p2")

@@ -52,7 +52,7 @@ def make_pipeline(kind: str, cols: Sequence[str], label: str, before: Sequence =
 def evaluator(metric: str, label: str, score: str = "rawPrediction"):
     """Area under the ROC curve of a score column ("auc") or share of right predictions ("accuracy")."""
     if metric == "auc":
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC")
+        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0)  # 0: exact
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,13 +12,12 @@ from tabkit.columns import ref
 from tabkit.functions.draws import uniform_by_key
 from tabkit.runtime import settle
 
-ROWS_PER_SLICE = 100_000
-MOST_SLICES = 100_000
-BROADCAST_LABELS = 100_000  # one narrow row per label
-
 
 def split_by_key(df: DataFrame, key: str, ratio: float, salt: int | str = "split") -> tuple[DataFrame, DataFrame]:
-    """Two disjoint parts that together are the whole, the first with about ``ratio`` of the rows."""
+    """Two disjoint parts that together are the whole, the first with about ``ratio`` of the rows.
+
+    Rows that share a key stay together, so all rows without a key are in one part.
+    """
     draw = uniform_by_key(ref(key), salt)
     return df.filter(draw < ratio), df.filter(draw >= ratio)
 
@@ -25,17 +26,25 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, salt: int | str = "s
     return df.filter(uniform_by_key(ref(key), salt) < fraction)
 
 
+def slices_for(rows: int) -> int:
+    return max(1, isqrt(rows))
+
+
 def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
                      salt: int | str = "split") -> tuple[DataFrame, DataFrame]:
     """Exactly round(ratio * n) rows of every label in the first part: those with the smallest draws.
 
-    Draws are uniform, so equal slices of [0, 1) hold about equally many rows. Slice counts tell in which slice
-    the last chosen row of a label lies, and only that slice is sorted.
+    That holds for a key without NULL (refused) and without repeats; rows that share a key stay together, so a key
+    that repeats moves the number by its repeats at most. Draws are uniform, so equal slices of [0, 1) hold about equally
+    many rows. The slices grow with the square root of the rows, in number and size. Slice counts tell in which slice the last chosen row of a label
+    lies, and only that slice is sorted.
     """
     drawn = df.withColumn("_u", uniform_by_key(ref(key), salt))
-    per_label = drawn.groupBy(ref(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    most, labels = per_label.agg(F.coalesce(F.max("_n"), F.lit(0)), F.count(F.lit(1))).first()
-    slices = min(MOST_SLICES, most // ROWS_PER_SLICE + 1)
+    per_label = drawn.groupBy(ref(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"), F.count_if(ref(key).isNull()).alias("_without"))
+    most, without = per_label.agg(F.coalesce(F.max("_n"), F.lit(0)), F.coalesce(F.sum("_without"), F.lit(0))).first()
+    if without:
+        raise ValueError(f"{without} rows have no {key}")
+    slices = slices_for(most)
     in_slice = drawn.select(ref(label).alias("_label"), F.floor(F.col("_u") * slices).alias("_slice"), "_u", ref(key).alias("_key"))
     counts = in_slice.groupBy("_label", "_slice").agg(F.count(F.lit(1)).alias("_in"))
     by_label = W.partitionBy("_label")
@@ -44,14 +53,11 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     edge = upto.filter((F.col("_take") > F.col("_upto") - F.col("_in")) & (F.col("_take") <= F.col("_upto")))
     edge = edge.select(F.col("_label").alias("_edge_label"), F.col("_slice").alias("_edge_slice"), (F.col("_take") - F.col("_upto") + F.col("_in")).alias("_rank"))
     in_order = F.row_number().over(W.partitionBy("_label").orderBy("_u", "_key"))
-    few = labels <= BROADCAST_LABELS
-    edge = F.broadcast(edge) if few else edge
     at_edge = F.col("_label").eqNullSafe(F.col("_edge_label")) & (F.col("_slice") == F.col("_edge_slice"))
     last = (in_slice.join(edge, at_edge).withColumn("_row", in_order)
             .filter(F.col("_row") == F.col("_rank"))
             .select("_label", F.struct("_u", "_key").alias("_last")))
     last = settle(last, "split")  # both parts are read again and again
-    last = F.broadcast(last) if few else last
     joined = drawn.join(last, ref(label).eqNullSafe(F.col("_label")), "left")
     chosen = F.coalesce(F.struct(F.col("_u"), ref(key).alias("_key")) <= F.col("_last"), F.lit(False))
     flagged = joined.withColumn("_chosen", chosen).drop("_u", "_label", "_last")

@@ -10,30 +10,32 @@ from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
-from tabkit.operators.features import pairwise, squares
+from tabkit.columns import ref
+from tabkit.functions.numbers import product, square
 
 
 class PairwiseProduct(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Products of all pairs of the input columns, named ``<a>_<b>``."""
+    """Products of all pairs of the input columns, by default named ``<a>_<b>``."""
 
     @keyword_only
-    def __init__(self, *, inputCols=None):
+    def __init__(self, *, inputCols=None, outputCols=None):
         super().__init__()
         if inputCols is not None:
-            self._set(inputCols=inputCols, outputCols=[f"{a}_{b}" for a, b in combinations(inputCols, 2)])
+            self._set(inputCols=inputCols, outputCols=outputCols or [f"{a}_{b}" for a, b in combinations(inputCols, 2)])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return pairwise(dataset, self.getInputCols(), name="{a}_{b}")
+        pairs = combinations(self.getInputCols(), 2)
+        return dataset.select("*", *[product(ref(a), ref(b)).alias(out) for (a, b), out in zip(pairs, self.getOutputCols(), strict=True)])
 
 
 class Square(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Squares of the input columns, named ``<a>_square``."""
+    """Squares of the input columns, by default named ``<a>_square``."""
 
     @keyword_only
-    def __init__(self, *, inputCols=None):
+    def __init__(self, *, inputCols=None, outputCols=None):
         super().__init__()
         if inputCols is not None:
-            self._set(inputCols=inputCols, outputCols=[f"{a}_square" for a in inputCols])
+            self._set(inputCols=inputCols, outputCols=outputCols or [f"{a}_square" for a in inputCols])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return squares(dataset, self.getInputCols())
+        return dataset.select("*", *[square(ref(a)).alias(out) for a, out in zip(self.getInputCols(), self.getOutputCols(), strict=True)])

@@ -15,10 +15,15 @@ from tabkit.operators import metrics as X
 from tabkit.operators import missing as M
 from tabkit.operators import outliers as O
 from tabkit.operators import projection as P
+from tabkit.operators import splits
 from tabkit.operators import stats as S
 from tabkit.operators import validity as V
-from tabkit.sources.readers import read_csv
+from tabkit.operators.neighbours import knn_classify, nearest
+from tabkit.operators.transformers import PairwiseProduct, Square
+from tabkit.runtime import scratch_path
+from tabkit.sources.readers import read_csv, read_parquet, read_table
 from tabkit.sources.staging import run_step, stage
+from tabkit.sources.writers import write_csv, write_parquet
 
 CELLS = ["5", "5.", ".5", ".", "", "-3", "+3", "1e5", "1E-5", " 4 ", "3 4", "1.2.3", "nan", "-inf", "Infinity", "abc", "1_000",
          "_1", "1__0", "1.5f", "0x1p3", "5\n", "\t7", "1d", "e5", "1e", None]
@@ -224,3 +229,107 @@ def test_draws_are_uniform_and_independent(spark):
     assert row[0] == pytest.approx(0.5, abs=0.01) and row[1] == pytest.approx(12 ** -0.5, abs=0.01)
     assert abs(row[2]) < 0.03 and abs(row[3]) < 0.04 and row[4] == pytest.approx(1.2, abs=0.03)
     assert 0 <= row[5] and row[6] < 1
+
+
+def test_pages_without_end_tags(spark):
+    page = ("<table><tr><th>A<th>B<tr><td>1<td>x<table><tr><td>in</table>y<tr><th>h<td>v</table><ul><li>menu<li>home</ul>"
+            "<div class='a cont'>t<ul><li>one &#8211; x<li>two</ul><ol><li>three</ol></div><div class=cont><ul><li>five</div><li>six")
+    df = spark.createDataFrame([(1, page)], "id int, html string")
+    rows = [(r["is_header"], r["cells"]) for r in H.html_table_rows(df, "html", 0).collect()]
+    assert rows == [(True, ["A", "B"]), (False, ["1", "xiny"]), (False, ["h", "v"])]
+    assert [r["cells"] for r in H.html_table_rows(df, "html", 1).collect()] == [["in", "150"]]
+
+    def items(**chosen):
+        return [r["item"] for r in H.html_list_items(df, "html", **chosen).collect()]
+
+    assert items() == ["menu", "home", "one – x", "two", "three", "five", "six"]
+    assert items(container="cont") == ["one – x", "two", "three"] and items(container="cont", n=1) == ["five"]
+    assert items(list_no=0) == ["menu", "home"] and items(container="cont", list_no=1) == ["three"]
+
+
+def test_filters_pass_the_readers(spark):
+    """Columnar reads leave filters to the files, in staged steps too; NaN does not get into what the package writes."""
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 3 = 0 THEN double('NaN') ELSE double(id) END AS x")
+    path = write_parquet(df, scratch_path(spark, "pushdown"))
+    assert read_parquet(spark, path).where("x IS NULL").count() == 34
+    stage(df, "pushed_table")
+    plans = []
+
+    def step(tables):
+        plans.append(tables["pushed_table"].where("x > 49")._jdf.queryExecution().executedPlan().toString())
+        return {"pushed_result": tables["pushed_table"]}, {}
+
+    run_step(spark, step, ["pushed_table"], ["pushed_result"], drop=["pushed_table"])
+    plans += [x.where("x > 49")._jdf.queryExecution().executedPlan().toString() for x in (read_parquet(spark, path), read_table(spark, "pushed_result"))]
+    spark.sql("DROP TABLE pushed_result")
+    assert len(plans) == 3 and all("GreaterThan(x,49.0)" in p for p in plans)
+
+
+def test_words_for_nan_in_text(spark):
+    path = write_csv(spark.createDataFrame([("NaN", 1), (" nan ", 2), ("nanny", 3)], "a string, b int"), scratch_path(spark, "nan"))
+    assert [r["a"] for r in read_csv(spark, path, "a string, b int").orderBy("b").collect()] == [None, None, "nanny"]
+
+
+def test_rates_keep_columns_and_refuse_overlaps(spark):
+    df = spark.createDataFrame([(1, 30, 0, None, 5, "x", 7)], "id int, age int, sex int, smoke int, lo int, hi string, grp int")
+    bands = spark.createDataFrame([(0, 40, 1.0), (41, None, 0.0), (9, 5, 0.5)], "lo int, hi int, prob double")
+    by_sex = spark.createDataFrame([(0, 0, 40, 1.0), (1, 0, 40, 0.0)], "grp int, lo int, hi int, prob double")
+    row = M.impute_by_rate(df, "smoke", "id", "age", "sex", bands, by_sex).first()
+    assert (row["smoke"], row["lo"], row["hi"], row["grp"]) == (1, 5, "x", 7)
+    for lo, hi in ((35, 50), (0, 5), (40, 40), (-5, None)):
+        with pytest.raises(ValueError):
+            M.impute_by_rate(df, "smoke", "id", "age", "sex", bands.unionByName(spark.createDataFrame([(lo, hi, 0.1)], "lo int, hi int, prob double")), by_sex)
+
+
+@pytest.mark.parametrize("collected", [0, 100])
+def test_overlaps(spark, monkeypatch, collected):
+    monkeypatch.setattr(J, "COLLECTED_BANDS", collected)
+    for bands, want in (([(0, 10), (5, 20), (40, 30)], True), ([(0, 10), (11, 20), (40, 30)], False), ([(0, 10), (0, 10)], True), ([(3, None), (0, 2)], False),
+                        ([(0, None), (9, 9)], True), ([], False)):
+        assert J.bands_overlap(spark.createDataFrame(bands, "lo int, hi int")) == want
+    grouped = spark.createDataFrame([(1, 0, 5), (2, 3, 8), (2, 9, None)], "g int, lo int, hi int")
+    assert J.bands_overlap(grouped) and not J.bands_overlap(grouped, "g")
+
+
+def test_band_join_refuses_clashes(spark):
+    df = spark.createDataFrame([(1, 2)], "lo int, x int")
+    with pytest.raises(ValueError):
+        J.join_band(df, spark.createDataFrame([(0, 5)], "lo int, hi int"), "x")
+
+
+@pytest.mark.parametrize("per_slice", [3, 10 ** 6])
+def test_auc_of_special_scores(spark, monkeypatch, per_slice):
+    """NaN counts as the highest score, above infinity, whatever the number of slices."""
+    monkeypatch.setattr(X, "SCORES_PER_SLICE", per_slice)
+    scores = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.0, None, float("inf"), float("inf"), float("nan"), 2.0, 3.0]
+    rows = [(i % 3 % 2, s) for i, s in enumerate(scores)]
+    key = lambda s: (1, 0.0) if s != s else (0, s)
+    pos, neg = ([key(s) for y, s in rows if y == v and s is not None] for v in (1, 0))
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert X.auc_roc(spark.createDataFrame(rows, "y int, s double"), "y", "s").first()[0] == pytest.approx(want)
+
+
+def test_stratified_split_needs_keys(spark):
+    with pytest.raises(ValueError):
+        splits.split_stratified(spark.createDataFrame([(None, "a"), (1, "a")], "id int, y string"), "id", "y", 0.5)
+
+
+def test_neighbours_of_two_tables(spark):
+    base = spark.createDataFrame([(1, [0.0], "near"), (2, [10.0], "far"), (3, [float("inf")], "gone")], "id int, vec array<double>, label string")
+    queries = spark.createDataFrame([(1, [0.1]), (7, [9.0])], "id int, vec array<double>")
+    assert {r["id"]: r["prediction"] for r in knn_classify(base, queries, 1).collect()} == {1: "near", 7: "far"}
+    assert nearest(base, queries, 3).count() == 6
+    flat = spark.createDataFrame([(1, [0.0, 0.0], 0)], "id int, vec array<double>, label int")
+    assert nearest(flat, flat.selectExpr("id + 1 AS id", "array(1.0D, 2.0D) AS vec"), 1, 3).first()["distance"] == pytest.approx(9 ** (1 / 3))
+    with pytest.raises(ValueError):
+        nearest(base, queries, 1, 0.5)
+
+
+def test_named_outputs_and_saved_stages(spark):
+    df = spark.createDataFrame([(2.0, 3.0)], "a double, b double")
+    stage_ = PairwiseProduct(inputCols=["a", "b"], outputCols=["ab"])
+    path = scratch_path(spark, "stage")
+    stage_.write().save(path)
+    assert PairwiseProduct.load(path).transform(df).first()["ab"] == 6.0
+    assert Square(inputCols=["a"], outputCols=["aa"]).transform(df).first()["aa"] == 4.0
+    assert Square(inputCols=["a"]).transform(df).columns == ["a", "b", "a_square"]

@@ -80,7 +80,7 @@ def test_neighbours(spark, monkeypatch, p, weights, block):
     labels = rnd.integers(0, 3, 150)
     rows = [(i, vecs[i].tolist(), int(labels[i])) for i in range(150)]
     df = spark.createDataFrame(rows, "id bigint, vec array<double>, label int")
-    classified = N.knn_classify(df, df, 5, p, weights)
+    classified = N.knn_classify(df, df, 5, p, weights, same=True)
     assert classified.count() == 150  # the same frame on both sides, no column used
     got = {r["id"]: r["prediction"] for r in classified.collect()}
     for i in range(150):
@@ -96,7 +96,7 @@ def test_neighbours(spark, monkeypatch, p, weights, block):
 
 @pytest.mark.parametrize("per_slice", [5, 100_000])
 def test_stratified_split(spark, monkeypatch, per_slice):
-    monkeypatch.setattr(P, "ROWS_PER_SLICE", per_slice)
+    monkeypatch.setattr(P, "slices_for", lambda rows: rows // per_slice + 1)
     df = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id = 0 THEN NULL WHEN id % 2 = 0 THEN 'b' ELSE 'c' END AS y")
     train, test = P.split_stratified(df, "id", "y", 0.9)
     assert train.count() + test.count() == 1000 and train.intersect(test).count() == 0
