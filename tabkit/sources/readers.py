@@ -1,4 +1,6 @@
-"""Readers. Each one ends with missing values as NULL only."""
+"""Readers. Missing values are NULL only: readers of text turn NaN and the word "nan" into NULL, writers write no NaN.
+
+Columnar sources are read as they are, so filters reach the files; ``nan=True`` converts tables that others wrote."""
 
 from __future__ import annotations
 
@@ -20,23 +22,24 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: Schema | No
     """CSV files. Give a schema for large inputs: inference reads the files one more time."""
     reader = spark.read.options(header=header, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return nan_to_null(reader.csv(path))
+    return nan_to_null(reader.csv(path), text=True)
 
 
 def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: Schema | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return nan_to_null(reader.json(path))
+    return nan_to_null(reader.json(path), text=True)
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: Schema | None = None) -> DataFrame:
     reader = spark.read.format("xml").option("rowTag", row_tag)
     reader = reader.schema(schema) if schema is not None else reader
-    return nan_to_null(reader.load(path))
+    return nan_to_null(reader.load(path), text=True)
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | Sequence[str], nan: bool = False) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
-    return nan_to_null(spark.read.parquet(*paths))
+    df = spark.read.parquet(*paths)
+    return nan_to_null(df) if nan else df
 
 
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -44,18 +47,19 @@ def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return nan_to_null(spark.table(name))
+def read_table(spark: SparkSession, name: str, nan: bool = False) -> DataFrame:
+    return nan_to_null(spark.table(name)) if nan else spark.table(name)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition: tuple[str, int, int, int] | None = None,
-              **options) -> DataFrame:
+              nan: bool = False, **options) -> DataFrame:
     """Database table. ``partition`` = (column, lower, upper, parts) splits the read over executors."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
     if partition is not None:
         column, lower, upper, parts = partition
         reader = reader.options(partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts)
-    return nan_to_null(reader.load())
+    df = reader.load()
+    return nan_to_null(df) if nan else df
 
 
 def read_mixed(spark: SparkSession, paths: dict[str, str], schema: T.StructType, row_tag: str = "row") -> DataFrame:

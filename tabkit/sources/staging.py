@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabkit.columns import long_form
 from tabkit.runtime import scratch_path
 from tabkit.sources.readers import read_table
-from tabkit.sources.writers import write_table
+from tabkit.sources.writers import write_parquet
 
 Step = Callable[[dict[str, DataFrame]], tuple[dict[str, DataFrame], dict]]
 
@@ -25,24 +25,23 @@ def run_step(spark: SparkSession, fn: Step, inputs: Sequence[str], outputs: Sequ
     results, metrics = fn({name: read_table(spark, name) for name in inputs})
     if set(results) != set(outputs):
         raise ValueError(f"step returned {sorted(results)}, expected {sorted(outputs)}")
-    written = {}
-    for name, df in results.items():
-        written[name] = scratch_path(spark, name)
-        df.write.parquet(written[name])
-    for name, path in written.items():
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=path, source="parquet")
+    _switch(spark, {name: write_parquet(df, scratch_path(spark, name)) for name, df in results.items()})
     for name in set(drop) - set(outputs):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return metrics
 
 
+def _switch(spark: SparkSession, written: dict[str, str]) -> None:
+    """Let table names point to folders that are written in full."""
+    for name, path in written.items():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source="parquet")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_table(df, name, scratch_path(spark, name))
-    return read_table(spark, name)
+    """Write a table to the shared folder, let the name point to it, and read it back; a failed write leaves the old table."""
+    _switch(df.sparkSession, {name: write_parquet(df, scratch_path(df.sparkSession, name))})
+    return read_table(df.sparkSession, name)
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -51,7 +50,3 @@ def table_shape(df: DataFrame) -> DataFrame:
                "row_count": F.col("row_count")} for i, f in enumerate(df.schema.fields)]
     return long_form(df.agg(F.count(F.lit(1)).alias("row_count")), fields)
 
-
-def head(df: DataFrame, order: Sequence, n: int) -> DataFrame:
-    """First n rows in a stated order."""
-    return df.orderBy(*order).limit(n)

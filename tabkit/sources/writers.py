@@ -1,12 +1,14 @@
-"""Writers. Every one writes a folder of part files in parallel."""
+"""Writers. Every one writes a folder of part files in parallel; columnar ones write NULL for NaN."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
+from tabkit.operators.missing import nan_to_null
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).parquet(path)
+    nan_to_null(df).write.mode(mode).parquet(path)
     return path
 
 
@@ -33,10 +35,10 @@ def write_text(df: DataFrame, line: Column, path: str, mode: str = "overwrite")
 
 def write_table(df: DataFrame, name: str, path: str) -> str:
     """Replace a catalog table whose files live at ``path``."""
-    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    nan_to_null(df).write.mode("overwrite").option("path", path).saveAsTable(name)
     return name
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> str:
-    df.write.mode(mode).format("jdbc").options(url=url, dbtable=table, **options).save()
+    nan_to_null(df).write.mode(mode).format("jdbc").options(url=url, dbtable=table, **options).save()
     return table
