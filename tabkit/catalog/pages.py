@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import query, rounded, table
+from tabkit.catalog.scalars import strip_sql
 from tabkit.operators import html as H
 
-STRIP_SQL = """regexp_replace(trim(regexp_replace(
-  replace(replace(replace(replace(replace(regexp_replace({x}, '(?s)<!--.*?-->|<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
-  '[ \\t\\r\\n]+', ' ', 'g')), '&nbsp;|' || chr(160), '', 'g')"""
-
-
 @query("html_list_items", f"""
-SELECT page_id, CAST(pos AS INT) AS item_no, {STRIP_SQL.format(x='items[pos + 1]')} AS item
+SELECT page_id, CAST(pos AS INT) AS item_no, {strip_sql('items[pos + 1]')} AS item
 FROM (SELECT page_id, items, unnest(range(len(items))) AS pos
       FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS items FROM pages))""")
 def html_list_items(spark, sf_dir):
@@ -39,6 +34,46 @@ def html_table_rows(spark, sf_dir):
     return rows.select("o_orderkey", "row_no", "is_header", F.col("cells")[0].alias("field"), F.col("cells")[1].alias("value"))
 
 
+# One page per order without end tags of cells, rows and items, with a table inside a cell and numeric references.
+LEGAL_PAGE = ("'<table><tr><th>Field<th>Value<tr><td>status<td><table><tr><td>' || o_orderstatus || '</table> &amp; <i>more</i><tr><td>'"
+              " || CAST(o_custkey AS STRING) || '&#8211;&#x31;</table><ul class=menu><li>home<li>' || o_orderpriority || '</ul>"
+              "<div class=\"x rates\"><ul><li>aged 18&#8211;24 (' || CAST(o_custkey % 9 AS STRING) || '.5%)<li>aged 25 and older (7%)</ul></div>'")
+
+
+def legal_pages(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(LEGAL_PAGE).alias("html"))
+
+
+@query("html_table_rows_legal", """
+SELECT o_orderkey, table_no, row_no, is_header, c[1] AS field, c[2] AS value FROM (
+ SELECT o_orderkey, 0 AS table_no, 0 AS row_no, true AS is_header, ['Field', 'Value'] AS c FROM orders
+ UNION ALL SELECT o_orderkey, 0, 1, false, ['status', o_orderstatus || ' & more'] FROM orders
+ UNION ALL SELECT o_orderkey, 0, 2, false, [CAST(o_custkey AS VARCHAR) || '–1', '150'] FROM orders
+ UNION ALL SELECT o_orderkey, 1, 0, false, [o_orderstatus, '150'] FROM orders)""")
+def html_table_rows_legal(spark, sf_dir):
+    pages = legal_pages(spark, sf_dir)
+    rows = [H.html_table_rows(pages, "html", n).withColumn("table_no", F.lit(n)) for n in (0, 1)]
+    return rows[0].unionByName(rows[1]).select("o_orderkey", "table_no", "row_no", "is_header", F.col("cells")[0].alias("field"), F.col("cells")[1].alias("value"))
+
+
+@query("html_list_items_chosen", """
+SELECT o_orderkey, 'menu' AS taken, unnest([0, 1]) AS item_no, unnest(['home', o_orderpriority]) AS item FROM orders
+UNION ALL SELECT o_orderkey, 'rates', unnest([0, 1]), unnest(['aged 18–24 (' || CAST(o_custkey % 9 AS VARCHAR) || '.5%)', 'aged 25 and older (7%)']) FROM orders""")
+def html_list_items_chosen(spark, sf_dir):
+    """The first list of the page, and the list in a container."""
+    pages = legal_pages(spark, sf_dir)
+    menu = H.html_list_items(pages, "html", list_no=0).withColumn("taken", F.lit("menu"))
+    return menu.unionByName(H.html_list_items(pages, "html", container="rates").withColumn("taken", F.lit("rates")))
+
+
+@query("rates_from_pages", """
+SELECT o_orderkey, 18 AS lo, 24 AS hi, o_custkey % 9 + 0.5::DOUBLE AS rate FROM orders
+UNION ALL SELECT o_orderkey, 25, NULL, 7.0::DOUBLE FROM orders""")
+def rates_from_pages(spark, sf_dir):
+    """From pages to rates: the items of one container, read as sentences."""
+    return H.rates_from_text(H.html_list_items(legal_pages(spark, sf_dir), "html", container="rates"), "item").drop("item", "item_no")
+
+
 # One sentence per part about an age band and a share.
 RATE_TEXT = ("'Nearly ' || CAST(p_size AS STRING) || ' of every 100 adults aged ' || CAST(p_size AS STRING)"
              " || CASE WHEN p_partkey % 4 = 0 THEN ' years and older' ELSE '–' || CAST(p_size + 9 AS STRING) || ' years' END"

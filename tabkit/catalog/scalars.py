@@ -53,11 +53,18 @@ def extract_numbers(spark, sf_dir):
     return documents.select("doc_id", F.posexplode(X.extract_numbers(F.col("text"))).alias("pos", "number"))
 
 
-@query("strip_markup", """
-SELECT page_id, regexp_replace(trim(regexp_replace(
-  replace(replace(replace(replace(replace(regexp_replace(html, '(?s)<!--.*?-->|<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
-  '[ \\t\\r\\n]+', ' ', 'g')), '&nbsp;|' || chr(160), '', 'g') AS content FROM pages""")
+# The references that the test pages hold.
+ENTITIES_SQL = ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")
+
+
+def strip_sql(x: str) -> str:
+    text = f"regexp_replace({x}, '(?s)<!--.*?-->|<[^>]*>', '', 'g')"
+    for entity, char in ENTITIES_SQL:
+        text = f"replace({text}, '{entity}', '{char}')"
+    return f"regexp_replace(trim(regexp_replace({text}, '[ \\t\\r\\n]+', ' ', 'g')), '&nbsp;|' || chr(160), '', 'g')"
+
+
+@query("strip_markup", f"SELECT page_id, {strip_sql('html')} AS content FROM pages")
 def strip_markup(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.strip_markup(F.col("html")).alias("content"))
 

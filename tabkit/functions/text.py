@@ -41,8 +41,36 @@ def extract_numbers(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(1)), lambda s: s.try_cast("bigint"))
 
 
-# The five predefined character entities; the ampersand is decoded last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named character entities and their characters; the ampersand is decoded last.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
+    "hellip": "…", "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "plusmn": "±", "times": "×", "divide": "÷",
+    "frac12": "½", "sect": "§", "para": "¶", "laquo": "«", "raquo": "»", "cent": "¢", "pound": "£", "yen": "¥", "euro": "€", "le": "≤", "ge": "≥",
+    "ne": "≠", "larr": "←", "rarr": "→", "szlig": "ß", "auml": "ä", "ouml": "ö", "uuml": "ü", "eacute": "é", "egrave": "è", "agrave": "à", "ntilde": "ñ",
+    "ensp": " ", "emsp": " ", "thinsp": " ", "shy": "", "amp": "&",
+}
+NUMERIC = r"(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"
+
+
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference; one that names none stays."""
+    digits = F.regexp_extract(reference, r"(?i)&#(x?)([0-9a-f]+);", 2)
+    code = F.when(F.substring(F.lower(reference), 3, 1) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    safe = F.when(real, code).otherwise(F.lit(32))
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")).otherwise(reference)
+
+
+def decode_entities(text: Column) -> Column:
+    """Numeric references and the named ones of ``ENTITIES`` as characters; no-break spaces stay as their reference."""
+    spaced = F.regexp_replace(text, "(?i)&#(?:160|xa0);", "&nbsp;")
+    numeric = F.array_distinct(F.regexp_extract_all(spaced, F.lit(NUMERIC), F.lit(0)))
+    # "&#38;" must not begin a new reference
+    out = F.aggregate(numeric, spaced, lambda acc, m: F.replace(acc, m, F.when(_character(m) == "&", F.lit("&amp;")).otherwise(_character(m))))
+    out = F.when(text.contains("&#"), out).otherwise(text)
+    for name, char in ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return out
 
 
 # Signs that a text is not clean yet.
@@ -51,8 +79,6 @@ UNCLEAN = "[<&\\t\\r\\n\u00a0]|  |^ | $"
 
 def strip_markup(html: Column) -> Column:
     """Text content: comments and tags removed, entities decoded, white space collapsed, no-break spaces dropped."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = decode_entities(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", ""))
     text = F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
     return F.when(html.rlike(UNCLEAN), F.regexp_replace(text, "&nbsp;|\u00a0", "")).otherwise(html)

@@ -8,35 +8,98 @@ from pyspark.sql import functions as F
 from tabkit.columns import ref
 from tabkit.functions.text import extract_age_range, extract_numbers, extract_percentage, strip_markup
 
-# The elements that make up tables and lists.
-TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
-ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-CELL = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"
-ITEM = r"(?is)<li\b[^>]*>(.*?)</li>"
+# Fixed value: what a page is read as, piece by piece: comments, scripts and styles, tags, text.
+PIECE = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\z)|<[^>]*(?:>|\z)|[^<]+"
 
 MAX_AGE = 150  # fixed value: stands in for the second cell of a row with one cell
 
 
-def _all(html: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+def _pieces(html: Column) -> Column:
+    """Array of (name, ends, raw): the element a tag names, whether it is an end tag, and the piece itself."""
+    return F.transform(F.regexp_extract_all(html, F.lit(PIECE), F.lit(0)), lambda p: F.struct(
+        F.lower(F.regexp_extract(p, "^</?([A-Za-z][A-Za-z0-9]*)", 1)).alias("name"), p.startswith("</").alias("ends"), p.alias("raw")))
+
+
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
 
 
 def html_table_rows(df: DataFrame, html: str, n: int = 1, pad: object = MAX_AGE) -> DataFrame:
-    """Rows of the n-th table (from 0) of every page: ``row_no``, ``is_header``, ``cells``. Other columns are kept.
+    """Rows of the n-th table (from 0, by start tags) of every page: ``row_no``, ``is_header``, ``cells``. Other columns are kept.
 
-    A row with a single cell gets the pad value as its second one.
+    End tags of rows and cells may be left out. Text of a table inside a cell belongs to the cell; its rows are rows of a table
+    of their own. A header row has header cells only. A row with a single cell gets the pad value as its second one.
     """
-    table = F.try_element_at(_all(ref(html), TABLE), F.lit(n + 1))
-    rows = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(_all(table, ROW)).alias("row_no", "_row"))
-    cells = F.transform(_all(F.col("_row"), CELL), strip_markup)
+    row = "struct<header:boolean,cells:array<string>>"
+    none = F.lit(None).cast("string")
+    start = _struct(seen=F.lit(0), depth=F.lit(0), done=F.lit(False), rows=F.array().cast(f"array<{row}>"),
+                    cells=F.array().cast("array<string>"), plain=F.lit(0), text=none)
+
+    def step(at: Column, p: Column) -> Column:
+        name, opens, inside = p["name"], ~p["ends"], (at["depth"] > 0) & ~at["done"]
+        own = inside & (at["depth"] == 1)
+        table = name == "table"
+        enters = opens & table & ~inside & ~at["done"] & (at["seen"] == n)
+        leaves = own & table & p["ends"]
+        depth = F.when(enters, F.lit(1)).when(inside & table & opens, at["depth"] + 1).when(inside & table, at["depth"] - 1).otherwise(at["depth"])
+        new_cell = own & opens & name.isin("td", "th")
+        ends_cell = leaves | new_cell | own & name.isin("td", "th", "tr", "thead", "tbody", "tfoot")
+        ends_row = leaves | own & name.isin("tr", "thead", "tbody", "tfoot")
+        cells = F.when(ends_cell & at["text"].isNotNull(), F.concat(at["cells"], F.array(at["text"]))).otherwise(at["cells"])
+        full = F.struct((at["plain"] == 0).alias("header"), cells.alias("cells"))
+        rows = F.when(ends_row & (F.size(cells) > 0), F.concat(at["rows"], F.array(full))).otherwise(at["rows"])
+        text = F.when(new_cell, F.lit("")).when(ends_cell, none).when(inside & (name == ""), F.concat(at["text"], p["raw"])).otherwise(at["text"])
+        plain = F.when(ends_row, F.lit(0)).otherwise(at["plain"]) + F.when(new_cell & (name == "td"), 1).otherwise(0)
+        return _struct(seen=at["seen"] + F.when(opens & table, 1).otherwise(0), depth=depth, done=at["done"] | leaves, rows=rows,
+                       cells=F.when(ends_row, F.array().cast("array<string>")).otherwise(cells), plain=plain, text=text)
+
+    # a last row or cell without end tags ends with the page
+    closed = F.concat(_pieces(ref(html)), F.transform(F.array_repeat(F.lit("</tr>"), 1), lambda p: F.struct(F.lit("tr").alias("name"), F.lit(True).alias("ends"), p.alias("raw"))))
+    rows = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(F.aggregate(closed, start, step, lambda at: at["rows"])).alias("row_no", "_row"))
+    cells = F.transform(F.col("_row.cells"), strip_markup)
     padded = F.when(F.size(cells) == 1, F.concat(cells, F.array(F.lit(str(pad))))).otherwise(cells)
-    return rows.select("*", F.col("_row").rlike(r"(?i)<th\b").alias("is_header"), padded.alias("cells")).drop("_row")
+    return rows.select("*", F.col("_row.header").alias("is_header"), padded.alias("cells")).drop("_row")
 
 
-def html_list_items(df: DataFrame, html: str) -> DataFrame:
-    """List items of every page as text: ``item_no``, ``item``. Other columns are kept."""
-    items = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(_all(ref(html), ITEM)).alias("item_no", "_item"))
-    return items.withColumn("item", strip_markup(F.col("_item"))).drop("_item")
+def html_list_items(df: DataFrame, html: str, list_no: int | None = None, container: str | None = None, n: int = 0) -> DataFrame:
+    """List items of every page as text: ``item_no``, ``item``. Other columns are kept.
+
+    ``container`` takes only what is inside the n-th element (from 0) of that class; ``list_no`` only the items of that list
+    (from 0, by start tags, inside the container if one is given). End tags of items may be left out. A list inside an item ends
+    the item's own text.
+    """
+    none = F.lit(None).cast("string")
+    start = _struct(lists=F.lit(0), open=F.array().cast("array<int>"), seen=F.lit(0), name=F.lit(""), depth=F.lit(0 if container else 1), done=F.lit(False),
+                    items=F.array().cast("array<struct<list:int,item:string>>"), text=none)
+
+    def step(at: Column, p: Column) -> Column:
+        name, opens = p["name"], ~p["ends"] & (p["name"] != "")
+        seen, depth, target, done = at["seen"], at["depth"], at["name"], at["done"]
+        if container:
+            named = F.regexp_extract(p["raw"], r"""(?is)\bclass\s*=\s*["']?([^"'>]*)""", 1)
+            has = opens & F.array_contains(F.split(named, r"\s+"), container)
+            enters = has & (depth == 0) & ~done & (seen == n)
+            seen = seen + F.when(has & (depth == 0), 1).otherwise(0)
+            target = F.when(enters, name).otherwise(target)
+            depth = F.when(enters, F.lit(1)).when((depth > 0) & (name == at["name"]), depth + F.when(p["ends"], -1).otherwise(1)).otherwise(depth)
+            done = done | (at["depth"] > 0) & (depth == 0)
+        inside = at["depth"] > 0
+        is_list, is_item = name.isin("ul", "ol"), name == "li"
+        ends = inside & (is_list | is_item) | (at["depth"] > 0) & (depth == 0)
+        here = F.coalesce(F.get(at["open"], F.size(at["open"]) - 1), F.lit(-1))
+        items = F.when(ends & at["text"].isNotNull(), F.concat(at["items"], F.array(F.struct(here.alias("list"), at["text"].alias("item"))))).otherwise(at["items"])
+        text = F.when(inside & is_item & opens, F.lit("")).when(ends, none).when(inside & ((name == "") | ~(is_list | is_item)), F.concat(at["text"], p["raw"])).otherwise(at["text"])
+        starts = inside & is_list & opens
+        stack = F.when(starts, F.concat(at["open"], F.array(at["lists"]))).when(
+            inside & is_list & p["ends"], F.slice(at["open"], 1, F.greatest(F.size(at["open"]) - 1, F.lit(0)))).otherwise(at["open"])
+        return _struct(lists=at["lists"] + F.when(starts, 1).otherwise(0), open=stack, seen=seen, name=target, depth=depth, done=done, items=items, text=text)
+
+    last = F.array(F.struct(F.lit("li").alias("name"), F.lit(True).alias("ends"), F.lit("</li>").alias("raw")))
+    items = F.aggregate(F.concat(_pieces(ref(html)), last), start, step, lambda at: at["items"])
+    if list_no is not None:
+        items = F.filter(items, lambda x: x["list"] == list_no)
+    out = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(items).alias("item_no", "_item"))
+    return out.withColumn("item", strip_markup(F.col("_item.item"))).drop("_item")
 
 
 def rates_from_text(df: DataFrame, text: str) -> DataFrame:
