@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabkit.catalog.registry import QUERIES, SQL
 
-SECTIONS = ("io", "rows", "scalars", "gaps", "joining", "statistics", "pages", "encoding", "learning", "flagships")
+SECTIONS = ("io", "rows", "scalars", "gaps", "joining", "statistics", "pages", "encoding", "learning", "stated", "flagships")
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -16,15 +16,14 @@ from tabkit.operators.features import pairwise
 
 
 def explore(raw: DataFrame, group: str, measure: str, rates: DataFrame, rate_key: str, between: tuple[str, float, float],
-            exclude: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Frames by name: ``missing``, ``averages``, ``joined`` and ``described``."""
+            exclude: Sequence[str] = ()) -> dict[str, Callable[[], DataFrame]]:
+    """Makers of frames by name: ``missing``, ``averages``, ``joined`` and ``described``. Each runs only what it needs."""
     df = P.trim_strings(raw)
     complete = V.drop_null_rows(df)
     numbers = numeric_cols(complete, exclude)
-    joined = J.join_full_outer(pairwise(complete, numbers, with_self=True), rates, group, rate_key)
     return {
-        "missing": M.missing_counts(df),
-        "averages": S.group_agg(complete, [group], [measure]),
-        "joined": joined,
-        "described": S.describe(P.filter_between(complete, *between), numbers),
+        "missing": lambda: M.missing_counts(df),
+        "averages": lambda: S.group_agg(complete, [group], [measure]),
+        "joined": lambda: J.join_full_outer(pairwise(complete, numbers, with_self=True), rates, group, rate_key),
+        "described": lambda: S.describe(P.filter_between(complete, *between), numbers),
     }

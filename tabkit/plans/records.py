@@ -41,7 +41,11 @@ def fill_smoke(df: DataFrame, key: str, rates: DataFrame, sex_rates: DataFrame)
 
 
 def clean_advanced(df: DataFrame) -> DataFrame:
-    """Fill or replace what is left, column by column; the statistics take one pass for all modes and one for all means."""
+    """Fill or replace what is left, column by column; the statistics take one pass for all modes and one for all means.
+
+    No rule looks at the smoking flag, so call this on the stored frame, before flags are drawn: a join would run again for
+    each pass.
+    """
     df = V.drop_null_subset(df, ["cp"])
     df = M.clamp_flag(M.impute_constant(df, {"painloc": 0.0, "painexer": 0.0, "exang": 0.0}), FLAGS)
     implausible = (F.col("oldpeak") >= HIGH_DEPRESSION) | (F.col("oldpeak") <= 0)
