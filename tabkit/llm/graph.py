@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.runtime import settle
+from tabkit.llm.stored import store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,10 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder; rounds end when the edges stay as they are, after a logarithmic number of rounds.
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = settle(pairs, "edges")
+    now = store(pairs, "edges")
     mark = None
     while True:
-        now = settle(_small_star(_large_star(now)), "edges")
+        now = store(_small_star(_large_star(now)), "edges")
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark is not None and tuple(seen) == mark:
             break

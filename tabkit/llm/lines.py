@@ -4,7 +4,7 @@ Lines with a word, stripped at both ends, are the letters of the array; every do
 the lines that occur more than once by a global sort. Round k sorts the pairs of neighbouring ranks, which gives the order
 of all suffixes by their first 2^k lines. A suffix whose prefix occurs only once is settled and leaves, so the rounds shrink
 to the text that really repeats. A run of at least ``least_words`` words has at most that many lines, hence rounds beyond
-log2(least_words) cannot change a decision and are not run.
+log2(least_words), or beyond the longest part that is still open, cannot change a decision and are not run.
 
 A run of l lines is named by its ranks of the first and the last 2^k lines (2^k <= l < 2^(k+1)). All suffixes with one
 name form an LCP interval of the array: they are the occurrences of one repeated run. Maximal runs are covered by their
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.llm.text import SPACE, ragged, runs, slices, span_hashes, text_bytes
+from tabkit.llm.stored import store
 from tabkit.runtime import settle
 
 LEAST_WORDS = 50
@@ -88,7 +89,7 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
 def _ranked(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with ``rank``, their place in the global order of such keys (dense from 0)."""
     often = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    ordered = settle(often.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = store(often.repartitionByRange(*keys).sortWithinPartitions(*keys)
                      .select(*keys, F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("at")), "rank")
     ranges = ordered.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least"))
     base = ranges.select(F.col("range").alias("r"), "least", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base"))
@@ -97,13 +98,12 @@ def _ranked(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def repeated_parts(lines: DataFrame, least: int) -> DataFrame:
     """id, print, pos and l of every shortest run whose lines all repeat, with the names ``a``, ``b`` of its LCP interval."""
-    longest = lines.agg(F.max(F.array_max("parts"))).first()[0] or 0
     ranked = _ranked(lines, ["h1", "h2"]).withColumnsRenamed({"h1": "k1", "h2": "k2"})
     ranks = (lines.join(ranked, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
              .select("id", "print", "pos", "parts", "rank").repartition("id", "print").dropDuplicates(["id", "print", "pos"]))
     found, size = [], 1
     while True:
-        ranks = settle(ranks, "suffixes")
+        ranks = store(ranks, "suffixes")
         here = Window.partitionBy("id", "print").orderBy("pos").rangeBetween(0, size)
         seen = ranks.withColumn("ahead", F.collect_list(F.struct("pos", "rank")).over(here))
 
@@ -113,9 +113,11 @@ def repeated_parts(lines: DataFrame, least: int) -> DataFrame:
         own = seen.select("id", "print", "pos", "rank", "ahead", F.explode("parts").alias("l")).where(F.col("l").between(size, 2 * size - 1))
         found.append(own.select("id", "print", "pos", "l", F.col("rank").alias("a"), rank_at(F.col("pos") + F.col("l") - size).alias("b")).where("b IS NOT NULL"))
         size *= 2
-        if size > longest:
+        longest = ranks.agg(F.max(F.array_max("parts"))).first()[0]
+        if longest is None or longest < size:
             return reduce(DataFrame.unionByName, found)
-        pairs = seen.select("id", "print", "pos", "parts", F.col("rank").alias("a"), rank_at(F.col("pos") + size // 2).alias("b")).where("b IS NOT NULL")
+        longer = F.filter("parts", lambda n: n >= size)
+        pairs = seen.select("id", "print", "pos", longer.alias("parts"), F.col("rank").alias("a"), rank_at(F.col("pos") + size // 2).alias("b")).where("b IS NOT NULL")
         order = _ranked(pairs, ["a", "b"]).withColumnsRenamed({"a": "ka", "b": "kb"})
         ranks = pairs.join(order, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).select("id", "print", "pos", "parts", "rank")
 
