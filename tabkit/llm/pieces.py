@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 
 from tabkit.llm.text import PieceStore, kept_by_worker, ragged, slices, text_bytes
 
-_SLICE = 4_000_000
-_LEARN = 400_000  # characters matched at once
+_SLICE = 2_000_000
+_LEARN = 100_000  # characters matched at once
+_DECODED = 500_000  # pieces put on end at once
 _NEVER = np.int64(1) << 40
 
 
@@ -369,28 +370,36 @@ def decode_pieces(df: DataFrame, vocabulary: Vocabulary, pieces_col: str = "piec
     lengths = np.array([len(b) for b in vocabulary.data], np.int64)
     raw = np.frombuffer(b"".join(vocabulary.data), np.uint8)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def joined(column: pa.Array) -> pa.Array:
         starts = np.cumsum(lengths) - lengths
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+        ids = column.flatten().to_numpy(zero_copy_only=False)
+        size = lengths[ids]
+        data = raw[ragged(starts[ids], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(sizes)])]
+        lead = np.zeros(len(sizes), np.int64)
+        filled = np.diff(ends) > 0
+        lead[filled] = data[ends[:-1][filled]] == 32
+        keep = np.ones(len(data), bool)
+        keep[ends[:-1][lead == 1]] = False
+        data, ends = data[keep], ends - np.concatenate([[0], np.cumsum(lead)])
+        texts = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            whole = data.tobytes()
+            texts = pa.array([whole[a:b].decode(errors="replace") for a, b in zip(ends[:-1], ends[1:])], pa.string())
+        return texts
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(place)
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
-            ids = column.flatten().to_numpy(zero_copy_only=False)
-            size = lengths[ids]
-            data = raw[ragged(starts[ids], size)]
-            ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(sizes)])]
-            lead = np.zeros(len(sizes), np.int64)
-            filled = np.diff(ends) > 0
-            lead[filled] = data[ends[:-1][filled]] == 32
-            keep = np.ones(len(data), bool)
-            keep[ends[:-1][lead == 1]] = False
-            data, ends = data[keep], ends - np.concatenate([[0], np.cumsum(lead)])
-            texts = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-            try:
-                texts.validate(full=True)
-            except pa.ArrowInvalid:
-                whole = data.tobytes()
-                texts = pa.array([whole[a:b].decode(errors="replace") for a, b in zip(ends[:-1], ends[1:])], pa.string())
-            yield pa.record_batch([*batch.columns, texts], [*batch.schema.names, "text"])
+            upto = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + _DECODED, side="right")))
+                part = batch.slice(at, to - at)
+                yield pa.record_batch([*part.columns, joined(part.column(place))], [*batch.schema.names, "text"])
+                at = to
 
     from pyspark.sql.types import StringType, StructType
     schema = StructType(list(plain.schema.fields)).add("text", StringType())
