@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabkit.catalog.registry import query, table
+from tabkit.catalog.registry import query, rounded, table
 from tabkit.operators import features as E
 from tabkit.operators import metrics as X
 from tabkit.operators import missing as M
@@ -81,16 +81,16 @@ def fit_predict(spark, sf_dir):
 
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
-    grid = {"maxIter": [20], "regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
+    """The whole grid of the logistic regression over five folds."""
     pipeline = L.make_pipeline("logreg", FEATURES, "label")
-    _, score, params = L.cross_validate(labelled(spark, sf_dir), pipeline, grid, "label", "id", folds=3)
+    _, score, params = L.cross_validate(labelled(spark, sf_dir), pipeline, L.GRIDS["logreg"], "label", "id")
     return spark.createDataFrame([(score, str(sorted(params.items())))], "score double, params string")
 
 
 @query("oof_predictions")
 def oof_predictions(spark, sf_dir):
     tree = L.make_pipeline("decision_tree", FEATURES, "label", maxDepth=4)
-    return L.oof_predictions(labelled(spark, sf_dir), tree, "id", 3).select("id", "label", "prediction")
+    return L.oof_predictions(labelled(spark, sf_dir), tree, "id").select("id", "label", "prediction")
 
 
 @query("oof_report")
@@ -112,7 +112,7 @@ def perturbation_scores(spark, sf_dir):
     params = E.fit_minmax(train, FEATURES)
     train, test = E.apply_minmax(train, params), E.apply_minmax(test, params)
     model = L.make_pipeline("logreg", FEATURES, "label", maxIter=20).fit(train)
-    return L.perturbation_scores(model, test, FEATURES, "label", "id", 1.2, 10)
+    return L.perturbation_scores(model, test, FEATURES, "label", "id", 1.2)
 
 
 KNN_SQL = """
@@ -165,3 +165,15 @@ def knn_text_labels(spark, sf_dir):
     df = vectors(spark, sf_dir)
     base = df.where("id % 5 <> 0").select((F.col("id") + 1).alias("id"), "vec", F.concat(F.lit("class "), F.col("label")).alias("label"))
     return knn_classify(base, df.where("id % 5 = 0"), 5, 3)
+
+
+@query("leaderboard_knn", f"""
+WITH p AS ({TRAIN_TEST_SQL.format(label="b.label", distance="list_distance(q.e, b.e)").replace("vec_id % 400", "vec_id")})
+SELECT 0 AS place, 'knn' AS model, 'accuracy' AS metric, round(avg(CAST(e.label = p.prediction AS DOUBLE)), 9) AS value
+FROM p JOIN embeddings AS e ON e.vec_id = p.id""")
+def leaderboard_knn(spark, sf_dir):
+    """Neighbours as a contestant, scored on the rows they have not seen."""
+    df = vectors(spark, sf_dir).select("id", F.col("label").cast("double").alias("label"), *[F.col("vec")[i].cast("double").alias(f"v{i}") for i in range(64)])
+    knn = L.knn_scorer([f"v{i}" for i in range(64)], "label", "id")
+    board = L.leaderboard(df.where("id % 5 <> 0"), df.where("id % 5 = 0"), {"knn": knn}, "label", ["accuracy"])
+    return rounded(board.select("place", "model", "metric", "value"), 9, "value")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tabkit.columns import ref, replace_columns
 from tabkit.functions.draws import fold_by_key, normal_by_key
+from tabkit.operators.neighbours import knn_classify
 
 SEED = 42
 FOLD = "_fold"
@@ -38,8 +39,15 @@ GRIDS: dict[str, dict[str, list]] = {
     "gbt": {"maxDepth": [4, 8], "maxIter": [20, 40], "maxBins": [20, 40], "stepSize": [0.1, 0.01]},
     "decision_tree": {"maxDepth": [4, 8], "maxBins": [20, 40], "minInfoGain": [0.0, 0.1],
                       "minInstancesPerNode": [1, 10, 20]},
+    "linear_svc": {"maxIter": [20, 40], "regParam": [0.01, 0.1], "tol": [1e-6, 1e-4]},
 }
 
+# The depths and sizes of forests compared on their own.
+FOREST_GRID: dict[str, list] = {"maxDepth": [2, 4, 6, 8, 10], "numTrees": [10, 100, 1000]}
+
+# Of a training and a test frame, the test frame with predictions.
+Scorer = Callable[[DataFrame, DataFrame], DataFrame]
+
 
 def make_pipeline(kind: str, cols: Sequence[str], label: str, before: Sequence = (), **params) -> Pipeline:
     """Preparing stages, vector assembly and one classifier."""
@@ -104,27 +112,47 @@ def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], lab
     return fitted, *best_params(fitted)
 
 
-def oof_predictions(df: DataFrame, pipeline: Pipeline, key: str, folds: int = 5) -> DataFrame:
+def knn_scorer(cols: Sequence[str], label: str, key: str, k: int = 5, p: float = 2, weights: str = "uniform") -> Scorer:
+    """Nearest neighbours as a contestant: the test rows with the vote of their neighbours among the training rows."""
+    def vectors(df: DataFrame) -> DataFrame:
+        return df.select(ref(key), F.array(*[ref(c).cast("double") for c in cols]).alias("_vec"), ref(label))
+
+    def score(train: DataFrame, test: DataFrame) -> DataFrame:
+        votes = knn_classify(vectors(train), vectors(test), k, p, weights, key, "_vec", label)
+        return test.join(votes.select(F.col("id").alias("_key"), F.col("prediction").cast("double").alias("prediction")), ref(key) == F.col("_key")).drop("_key")
+
+    return score
+
+
+def _scored(contestant: Estimator | Scorer, train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict]:
+    """The test rows with predictions, and the parameters that a grid search chose."""
+    if not hasattr(contestant, "fit"):
+        return contestant(train, test), {}
+    fitted = contestant.fit(train)
+    return fitted.transform(test), best_params(fitted)[1] if isinstance(fitted, CrossValidatorModel) else {}
+
+
+def oof_predictions(df: DataFrame, contestant: Estimator | Scorer, key: str, folds: int = 5) -> DataFrame:
     """Prediction of every row by a model that has not seen its fold. Persist or settle ``df`` first: every fold reads it."""
     folded = with_folds(df, key, folds)
     parts = []
     for fold in range(folds):
-        fitted = pipeline.fit(folded.filter(F.col(FOLD) != fold))
-        parts.append(fitted.transform(folded.filter(F.col(FOLD) == fold)))
+        parts.append(_scored(contestant, folded.filter(F.col(FOLD) != fold), folded.filter(F.col(FOLD) == fold))[0])
     return reduce(DataFrame.unionByName, parts)
 
 
-def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estimator], label: str,
+def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estimator | Scorer], label: str,
                 metrics: Sequence[str] = ("auc",)) -> DataFrame:
-    """Fit every contestant, score all on the same test rows by the same metrics, and record the seconds taken."""
+    """Fit every contestant, score all on the same test rows by the same metrics, and record the seconds taken.
+
+    A contestant without a score of its own is ranked by its prediction.
+    """
     train, test = train.persist(), test.persist()
     rows = []
     for place, (name, contestant) in enumerate(contestants.items()):
         started = time.time()
-        fitted = contestant.fit(train)
-        scored = fitted.transform(test)
-        params = best_params(fitted)[1] if isinstance(fitted, CrossValidatorModel) else {}
-        score = "probability" if "probability" in scored.columns else "rawPrediction"
+        scored, params = _scored(contestant, train, test)
+        score = next(c for c in ("probability", "rawPrediction", "prediction") if c in scored.columns)
         values = {metric: evaluator(metric, label, score).evaluate(scored) for metric in metrics}
         seconds = time.time() - started
         rows += [(place, name, metric, value, seconds, str(params)) for metric, value in values.items()]

@@ -50,6 +50,11 @@ def outliers_zscore(df: DataFrame, cols: Sequence[str], k: float = 3.0, tol: flo
     return _sequential(df, cols, k + tol, strict=True)
 
 
+def without_spread(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """The columns whose values are all alike, so that no value is an outlier; the filters leave these columns out."""
+    return [c for c, (_, std) in _limits(df, cols).items() if not std]
+
+
 def outliers_onepass(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFrame:
     """All bounds from the untouched data: one aggregate and one filter."""
     tests = [_within(c, *limits, k) for c, limits in _limits(df, cols).items()]

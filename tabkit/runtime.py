@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("tabkit_run", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor reaches, as named by ``spark.checkpoint.dir``.
@@ -26,15 +31,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has used yet, inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tabkit/{label}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, inside the shared folder; in ``scratch`` inside the folder that it deletes."""
+    return f"{_RUN.get() or shared_dir(spark).rstrip('/') + '/tabkit'}/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's own file systems, wherever it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Own what the steps inside store: it is deleted at the end, so write or collect results before."""
+    path = f"{shared_dir(spark).rstrip('/')}/tabkit/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        delete(spark, path)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     What follows starts from stored columns: nothing before is computed twice or again after a lost executor,
-    later passes read only the columns they use, and the optimizer has a short plan to work on.
+    later passes read only the columns they use, and the optimizer has a short plan to work on. The files stay until
+    the ``scratch`` around the call ends, or for good without one.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -20,7 +20,7 @@ from tabkit.operators import stats as S
 from tabkit.operators import validity as V
 from tabkit.operators.neighbours import knn_classify, nearest
 from tabkit.operators.transformers import PairwiseProduct, Square
-from tabkit.runtime import scratch_path
+from tabkit.runtime import scratch, scratch_path, settle
 from tabkit.sources.readers import read_csv, read_parquet, read_table
 from tabkit.sources.staging import run_step, stage
 from tabkit.sources.writers import write_csv, write_parquet
@@ -333,3 +333,16 @@ def test_named_outputs_and_saved_stages(spark):
     assert PairwiseProduct.load(path).transform(df).first()["ab"] == 6.0
     assert Square(inputCols=["a"], outputCols=["aa"]).transform(df).first()["aa"] == 4.0
     assert Square(inputCols=["a"]).transform(df).columns == ["a", "b", "a_square"]
+
+
+def test_scratch_deletes_what_was_stored(spark):
+    with scratch(spark) as path:
+        kept = settle(spark.range(5))
+        assert kept.count() == 5 and kept.inputFiles()[0].split(":")[-1].lstrip("/").startswith(path.split(":")[-1].lstrip("/"))
+    with pytest.raises(Exception, match="(?i)not.*exist|PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert not scratch_path(spark, "x").startswith(path)
+
+
+def test_columns_without_spread(spark):
+    assert O.without_spread(spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "a double, b double"), ["a", "b"]) == ["a"]

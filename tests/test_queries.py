@@ -6,8 +6,6 @@ import __spark_entry__ as entry
 from tests.oracle import connect, difference
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-SLOW = {"clean_and_model", "compare_paths", "feature_trial", "feature_trial_robustness", "cross_validate", "oof_report",
-        "train_random_forest", "train_gbt", "train_decision_tree", "train_linear_svc", "leaderboard"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +23,7 @@ def test_same_as_sql(spark, small, con, name):
         assert bad not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 
