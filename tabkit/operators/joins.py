@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from math import isnan
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +56,14 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
     clash = sorted(set(c.lower() for c in df.columns) & set(c.lower() for c in bands.columns))
     if clash:
         raise ValueError(f"both sides have the columns {clash}")
-    ends = bands.select(F.explode(F.array(ref(lo).cast("double"), ref(hi).cast("double"))).alias("end")).where("end IS NOT NULL AND NOT isnan(end)")
-    count, found = ends.agg(F.count(F.lit(1)), F.percentile_approx("end", [i / CELLS for i in range(CELLS + 1)], 10 * CELLS)).first()
+    few = _few(bands, lo, hi)
+    if few is not None:
+        count, found = 2 * len(few), [x for row in few for x in row if x is not None and not isnan(x)]
+    else:
+        ends = bands.select(F.explode(F.array(ref(lo).cast("double"), ref(hi).cast("double"))).alias("end")).where("end IS NOT NULL AND NOT isnan(end)")
+        count, found = ends.agg(F.count(F.lit(1)), F.percentile_approx("end", [i / CELLS for i in range(CELLS + 1)], 10 * CELLS)).first()
     cuts = sorted({float(x) for x in found or [] if abs(x) != float("inf")}) or [0.0]
+    cuts = cuts[::-(-len(cuts) // CELLS)]
     levels = [1]
     while levels[-1] < 2 * count:
         levels.append(4 * levels[-1])
@@ -83,7 +91,11 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
         end = F.when(b_hi.isNull(), F.lit((len(cuts) + 1) * each - 1) if each > 1 else slot(F.lit(0.0), last, slots)).otherwise(slot(b_hi, F.col("_last"), slots))
         return slot(b_lo, F.col("_first"), slots), end
 
-    spans = cut.agg(*[F.sum(covered(n)[1] - covered(n)[0] + 1) for n in levels]).first()
+    if few is not None:
+        levels = [n for n in levels if n <= len(cuts)] + [len(cuts) + 1]  # each cell a slot at most
+        spans = [sum(_places(cuts, a, b, n) for a, b in few) for n in levels]
+    else:
+        spans = cut.agg(*[F.sum(covered(n)[1] - covered(n)[0] + 1) for n in levels]).first()
     slots = max([n for n, listed in zip(levels, spans) if (listed or 0) <= SLOTS_PER_BAND * max(1, count)], default=1)
     listed = cut.withColumn("_band_slot", F.explode(F.sequence(*covered(slots)))).drop("_first", "_last")
     rows = _cell(df, ref(col), cuts, "_cell").withColumn("_slot", slot(ref(col), F.col("_cell"), slots)).drop("_cell")
@@ -94,6 +106,21 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
             .withColumnsRenamed({new: old for old, new in own.items()}))
 
 
+def _few(bands: DataFrame, lo: str, hi: str) -> list[tuple[float, float | None]] | None:
+    """The ends of the bands that hold something, or None if there are too many bands to collect."""
+    rows = bands.select(ref(lo).cast("double").alias("lo"), ref(hi).cast("double").alias("hi")).limit(COLLECTED_BANDS + 1).collect()
+    if len(rows) > COLLECTED_BANDS:
+        return None
+    return [(r.lo, r.hi) for r in rows if r.lo is not None and not isnan(r.lo) and (r.hi is None or r.hi >= r.lo)]
+
+
+def _places(cuts: list[float], lo: float, hi: float | None, slots: int) -> int:
+    """Number of slots that a band is listed under."""
+    cells = len(cuts) + 1
+    first, last = bisect_right(cuts, lo), cells - 1 if hi is None else bisect_right(cuts, hi)
+    return last * min(slots, cells) // cells - first * min(slots, cells) // cells + 1
+
+
 def bands_overlap(bands: DataFrame, by: str | None = None, lo: str = "lo", hi: str = "hi") -> bool:
     """Whether two bands of one group share a value. Bands whose hi is below their lo hold nothing and are ignored.
 

@@ -49,8 +49,10 @@ def test_auc(spark, monkeypatch, per_slice):
     assert X.auc_roc(df.withColumn("s", -F.col("s")), "y", "s").first()[0] == pytest.approx(1 - want)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_band_join(spark, seed):
+@pytest.mark.parametrize("seed, collected, cells", [(0, 100, 4096), (1, 0, 4096), (2, 100, 8), (3, 0, 8)])
+def test_band_join(spark, monkeypatch, seed, collected, cells):
+    monkeypatch.setattr(J, "COLLECTED_BANDS", collected)
+    monkeypatch.setattr(J, "CELLS", cells)
     rnd = random.Random(seed)
     bands = []
     for i in range(60):
