@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.llm.stored import store
+from tabkit.llm.stored import discard, store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,13 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every node of the edges (u, v), bigint; root is the least node of its component.
 
     A node with many neighbours is counted before the shuffle and joined by a join that Spark splits. Every round is
-    written to the shared folder; rounds end when the edges stay as they are, after a logarithmic number of rounds.
+    written to the shared folder and the one before it deleted; rounds end when the edges stay as they are, after a logarithmic number of rounds.
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = store(pairs, "edges")
     mark = None
     while True:
-        now = store(_small_star(_large_star(now)), "edges")
+        before, now = now, store(_small_star(_large_star(now)), "edges")
+        discard(before)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark is not None and tuple(seen) == mark:
             break

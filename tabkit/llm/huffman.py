@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabkit.llm.text import PieceStore, binary_array, kept_by_worker, ragged, slices, text_bytes
-from tabkit.runtime import scratch_path
+from tabkit.runtime import delete, scratch_path
 
 END_ID = 0
 MOST_BITS = 16  # longest code, and the width of the decoding table
@@ -336,6 +336,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
 
     ordered.mapInArrow(block_task, "part int, block int, start bigint, doc_ids array<bigint>, sizes array<bigint>, marks binary, bits binary"
                        ).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    delete(spark, staged)
 
 
 def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
