@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tabkit.catalog.registry import query, rounded, table, text
 from tabkit.operators.stats import word_count
 from tabkit.operators.validity import drop_null_subset
+from tabkit.plans import extract
 from tabkit.runtime import scratch_path
 from tabkit.sources.readers import inline, read_csv, read_jsonl, read_mixed, read_parquet, read_text, read_xml
 from tabkit.sources.staging import run_step, stage, table_shape
@@ -68,6 +69,20 @@ def extract_mixed_formats(spark, sf_dir):
     return read_mixed(spark, paths, schema)
 
 
+@query("extract_flow", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, source_rank FROM (
+ SELECT p_partkey, p_name, p_brand, p_type, p_size, round(p_retailprice, 1) + 0.0 AS p_retailprice, CAST(p_partkey % 3 AS INT) AS source_rank FROM part)
+QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY source_rank, p_partkey) = 1""")
+def extract_flow(spark, sf_dir):
+    """Three formats, rounded prices, one row per type."""
+    part = table(spark, sf_dir, "part")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in part.schema.fields])
+    share = {name: part.filter(F.col("p_partkey") % 3 == rank) for rank, name in enumerate(("csv", "json", "xml"))}
+    writers = {"csv": write_csv, "json": write_jsonl, "xml": write_xml}
+    paths = {name: writers[name](df, scratch_path(spark, name)) for name, df in share.items()}
+    return extract.run(spark, paths, schema, "p_type", "p_retailprice", ["p_partkey"], 1)
+
+
 @query("scan_text_lines", """
 SELECT line, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 GROUP BY line""")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabkit.catalog.registry import query, rounded, table
+from tabkit.catalog.registry import GAPPY_SQL, draw_sql, gappy, query, rounded, table
 from tabkit.catalog.scalars import strip_sql
 from tabkit.operators import html as H
+from tabkit.operators import missing as M
+from tabkit.runtime import settle
 
 @query("html_list_items", f"""
 SELECT page_id, CAST(pos AS INT) AS item_no, {strip_sql('items[pos + 1]')} AS item
@@ -94,3 +96,23 @@ FROM ({RATES_SQL}), (VALUES (0), (1)) AS sexes(grp)""")
 def scale_rates(spark, sf_dir):
     sentences = table(spark, sf_dir, "part").select("p_partkey", F.expr(RATE_TEXT).alias("sentence"))
     return rounded(H.scale_rates(H.rates_from_text(sentences, "sentence"), 13.1, 10.1), 8, "prob")
+
+
+# A page with one list of rates, an item for each region: bands of 16 years from 5 on.
+BANDS_SQL = "(SELECT 5 + 16 * r_regionkey AS lo, 20 + 16 * r_regionkey AS hi, (7.5 + 3 * r_regionkey)::DOUBLE AS rate FROM region)"
+
+
+@query("flags_from_pages", f"""
+SELECT g.id, g.sex, g.age, coalesce(CASE WHEN g.flag > 1 THEN 1 ELSE g.flag END, greatest(
+    coalesce(CAST({draw_sql('g.id', repr('first'))} < a.rate / 100 AS INT), 0),
+    coalesce(CAST({draw_sql('g.id', repr('second'))} < a.rate * CASE g.sex WHEN 1 THEN 13.1::DOUBLE / 10.1::DOUBLE ELSE 1 END / 100 AS INT), 0))) AS flag
+FROM {GAPPY_SQL} AS g LEFT JOIN {BANDS_SQL} AS a ON g.age BETWEEN a.lo AND a.hi""")
+def flags_from_pages(spark, sf_dir):
+    """From a page to rates, from rates to filled flags."""
+    item = F.expr("'<li>adults aged ' || (5 + 16 * r_regionkey) || '&#8211;' || (20 + 16 * r_regionkey) || ' years (' || (7.5 + 3 * r_regionkey) || '%)'")
+    items = F.array_join(F.array_sort(F.collect_list(item)), "")
+    page = table(spark, sf_dir, "region").agg(F.concat(F.lit("<ul><li>menu</ul><div class='card rates'><ul>"), items, F.lit("</ul></div>")).alias("html"))
+    bands = settle(H.rates_from_text(H.html_list_items(page, "html", container="rates"), "item").select("lo", "hi", "rate"), "rates")
+    flag = F.least(F.col("flag"), F.lit(1))
+    df = gappy(spark, sf_dir).select("id", "sex", "age", F.when(F.col("flag").isNotNull(), flag).alias("flag"))
+    return M.impute_by_rate(df, "flag", "id", "age", "sex", bands.withColumn("prob", F.col("rate") / 100), H.scale_rates(bands, 13.1, 10.1))
