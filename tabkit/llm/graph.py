@@ -11,7 +11,8 @@ from tabkit.llm.stored import discard, store
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node ties its larger neighbours to the least node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+    # stored, so that the join shuffles both sides itself and Spark may split a node with very many neighbours
+    least = store(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.graph import components
+from tabkit.llm.stored import store
 from tabkit.llm.text import SHINGLE, WORD, mix, shingle_hashes, slices, span_hashes, text_bytes, words_of
 from tabkit.runtime import settle
 
@@ -172,9 +173,10 @@ def near_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     texts = settle(texts.withColumn("t", F.monotonically_increasing_id()), "texts")
     members = texts.select("t", F.explode("nodes").alias("node"))
     heads = members.groupBy("node").agg(F.min("t").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("node").alias("k"), "head")
+    heads = store(heads, "heads")  # as below: the join then shuffles both sides itself, and Spark may split large keys
     ties = members.join(heads, F.col("node") == F.col("k")).where("t <> head").select(F.col("t").alias("u"), F.col("head").alias("v"))
     clusters = settle(components(ties), "clusters")
-    sizes = clusters.groupBy(F.col("root").alias("k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    sizes = store(clusters.groupBy(F.col("root").alias("k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")), "sizes")
     placed = (clusters.join(sizes, F.col("root") == F.col("k"))
               .join(texts.select("t", F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.xxhash64("first_id").alias("kd")), F.col("id") == F.col("t"))
               .select(F.col("root").alias("cluster"), "t", "k1", "k2", "kd", "blocks", F.pmod(F.xxhash64(F.lit("block"), "t"), "blocks").cast("int").alias("block")))
@@ -188,7 +190,8 @@ def near_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     links = checked.groupBy(F.col("id").alias("l_t")).agg(F.sum("links").alias("links"))
     full = (texts.drop("nodes").join(links, F.col("t") == F.col("l_t"), "left").join(classes, F.col("t") == F.col("c_t"), "left")
             .select("p1", "p2", "t", "first_id", "copies", F.coalesce("links", F.lit(0).cast("bigint")).alias("links"), F.coalesce("root", "t").alias("class")))
-    least = full.groupBy(F.col("class").alias("k")).agg(F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "t")).alias("least"))
+    full = settle(full, "linked")
+    least = store(full.groupBy(F.col("class").alias("k")).agg(F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "t")).alias("least")), "least")
     full = full.join(least, F.col("class") == F.col("k")).select(
         "p1", "p2", "first_id", "copies", "links", F.col("least.first_id").alias("class_id"), (F.col("t") == F.col("least.t")).alias("kept"))
     return rows.select("id", "p1", "p2"), settle(full, "classes")
