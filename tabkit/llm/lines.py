@@ -132,6 +132,7 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     parts = settle(repeated_parts(lines, least_words), "parts")
     first = (parts.groupBy("l", "a", "b").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
              .select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb"), "first"))
+    first = store(first, "first")  # the join then shuffles both sides itself, and Spark may split a run that very many documents hold
     later = parts.join(first, (F.col("l") == F.col("kl")) & (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).where(_order() > F.col("first"))
     return later.groupBy("id", "print").agg(F.collect_set(F.struct("pos", "l")).alias("gone"))
 

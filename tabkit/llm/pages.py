@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.lines import repeated_parts, shortest_runs
+from tabkit.llm.stored import store
 from tabkit.llm.text import ragged
 from tabkit.runtime import settle
 
@@ -204,6 +205,7 @@ def repeated_blocks(pages: DataFrame) -> DataFrame:
     parts = settle(repeated_parts(settle(_streams(pages), "streams"), LEAST_WORDS), "parts")
     wide = (parts.groupBy("l", "a", "b").agg(F.count_distinct("print").alias("n")).where("n > 1")
             .select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb")))
+    wide = store(wide, "wide")  # the join then shuffles both sides itself, and Spark may split a run that very many pages hold
     return (parts.join(wide, (F.col("l") == F.col("kl")) & (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
             .groupBy("id", "print").agg(F.collect_set(F.struct("pos", "l")).alias("covered")))
 
