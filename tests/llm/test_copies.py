@@ -173,6 +173,8 @@ def held_items(rows, items, percent=80):
             if not own:
                 continue
             size = min(5, len(own))
+            if not counted(words, size) & counted(own, size):
+                continue  # every window has similarity 0
             n, best = min(len(own), len(words)), (0, 0)
             for i in range(len(words) - n + 1):
                 if n >= size and n:
