@@ -165,6 +165,16 @@ def auc_roc_lineitem(spark, sf_dir):
     return rounded(X.auc_roc(scored, "returned", "l_extendedprice"), 9, "auc")
 
 
+SPECIAL = "CASE WHEN event_id % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 7 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE value END"
+
+
+@query("auc_roc_special", AUC_SQL.format(score="score", y="y", t=f"(SELECT {SPECIAL} AS score, CAST(event_id % 3 = 0 AS INT) AS y FROM events)"))
+def auc_roc_special(spark, sf_dir):
+    """NaN counts as the highest score, above infinity."""
+    scored = table(spark, sf_dir, "events").selectExpr(f"{SPECIAL} AS score", "CAST(event_id % 3 = 0 AS INT) AS y")
+    return rounded(X.auc_roc(scored, "y", "score"), 9, "auc")
+
+
 @query("score_interval", """
 SELECT round(m, 8) AS mean, round(se, 8) AS std_error, round(m - 1.959963984540054 * se, 8) AS low, round(m + 1.959963984540054 * se, 8) AS high
 FROM (SELECT avg(value) AS m, stddev_pop(value) / sqrt(count(value)) AS se FROM events)""")
