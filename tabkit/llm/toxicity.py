@@ -163,7 +163,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
                 packed = [pairs[a:b, 1:].astype("<i4").tobytes() for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.record_batch([part.column(0), pa.array(total, pa.int64()), pa.array(packed, pa.binary())], ["label", "total", "pairs"])
 
-    got = rows.mapInArrow(task, "label int, total bigint, pairs binary").sort("label", "total", "pairs").collect()
+    got = sorted(rows.mapInArrow(task, "label int, total bigint, pairs binary").collect(), key=lambda r: (r.label, r.total, bytes(r.pairs)))
     hits, hit_sentence, sentence_text, plain = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], np.zeros(len(got))
     known = 0
     for i, r in enumerate(got):
