@@ -306,7 +306,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
 
     coded = (encoded.select(F.when(F.col("doc_id").isNull(), 0).otherwise(number).cast("int").alias("part"), "doc_id", "n_tokens", "ids")
              .mapInArrow(code_task, "part int, doc_id bigint, n_tokens bigint, bits binary, marks binary"))
-    ordered = coded.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n_tokens", "bits")
+    ordered = coded.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n_tokens", "bits")
 
     def block_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, start, held, size = -1, 0, 0, [], 0
