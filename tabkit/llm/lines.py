@@ -96,11 +96,12 @@ def _ranked(df: DataFrame, keys: list[str]) -> DataFrame:
     return ordered.join(base, F.col("range") == F.col("r")).select(*keys, (F.col("base") + F.col("at") - F.col("least")).alias("rank"))
 
 
-def repeated_parts(lines: DataFrame, least: int) -> DataFrame:
-    """id, print, pos and l of every shortest run whose lines all repeat, with the names ``a``, ``b`` of its LCP interval."""
+def repeated_parts(lines: DataFrame, least: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, print, pos and l of every shortest run whose lines all repeat, with the names ``a``, ``b`` of its LCP interval and
+    the columns ``also`` of its first line."""
     ranked = _ranked(lines, ["h1", "h2"]).withColumnsRenamed({"h1": "k1", "h2": "k2"})
     ranks = (lines.join(ranked, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
-             .select("id", "print", "pos", "parts", "rank").repartition("id", "print").dropDuplicates(["id", "print", "pos"]))
+             .select("id", "print", "pos", *also, "parts", "rank").repartition("id", "print").dropDuplicates(["id", "print", "pos"]))
     found, size = [], 1
     while True:
         ranks = store(ranks, "suffixes")
@@ -110,16 +111,16 @@ def repeated_parts(lines: DataFrame, least: int) -> DataFrame:
         def rank_at(pos: Column) -> Column:  # NULL where a line between occurs once only
             return F.get(F.filter("ahead", lambda x: x["pos"] == pos), F.lit(0))["rank"]
 
-        own = seen.select("id", "print", "pos", "rank", "ahead", F.explode("parts").alias("l")).where(F.col("l").between(size, 2 * size - 1))
-        found.append(own.select("id", "print", "pos", "l", F.col("rank").alias("a"), rank_at(F.col("pos") + F.col("l") - size).alias("b")).where("b IS NOT NULL"))
+        own = seen.select("id", "print", "pos", *also, "rank", "ahead", F.explode("parts").alias("l")).where(F.col("l").between(size, 2 * size - 1))
+        found.append(own.select("id", "print", "pos", *also, "l", F.col("rank").alias("a"), rank_at(F.col("pos") + F.col("l") - size).alias("b")).where("b IS NOT NULL"))
         size *= 2
         longest = ranks.agg(F.max(F.array_max("parts"))).first()[0]
         if longest is None or longest < size:
             return reduce(DataFrame.unionByName, found)
         longer = F.filter("parts", lambda n: n >= size)
-        pairs = seen.select("id", "print", "pos", longer.alias("parts"), F.col("rank").alias("a"), rank_at(F.col("pos") + size // 2).alias("b")).where("b IS NOT NULL")
+        pairs = seen.select("id", "print", "pos", *also, longer.alias("parts"), F.col("rank").alias("a"), rank_at(F.col("pos") + size // 2).alias("b")).where("b IS NOT NULL")
         order = _ranked(pairs, ["a", "b"]).withColumnsRenamed({"a": "ka", "b": "kb"})
-        ranks = pairs.join(order, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).select("id", "print", "pos", "parts", "rank")
+        ranks = pairs.join(order, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).select("id", "print", "pos", *also, "parts", "rank")
 
 
 def _order() -> Column:

@@ -2,16 +2,19 @@
 
 A page is read into blocks, the text between block-level tags. Scripts, styles, heads and hidden parts are no blocks; menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments are known by their tag, role, class or id. The blocks
-of all pages of a host outside marked articles, as word counts and hashes, are the token streams; a suffix array over them, built by the same
+of all pages of a host, as word counts and hashes, are the token streams; a suffix array over them, built by the same
 distributed prefix doubling as in ``lines``, gives the runs of blocks with ``LEAST_WORDS`` words or more that repeat on distinct
 pages. Blocks covered by such runs are boilerplate, and what is left are the unique runs, joined by line ends in page order.
 
-Where the page itself marks its article (``article``, else ``main``), the text is all blocks in it that are not one of the kinds
-above, also those that another page repeats: copies of an article, or lines that many articles quote, are not boilerplate,
-and nothing else may be dropped. Pages without such a mark lose what repeats.
+Where the page itself marks its article (``article``, else ``main``), the text comes from the blocks in it that are not one of the
+kinds above. Of these go the runs that ``LEAST_PAGES`` distinct pages or more, and a share of ``LEAST_SHARE`` of the host's, hold
+within the article, and as many outside it: menus and notices set into the article. Others stay: copies of an article, lines that
+many articles quote, or a line that some advert repeats, are not boilerplate. Pages without such a mark lose all that repeats on the host's pages,
+within articles or not.
 
-Pages are read in tasks; block hashes are shuffled, html is not, but for the texts of pages without a mark that meet their
-repeated blocks. A host with a third of all pages is counted before the shuffle and its joins are ones that Spark splits.
+Pages are read in tasks; block hashes are shuffled, html is not. The runs that decide on a page are stored and come to its text
+by a join whose side Spark chooses by size: texts are shuffled only where these runs are too many to send to every task. A host
+with a third of all pages is counted before the shuffle and its joins are ones that Spark splits.
 
 Cases: a NULL html has an empty text; a NULL url is the host ''; rows that repeat a page id and html are one page and get equal
 rows; pages with equal html are one page for the count of distinct pages; NULL ids are kept; unfinished tags, comments and
@@ -32,10 +35,12 @@ from pyspark.sql import functions as F
 
 from tabkit.llm.lines import repeated_parts, shortest_runs
 from tabkit.llm.stored import store
-from tabkit.llm.text import ragged
 from tabkit.runtime import settle
 
 LEAST_WORDS = 5
+# A run within articles goes if so many of the host's distinct pages, and that share of them, hold it within and outside articles.
+LEAST_PAGES = 4
+LEAST_SHARE = 0.1
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 # Element kinds of HTML.
@@ -166,23 +171,39 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def article_marks(blocks: list[Block]) -> list[bool] | None:
+    """Of every block, whether it belongs to the marked article; None if the page marks none."""
+    best = max((b.place for b in blocks if not b.known), default=0)
+    return [not b.known and b.place == best for b in blocks] if best else None
+
+
 def article_of(blocks: list[Block]) -> list[str] | None:
     """The blocks of the marked article, None if the page marks none."""
-    best = max((b.place for b in blocks if not b.known), default=0)
-    return [b.text for b in blocks if not b.known and b.place == best] if best else None
+    marks = article_marks(blocks)
+    return None if marks is None else [b.text for b, own in zip(blocks, marks) if own]
+
+
+def sides(marks: list[bool] | None, blocks: int) -> list[int]:
+    """From every block on, the blocks on its side of the article's border, ``LEAST_WORDS`` at most: above 0 within the article,
+    below 0 outside it, 0 on a page that marks none."""
+    out = [0] * blocks
+    for i in range(blocks - 1, -1, -1) if marks is not None else ():
+        more = abs(out[i + 1]) if i + 1 < blocks and marks[i + 1] == marks[i] else 0
+        out[i] = min(more + 1, LEAST_WORDS) * (1 if marks[i] else -1)
+    return out
 
 
 def _streams(pages: DataFrame) -> DataFrame:
-    """id, print, pos, h1, h2, parts of every block: what ``repeated_parts`` takes. The host is part of the hash."""
+    """id, print, pos, h1, h2, parts of every block: what ``repeated_parts`` takes, and side. The host is part of the hash and, hashed,
+    the id: pages with one html on a host are one stream."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         for batch in batches:
-            owner, hashes, sizes, words, own = [], [], [], [], []
+            owner, hashes, sizes, words, side = [], [], [], [], []
             for i, (host, page) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 seed, blocks = xxhash.xxh3_64_intdigest(host), blocks_of(page)
-                best = max((b.place for b in blocks if not b.known), default=0)
+                side += sides(article_marks(blocks), len(blocks))
                 for block in blocks:
-                    own.append(best > 0 and block.place == best and not block.known)
                     owner.append(i)
                     hashes.append(xxhash.xxh3_64_intdigest(block.text, seed))
                     sizes.append(len(block.text))
@@ -192,22 +213,30 @@ def _streams(pages: DataFrame) -> DataFrame:
             first = np.searchsorted(owner, owner, side="left")
             of = np.searchsorted(places, np.arange(len(owner) + 1))
             row = pa.array(owner)
-            rows = pa.record_batch([batch.column(0).take(row), batch.column(1).take(row), pa.array((np.arange(len(owner)) - first).astype(np.int32)),
-                                    pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()),
-                                    pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(lengths.astype(np.int32)))], ["id", "print", "pos", "h1", "h2", "parts"])
-            yield rows.filter(pa.array(~np.array(own, bool)))  # the places of what is left out stay empty, so no run goes across
+            yield pa.record_batch([batch.column(0).take(row), batch.column(1).take(row), pa.array((np.arange(len(owner)) - first).astype(np.int32)),
+                                   pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()),
+                                   pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(lengths.astype(np.int32))), pa.array(side, pa.int8())],
+                                  ["id", "print", "pos", "h1", "h2", "parts", "side"])
 
-    return pages.select("id", "print", "host", "html").mapInArrow(task, "id bigint, print bigint, pos int, h1 bigint, h2 int, parts array<int>")
+    return pages.select("site", "print", "host", "html").mapInArrow(task, "id bigint, print bigint, pos int, h1 bigint, h2 int, parts array<int>, side tinyint")
 
 
 def repeated_blocks(pages: DataFrame) -> DataFrame:
-    """(id, print, covered): the runs (pos, l) of blocks that repeat on distinct pages of the host."""
-    parts = settle(repeated_parts(settle(_streams(pages), "streams"), LEAST_WORDS), "parts")
-    wide = (parts.groupBy("l", "a", "b").agg(F.count_distinct("print").alias("n")).where("n > 1")
-            .select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb")))
+    """(id, print, covered): the runs (pos, l) of blocks that go, by hashed host and print. On pages without a mark they repeat on distinct pages of the
+    host, on others they lie within the article and often repeat on distinct pages both within and outside articles."""
+    streams = settle(_streams(pages), "streams")
+    parts = settle(repeated_parts(streams, LEAST_WORDS, ("side",)), "parts")
+    hosts = store(streams.select("id", "print").distinct().groupBy(F.col("id").alias("k_id")).agg(F.count(F.lit(1)).alias("pages")), "hosts")
+    within, outside = F.col("side") >= F.col("l"), -F.col("side") >= F.col("l")
+    pages_of = parts.groupBy("id", "l", "a", "b", "print").agg(F.max(within.cast("int")).alias("in"), F.max(outside.cast("int")).alias("out"))
+    wide = store(pages_of.groupBy("id", "l", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("in").alias("n_in"), F.sum("out").alias("n_out")).where("n > 1"), "runs")
+    often = lambda n: (n >= LEAST_PAGES) & (n >= LEAST_SHARE * F.col("pages"))
+    wide = (wide.join(hosts, F.col("id") == F.col("k_id"))
+            .select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb"), (often(F.col("n_in")) & often(F.col("n_out"))).alias("both")))
     wide = store(wide, "wide")  # the join then shuffles both sides itself, and Spark may split a run that very many pages hold
-    return (parts.join(wide, (F.col("l") == F.col("kl")) & (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
-            .groupBy("id", "print").agg(F.collect_set(F.struct("pos", "l")).alias("covered")))
+    found = (parts.where((F.col("side") == 0) | within).join(wide, (F.col("l") == F.col("kl")) & (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
+             .where("side = 0 OR both").groupBy("id", "print").agg(F.collect_set(F.struct("pos", "l")).alias("covered")))
+    return store(found, "covered")
 
 
 def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -215,32 +244,24 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     page = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))
     pages = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.xxhash64(page).alias("print"), F.col(f"`{url_col}`").alias("url"),
                       F.lower(F.coalesce(F.regexp_extract(F.col(f"`{url_col}`").cast("string"), HOST, 1), F.lit(""))).alias("host"), page.alias("html"))
+    pages = pages.withColumn("site", F.xxhash64("host"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, rest = [], []
-            for page in batch.column(3).to_pylist():
+            marked, rest = [], []
+            for page in batch.column(4).to_pylist():
                 blocks = blocks_of(page)
-                article = article_of(blocks)
-                texts.append(None if article is None else "\n".join(article))
-                rest.append([{"text": b.text, "known": b.known} for b in blocks] if article is None else None)
-            yield pa.record_batch([*batch.columns[:3], pa.array(texts, pa.string()), pa.array(rest, pa.list_(pa.struct([("text", pa.string()), ("known", pa.bool_())])))],
-                                  ["id", "print", "url", "text", "blocks"])
+                marks = article_marks(blocks)
+                marked.append(marks is not None)
+                rest.append([{"pos": i, "text": b.text} for i, b in enumerate(blocks) if (not b.known if marks is None else marks[i])])
+            yield pa.record_batch([*batch.columns[:4], pa.array(marked), pa.array(rest, pa.list_(pa.struct([("pos", pa.int32()), ("text", pa.string())])))],
+                                  ["id", "site", "print", "url", "marked", "blocks"])
 
     kind = pages.schema["url"].dataType.simpleString()
-    done = pages.select("id", "print", "url", "html").mapInArrow(read, f"id bigint, print bigint, url {kind}, text string, blocks array<struct<text:string,known:boolean>>")
+    done = pages.select("id", "site", "print", "url", "html").mapInArrow(read, f"id bigint, site bigint, print bigint, url {kind}, marked boolean, blocks array<struct<pos:int,text:string>>")
     covered = repeated_blocks(pages).withColumnsRenamed({"id": "k_id", "print": "k_print"})
-    unmarked = done.where("text IS NULL").join(covered, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("print") == F.col("k_print")), "left")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for blocks, runs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                gone = np.unique(ragged(np.array([r["pos"] for r in runs]), np.array([r["l"] for r in runs]))).tolist() if runs else []
-                gone = set(gone)
-                texts.append("\n".join(b["text"] for i, b in enumerate(blocks) if not b["known"] and i not in gone))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([False] * batch.num_rows)], ["id", "url", "text", "marked"])
-
-    left = unmarked.select("id", "url", "blocks", "covered").mapInArrow(keep, f"id bigint, url {kind}, text string, marked boolean")
-    out = done.where("text IS NOT NULL").select("id", "url", "text", F.lit(True).alias("marked")).unionByName(left)
-    return out.withColumnsRenamed({"id": id_col, "url": url_col})
+    joined = done.join(covered, (F.col("site") == F.col("k_id")) & (F.col("print") == F.col("k_print")), "left")
+    gone = lambda b: F.exists("covered", lambda r: (b["pos"] >= r["pos"]) & (b["pos"] < r["pos"] + r["l"]))
+    left = F.when(F.col("covered").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: ~gone(b)))
+    text = F.array_join(F.transform(left, lambda b: b["text"]), "\n")
+    return joined.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), "marked")

@@ -46,6 +46,22 @@ def test_repeats_on_a_host_go(spark):
     assert got[(20, "https://h.example/a")] == "Our menu of many fine words\nown 0"  # marked: nothing is dropped
 
 
+def test_runs_decide_on_marked_pages(spark):
+    notice, quote = "Please read our notice on every page", "To be or not to be, that is it"
+    page = "<div class=notice>{1}</div><article><p>story {0}</p><p>" + notice + "</p><p>" + quote + "</p></article>"
+    rows = [(i, f"https://m.example/{i}", page.format(i, notice), "", 1, 1, 1, 1) for i in range(6)]
+    rows += [(10 + i, f"https://n.example/{i}", page.format(i, "no"), "", 1, 1, 1, 1) for i in range(6)]
+    rows += [(20, "https://m.example/u", "<div>" + quote + "</div><div>a page of its own words</div>", "", 1, 1, 1, 1)]
+    advert = "<div class=ad>{1}</div><article><p>story {0}</p><p>" + quote + "</p></article>"
+    rows += [(30 + i, f"https://o.example/{i}", advert.format(i, quote if i < 2 else "no"), "", 1, 1, 1, 1) for i in range(6)]
+    got = {k: v for (k, _), v in text_rows(spark, rows).items()}
+    for i in range(6):
+        assert got[i] == f"story {i}\n{quote}"  # the notice repeats within and outside articles
+        assert got[10 + i] == f"story {i}\n{notice}\n{quote}"  # within articles only
+        assert got[30 + i] == f"story {i}\n{quote}"  # outside articles on two pages only
+    assert got[20] == "a page of its own words"  # the quote repeats in articles of other pages
+
+
 def test_empty_table(spark):
     assert text_rows(spark, []) == {}
 
