@@ -21,19 +21,26 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
 # Kinds in the order that settles ties of position; the base kinds come first.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64", "entropy_base36", "entropy_key")
 BASE = 3
 
 # Candidate strings: maximal runs of these characters, 20 or more, with a digit and a letter.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 
-# Character classes with the strings they hold, the window and the least entropy in bits of a window.
+# Parts of a candidate between = / _ and -, with the same least length; they are tested besides the whole run.
+PART = r"(?<![A-Za-z0-9+])(?=[A-Za-z+]*[0-9])(?=[0-9+]*[A-Za-z])[A-Za-z0-9+]{20,}"
+
+# Character classes with the strings they hold, the window and the least entropy in bits of a window. Every candidate has one.
 CLASSES = (
     ("entropy_hex", r"^([0-9a-f]+|[0-9A-F]+)$", 20, 3.0),
     ("entropy_alnum", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 20, 3.6),
     ("entropy_base64", r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[+/_=-]).*$", 20, 3.6),
+    ("entropy_base36", r"^(?=.*[G-Zg-z])([0-9a-z]+|[0-9A-Z]+)$", 20, 3.6),
+    ("entropy_key", r"^(?=.*[+/_=-])([0-9a-z+/_=-]+|[0-9A-Z+/_=-]+)$", 20, 3.8),
 )
+# Those that a part may have of its own; windows of the others, whose strings hold separators, are windows of the whole run too.
+OF_PARTS = ("entropy_hex", "entropy_alnum", "entropy_base36")
 
 # Strings that are random-looking but known to be harmless.
 ALLOW = (
@@ -105,7 +112,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Columns: the id, ``base`` and ``spans``, arrays of (kind, start, end) sorted by start, then kind.
 
     ``spans`` holds every base span and, in addition, the high-entropy windows of candidate strings which no pattern of
-    ``allow`` matches.
+    ``allow`` matches, and of their parts.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     out = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"))
@@ -115,10 +122,14 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = out.select("id", F.concat(_ranked(long_enough, "assign"), _ranked(F.col("k"), "access"),
                                     _ranked(F.col("h"), "hex")).alias("b"), "c")
     allowed = F.lit("|".join(f"(?:{p})" for p in allow) or "(?!)")
-    suspects = F.filter(F.col("c"), lambda s: ~F.regexp_like(s["value"], allowed))
+    out = out.select("id", "b", F.filter(F.col("c"), lambda s: ~F.regexp_like(s["value"], allowed)).alias("c"))
+    parts = F.flatten(F.transform("c", lambda s: F.transform(
+        F.filter(_located(s["value"], PART), lambda p: F.length(p["value"]) < F.length(s["value"])),
+        lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["value"].alias("value")))))
+    out = out.select("id", "b", "c", F.when(F.size("c") > 0, parts).otherwise(F.slice("c", 1, 0)).alias("p"))
 
     def windows(kind: str, belongs: str, window: int, least: float) -> Column:
-        own = F.filter(suspects, lambda s: F.regexp_like(s["value"], F.lit(belongs)))
+        own = F.filter(F.concat("c", "p") if kind in OF_PARTS else F.col("c"), lambda s: F.regexp_like(s["value"], F.lit(belongs)))
         return F.flatten(F.transform(own, lambda s: F.transform(
             random_windows(s["value"], window, least),
             lambda w: F.struct((s["start"] + w["start"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),

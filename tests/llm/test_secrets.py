@@ -61,6 +61,25 @@ def test_method_adds_and_allow_list_suppresses(spark):
     assert got == {1: ["entropy_alnum"], 2: [], 3: [], 4: ["access"], 5: ["entropy_base64"]}
 
 
+def found(spark, texts):
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    return [[(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans] for r in rows]
+
+
+def test_every_candidate_has_a_class(spark):
+    base36, base32, digits = "k3j9x0qz7m2p5w8r1t4yh6", "JBSW2Y3DPEHPK3PXGEZDG", "9f86d081884c7d659a2fe"
+    texts = [f"a {base36} b", f"a {base32} b", f"sid={digits}", f"/x/{base36}", "key k3j9-x0qz-7m2p-5w8r-1t4y"]
+    got = found(spark, texts)
+    assert got[0] == [("entropy_base36", base36)] and got[1] == [("entropy_base36", base32)]
+    assert ("entropy_hex", digits) in got[2] and ("entropy_base36", base36) in got[3]
+    assert got[4] == [("entropy_key", "k3j9-x0qz-7m2p-5w8r-1t4y")]
+    draw = random.Random(7)
+    for _ in range(2000):
+        value = "".join(draw.choice(draw.choice([secrets.ALPHABET, "abcdef0123456789", "ABCXYZ019-", "abcxyz019=/"])) for _ in range(20))
+        if re.fullmatch(secrets.CANDIDATE, value):
+            assert sum(bool(re.search(c[1], value)) for c in secrets.CLASSES) == 1, value
+
+
 def test_edges(spark):
     assert secrets.find_secrets(edge_docs(spark)).count() == len(edge_rows())
     assert secrets.find_secrets(empty_docs(spark)).collect() == []
