@@ -42,7 +42,8 @@ CLASSES = (
 # Those that a part may have of its own; windows of the others, whose strings hold separators, are windows of the whole run too.
 OF_PARTS = ("entropy_hex", "entropy_alnum", "entropy_base36")
 
-# Strings that are random-looking but known to be harmless.
+# Strings that are random-looking but known to be harmless. A run or part that is one of them as a whole has no windows; of others
+# only the windows go that hold one.
 ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)example|placeholder|changeme|xxxxx|00000000",  # stand-ins
@@ -72,15 +73,17 @@ def _nlogn(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
 
 
-def random_windows(value: Column, window: int, least: float) -> Column:
+def random_windows(value: Column, window: int, least: float, harmless: Column | None = None) -> Column:
     """Spans of a string whose windows have at least ``least`` bits of Shannon entropy; overlapping windows are merged.
+    Windows that hold a span (start, end, value) of ``harmless`` whole do not count; these spans are sorted and apart.
 
     One step per character: the entering character raises its count, the leaving one lowers its own, and the sum of
     n log2 n over the counts changes by those two terms only; the entropy is log2(window) - sum / window.
     """
     spans = "array<struct<start:bigint,end:bigint>>"
+    harmless = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>") if harmless is None else harmless
     begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
-                     F.array().cast(spans).alias("out"))
+                     F.array().cast(spans).alias("out"), F.lit(0).alias("past"), F.lit(-1).cast("bigint").alias("held"))
     code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))  # noqa: E731  1-based
 
     def step(acc: Column, i: Column) -> Column:  # i: 1-based place of the entering character
@@ -96,9 +99,13 @@ def random_windows(value: Column, window: int, least: float) -> Column:
         joined = F.concat(F.slice(acc["out"], 1, F.greatest(F.size(acc["out"]) - 1, F.lit(0))),
                           F.array(F.struct(last["start"].alias("start"), end.alias("end"))))
         added = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"))))
-        high = (i >= window) & (F.lit(math.log2(window)) - total / F.lit(float(window)) >= F.lit(least - 1e-9))
+        here = F.get(harmless, acc["past"])  # the next harmless span; ``held`` is the start of the last one passed
+        ends = F.coalesce(here["end"] <= i, F.lit(False))
+        held = F.when(ends, here["start"]).otherwise(acc["held"])
+        high = (i >= window) & (held < start) & (F.lit(math.log2(window)) - total / F.lit(float(window)) >= F.lit(least - 1e-9))
         out = F.when(high & last.isNotNull() & (last["end"] >= start), joined).when(high, added).otherwise(acc["out"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), out.alias("out"))
+        past = (acc["past"] + ends.cast("int")).alias("past")
+        return F.struct(counts.alias("counts"), total.alias("sum"), out.alias("out"), past, held.alias("held"))
 
     return F.aggregate(F.sequence(F.lit(1), F.length(value)), begin, step, lambda acc: acc["out"])
 
@@ -111,8 +118,8 @@ def _ranked(spans: Column, kind: str) -> Column:
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Columns: the id, ``base`` and ``spans``, arrays of (kind, start, end) sorted by start, then kind.
 
-    ``spans`` holds every base span and, in addition, the high-entropy windows of candidate strings which no pattern of
-    ``allow`` matches, and of their parts.
+    ``spans`` holds every base span and, in addition, the high-entropy windows of candidate strings, and of their
+    parts, which match no pattern of ``allow`` as a whole. Windows in which such a pattern is found are left out.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     out = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"))
@@ -121,21 +128,24 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     long_enough = F.filter(F.col("a"), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_LEAST)
     out = out.select("id", F.concat(_ranked(long_enough, "assign"), _ranked(F.col("k"), "access"),
                                     _ranked(F.col("h"), "hex")).alias("b"), "c")
-    allowed = F.lit("|".join(f"(?:{p})" for p in allow) or "(?!)")
-    out = out.select("id", "b", F.filter(F.col("c"), lambda s: ~F.regexp_like(s["value"], allowed)).alias("c"))
+    allowed = "|".join(f"(?:{p})" for p in allow) or "(?!)"
+    whole = F.lit("|".join(f"(?:^(?:{p})$)" for p in allow) or "(?!)")
+    out = out.select("id", "b", F.filter(F.col("c"), lambda s: ~F.regexp_like(s["value"], whole)).alias("c"))
     parts = F.flatten(F.transform("c", lambda s: F.transform(
-        F.filter(_located(s["value"], PART), lambda p: F.length(p["value"]) < F.length(s["value"])),
+        F.filter(_located(s["value"], PART), lambda p: (F.length(p["value"]) < F.length(s["value"])) & ~F.regexp_like(p["value"], whole)),
         lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["value"].alias("value")))))
     out = out.select("id", "b", "c", F.when(F.size("c") > 0, parts).otherwise(F.slice("c", 1, 0)).alias("p"))
+    spotted = lambda s: F.struct(s["start"].alias("start"), s["value"].alias("value"), _located(s["value"], allowed).alias("harmless"))
+    out = out.select("id", "b", F.transform("c", spotted).alias("cs"), F.transform("p", spotted).alias("ps"))
 
     def windows(kind: str, belongs: str, window: int, least: float) -> Column:
-        own = F.filter(F.concat("c", "p") if kind in OF_PARTS else F.col("c"), lambda s: F.regexp_like(s["value"], F.lit(belongs)))
+        own = F.filter(F.concat("cs", "ps") if kind in OF_PARTS else F.col("cs"), lambda s: F.regexp_like(s["value"], F.lit(belongs)))
         return F.flatten(F.transform(own, lambda s: F.transform(
-            random_windows(s["value"], window, least),
+            random_windows(s["value"], window, least, s["harmless"]),
             lambda w: F.struct((s["start"] + w["start"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
                                (s["start"] + w["end"]).alias("end")))))
 
-    more = F.when(F.size("c") > 0, F.concat(*[windows(*c) for c in CLASSES])).otherwise(
+    more = F.when(F.size("cs") > 0, F.concat(*[windows(*c) for c in CLASSES])).otherwise(
         F.array().cast("array<struct<start:bigint,rank:int,end:bigint>>"))
     out = out.select("id", F.array_sort("b").alias("b"), F.array_sort(F.concat("b", more)).alias("s"))
     named = lambda spans: F.transform(spans, lambda s: F.struct(
