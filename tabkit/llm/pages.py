@@ -3,14 +3,13 @@
 A page is read into blocks, the text between block-level tags. Scripts, styles, heads and hidden parts are no blocks; menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments are known by their tag, role, class or id. The blocks
 of all pages of a host, as word counts and hashes, are the token streams; a suffix array over them, built by the same
-distributed prefix doubling as in ``lines``, gives the runs of blocks with ``LEAST_WORDS`` words or more that repeat on distinct
-pages. Blocks covered by such runs are boilerplate, and what is left are the unique runs, joined by line ends in page order.
+distributed prefix doubling as in ``lines``, gives the runs of blocks with ``LEAST_WORDS`` words or more that repeat: that
+``LEAST_PAGES`` distinct pages or more, and a share of ``LEAST_SHARE`` of the host's distinct pages, hold. Blocks covered by such runs are boilerplate, and what is left are the unique runs, joined by line ends in page order.
 
 Where the page itself marks its article (``article``, else ``main``), the text comes from the blocks in it that are not one of the
-kinds above. Of these go the runs that ``LEAST_PAGES`` distinct pages or more, and a share of ``LEAST_SHARE`` of the host's, hold
-within the article, and as many outside it: menus and notices set into the article. Others stay: copies of an article, lines that
+kinds above. Of these go the runs that so many pages hold within the article, and so many outside it: menus and notices set into the article. Others stay: copies of an article, lines that
 many articles quote, or a line that some advert repeats, are not boilerplate. Pages without such a mark lose all that repeats on the host's pages,
-within articles or not.
+within articles or not; near copies of one article on fewer pages keep it.
 
 Pages are read in tasks; block hashes are shuffled, html is not. The runs that decide on a page are stored and come to its text
 by a join whose side Spark chooses by size: texts are shuffled only where these runs are too many to send to every task. A host
@@ -38,7 +37,7 @@ from tabkit.llm.stored import store
 from tabkit.runtime import settle
 
 LEAST_WORDS = 5
-# A run within articles goes if so many of the host's distinct pages, and that share of them, hold it within and outside articles.
+# A run repeats if so many of the host's distinct pages, and that share of them, hold it: a page, a revision and a print view do not suffice.
 LEAST_PAGES = 4
 LEAST_SHARE = 0.1
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
@@ -222,17 +221,17 @@ def _streams(pages: DataFrame) -> DataFrame:
 
 
 def repeated_blocks(pages: DataFrame) -> DataFrame:
-    """(id, print, covered): the runs (pos, l) of blocks that go, by hashed host and print. On pages without a mark they repeat on distinct pages of the
-    host, on others they lie within the article and often repeat on distinct pages both within and outside articles."""
+    """(id, print, covered): the runs (pos, l) of blocks that go, by hashed host and print. On pages without a mark they
+    repeat on enough distinct pages of the host, on others they lie within the article and do so both within and outside articles."""
     streams = settle(_streams(pages), "streams")
     parts = settle(repeated_parts(streams, LEAST_WORDS, ("side",)), "parts")
     hosts = store(streams.select("id", "print").distinct().groupBy(F.col("id").alias("k_id")).agg(F.count(F.lit(1)).alias("pages")), "hosts")
     within, outside = F.col("side") >= F.col("l"), -F.col("side") >= F.col("l")
     pages_of = parts.groupBy("id", "l", "a", "b", "print").agg(F.max(within.cast("int")).alias("in"), F.max(outside.cast("int")).alias("out"))
-    wide = store(pages_of.groupBy("id", "l", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("in").alias("n_in"), F.sum("out").alias("n_out")).where("n > 1"), "runs")
+    wide = store(pages_of.groupBy("id", "l", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("in").alias("n_in"), F.sum("out").alias("n_out")).where(F.col("n") >= LEAST_PAGES), "runs")
     often = lambda n: (n >= LEAST_PAGES) & (n >= LEAST_SHARE * F.col("pages"))
     wide = (wide.join(hosts, F.col("id") == F.col("k_id"))
-            .select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb"), (often(F.col("n_in")) & often(F.col("n_out"))).alias("both")))
+            .where(often(F.col("n"))).select(F.col("l").alias("kl"), F.col("a").alias("ka"), F.col("b").alias("kb"), (often(F.col("n_in")) & often(F.col("n_out"))).alias("both")))
     wide = store(wide, "wide")  # the join then shuffles both sides itself, and Spark may split a run that very many pages hold
     found = (parts.where((F.col("side") == 0) | within).join(wide, (F.col("l") == F.col("kl")) & (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
              .where("side = 0 OR both").groupBy("id", "print").agg(F.collect_set(F.struct("pos", "l")).alias("covered")))

@@ -62,6 +62,21 @@ def test_runs_decide_on_marked_pages(spark):
     assert got[20] == "a page of its own words"  # the quote repeats in articles of other pages
 
 
+def test_near_copies_of_an_unmarked_article_stay(spark):
+    menu, article = "<div>Our menu of many fine words</div>", "<p>The first paragraph of one long article</p><p>and the second one, also long enough</p>"
+    views = [menu + article, menu + article + "<p>revised</p>", "<body class=print>" + menu + article]
+    rows = [(i, f"https://r.example/{i}", v, "", 1, 1, 1, 1) for i, v in enumerate(views)]
+    rows += [(10 + i, f"https://r.example/{10 + i}", f"{menu}<p>story {i} has words of its own</p>", "", 1, 1, 1, 1) for i in range(37)]
+    rows += [(100 + i, f"https://s.example/{i}", f"<p>number {i}</p>" + article, "", 1, 1, 1, 1) for i in range(2)]
+    rows += [(200 + i, f"https://t.example/{i}", f"<p>story {i} has words of its own</p>" + (article if i < 4 else ""), "", 1, 1, 1, 1) for i in range(60)]
+    got = {k: v for (k, _), v in text_rows(spark, rows).items()}
+    text = "The first paragraph of one long article\nand the second one, also long enough"
+    assert [got[0], got[1], got[2]] == [text, text + "\nrevised", text]  # three of forty pages
+    assert got[10] == "story 0 has words of its own"  # the menu is on all
+    assert [got[100], got[101]] == ["number 0\n" + text, "number 1\n" + text]  # all pages of the host, but two
+    assert got[200] == "story 0 has words of its own\n" + text  # four pages, but less than a tenth
+
+
 def test_empty_table(spark):
     assert text_rows(spark, []) == {}
 
