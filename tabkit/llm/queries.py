@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import huffman, leaks, lines, near, pages, pieces, quality, rules, secrets, toxicity
+from tabkit.llm import huffman, leaks, lines, mixing, near, pages, pieces, prefixes, quality, ranked, rules, secrets, toxicity
 from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
+
+
+@query(mixing.SQL)
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
+@query(ranked.SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query(prefixes.SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
