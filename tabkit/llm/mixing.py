@@ -32,7 +32,7 @@ from tabkit.runtime import settle
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2
-SLICE_ROWS = 50_000
+SLICE_ROWS = 5_000
 DIGITS = 15  # hexadecimal digits of the hash that orders a queue
 
 

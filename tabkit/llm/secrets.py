@@ -2,7 +2,7 @@
 
 Everything is an expression over one row, so the scan is a single pass without a shuffle and without Python on the data
 path; a lost executor costs its own splits only. Cases: a NULL text counts as empty and gives no span; a very long text
-is scanned whole (positions of n matches cost n array copies, so 100,000 secrets in one text still fit a task); repeated
+is scanned whole, in steps whose cost does not grow with its length or with the number of matches; repeated
 rows, NULL ids and ties each give their own row with equal spans; an empty table gives an empty result. The result holds
 the id and the columns named here only, so extra input columns cannot clash.
 """
@@ -10,6 +10,7 @@ the id and the columns named here only, so extra input columns cannot clash.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z]
 # Parts of a candidate between = / _ and -, with the same least length; they are tested besides the whole run.
 PART = r"(?<![A-Za-z0-9+])(?=[A-Za-z+]*[0-9])(?=[0-9+]*[A-Za-z])[A-Za-z0-9+]{20,}"
 
+RUN = 300  # matches that are added up before they are joined to those before
+
 # Character classes with the strings they hold, the window and the least entropy in bits of a window. Every candidate has one.
 CLASSES = (
     ("entropy_hex", r"^([0-9a-f]+|[0-9A-F]+)$", 20, 3.0),
@@ -48,66 +51,105 @@ ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)example|placeholder|changeme|xxxxx|00000000",  # stand-ins
     r"(?i)0123456789abcdef|abcdefghijklmnop",  # counting strings
-    r"^/?([A-Za-z]+|[0-9]+)([-_/=]+([A-Za-z]+|[0-9]+))+[-_/=]*$",  # paths and slugs of plain words and numbers
+    # paths and slugs of plain words and numbers: no letter beside a digit, a separator inside. No group is repeated, since each
+    # repetition of a group is a call inside the last one to the matcher
+    r"^(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z]))(?=.*[A-Za-z0-9][-_/=]+[A-Za-z0-9])/?[A-Za-z0-9][A-Za-z0-9_/=-]*$",
 )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once. Spark evaluates what a lambda names from outside anew for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _located(text: Column, pattern: str) -> Column:
-    """Matches with their places: array of (start, end, value), in code points, end exclusive."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    gaps = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).cast("bigint").alias("gap"), m.alias("m")))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    """Matches with their places: array of (start, end, value), in code points, end exclusive.
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        here = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(here)).alias("out"))
+    Places are running sums of the lengths of gaps and matches. Matches are added up in runs of ``RUN``, then the runs, so that
+    appending to an array copies ``RUN`` elements at most.
+    """
+    spans = "array<struct<start:bigint,end:bigint,value:string>>"
+    at = lambda n: F.lit(n).cast("bigint")
 
-    return F.when(text.rlike(pattern), F.aggregate(steps, empty, step, lambda acc: acc["out"])).otherwise(none)
+    def measured(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        return F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).cast("bigint").alias("gap"), F.length(m).cast("bigint").alias("long"), m.alias("m")))
 
+    def in_run(run: Column) -> Column:  # places from the start of the run
+        begin = F.struct(at(0).alias("at"), F.array().cast(spans).alias("out"))
+        return F.aggregate(run, begin, lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["long"]).alias("at"),
+            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["long"]).alias("end"), x["m"].alias("value")))).alias("out")))
 
-def _nlogn(n: Column) -> Column:
-    return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
+    def moved(runs: Column) -> Column:
+        begin = F.struct(at(0).alias("at"), F.array().cast("array<bigint>").alias("out"))
+        bases = F.aggregate(runs, begin, lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(runs, bases, lambda r, base: F.transform(r["out"], lambda m: F.struct(
+            (base + m["start"]).alias("start"), (base + m["end"]).alias("end"), m["value"].alias("value")))))
+
+    def placed(steps: Column) -> Column:
+        begins = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int"))
+        return _let(F.transform(begins, lambda i: in_run(F.slice(steps, i * RUN + 1, RUN))), moved)
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(text.rlike(pattern), _let(_let(found, measured), placed)).otherwise(F.array().cast(spans))
 
 
 def random_windows(value: Column, window: int, least: float, harmless: Column | None = None) -> Column:
     """Spans of a string whose windows have at least ``least`` bits of Shannon entropy; overlapping windows are merged.
     Windows that hold a span (start, end, value) of ``harmless`` whole do not count; these spans are sorted and apart.
 
-    One step per character: the entering character raises its count, the leaving one lowers its own, and the sum of
-    n log2 n over the counts changes by those two terms only; the entropy is log2(window) - sum / window.
+    One step per character: the entering character raises its count, the leaving one lowers its own, and the sum of n log2 n over the
+    counts changes by those two terms only; the entropy is log2(window) - sum / window. The counts stand side by side in a few whole
+    numbers and the terms in a table, as whole multiples of 2^-32, so a step costs the same in a string of any length and nothing drifts.
     """
     spans = "array<struct<start:bigint,end:bigint>>"
+    bits = window.bit_length()
+    per_word = 60 // bits
+    words = -(-len(ALPHABET) // per_word)
+    nlogn = [round(n * math.log2(n) * 2**32) if n else 0 for n in range(window + 2)]
+    longs = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
+    # by code, 0 for no character
+    word_of = F.array(*[F.lit(-1)], *[F.lit(k // per_word) for k in range(len(ALPHABET))])
+    shift_of = F.array(*[F.lit(0)], *[F.lit(bits * (k % per_word)) for k in range(len(ALPHABET))])
+    unit_of = longs([0, *[1 << bits * (k % per_word) for k in range(len(ALPHABET))]])
+    raises = longs([b - a for a, b in zip(nlogn, nlogn[1:])])  # what a count of n adds when it becomes n + 1
+    limit = math.floor((math.log2(window) - least + 1e-9) * window * 2**32)
+
     harmless = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>") if harmless is None else harmless
-    begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
-                     F.array().cast(spans).alias("out"), F.lit(0).alias("past"), F.lit(-1).cast("bigint").alias("held"))
-    code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))  # noqa: E731  1-based
-
-    def step(acc: Column, i: Column) -> Column:  # i: 1-based place of the entering character
-        enters = code(i)
-        leaves = F.when(i > window, code(i - F.lit(window))).otherwise(F.lit(0))
-        taken = F.transform(acc["counts"], lambda n, k: n - F.when(k + 1 == leaves, 1).otherwise(0))
-        before, gone = F.coalesce(F.get(taken, enters - 1), F.lit(0)), F.coalesce(F.get(acc["counts"], leaves - 1), F.lit(0))
-        total = (acc["sum"] - F.when(leaves > 0, _nlogn(gone) - _nlogn(gone - 1)).otherwise(F.lit(0.0))
-                 + _nlogn(before + 1) - _nlogn(before))
-        counts = F.transform(taken, lambda n, k: n + F.when(k + 1 == enters, 1).otherwise(0))
-        start, end = (i - F.lit(window)).cast("bigint"), i.cast("bigint")
-        last = F.get(acc["out"], F.size(acc["out"]) - 1)
-        joined = F.concat(F.slice(acc["out"], 1, F.greatest(F.size(acc["out"]) - 1, F.lit(0))),
-                          F.array(F.struct(last["start"].alias("start"), end.alias("end"))))
-        added = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"))))
-        here = F.get(harmless, acc["past"])  # the next harmless span; ``held`` is the start of the last one passed
-        ends = F.coalesce(here["end"] <= i, F.lit(False))
-        held = F.when(ends, here["start"]).otherwise(acc["held"])
-        high = (i >= window) & (held < start) & (F.lit(math.log2(window)) - total / F.lit(float(window)) >= F.lit(least - 1e-9))
-        out = F.when(high & last.isNotNull() & (last["end"] >= start), joined).when(high, added).otherwise(acc["out"])
-        past = (acc["past"] + ends.cast("int")).alias("past")
-        return F.struct(counts.alias("counts"), total.alias("sum"), out.alias("out"), past, held.alias("held"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), begin, step, lambda acc: acc["out"])
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    # entering and leaving code of every character, and one step more in which the last window is judged
+    steps = _let(codes, lambda c: F.arrays_zip(F.concat(c, F.array(F.lit(0))).alias("e"), F.slice(F.concat(F.array_repeat(F.lit(0), window), c), 1, F.size(c) + 1).alias("l")))
+    at = lambda n: F.lit(n).cast("bigint")
+    begin = F.struct(*[at(0).alias(f"w{j}") for j in range(words)], at(0).alias("sum"), at(0).alias("at"), at(-1).alias("from"), at(-1).alias("upto"),
+                     F.array().cast(spans).alias("out"), F.lit(0).alias("past"), at(-1).alias("held"))
+    pair = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
+
+    def fold(steps: Column, harmless: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            enters, leaves = x["e"], x["l"]
+            counts = F.array(*[acc[f"w{j}"] for j in range(words)])
+            number = lambda code: F.call_function("shiftright", F.get(counts, F.get(word_of, code)), F.get(shift_of, code)).bitwiseAND((1 << bits) - 1).cast("int")
+            added = F.when(enters > 0, F.get(raises, number(enters))).otherwise(at(0))
+            taken = F.when(leaves > 0, F.get(raises, number(leaves) - 1)).otherwise(at(0))
+            changed = F.when(enters == leaves, at(0)).otherwise(added - taken)
+            word = lambda j: (acc[f"w{j}"] + F.when(F.get(word_of, enters) == j, F.get(unit_of, enters)).otherwise(at(0))
+                              - F.when(F.get(word_of, leaves) == j, F.get(unit_of, leaves)).otherwise(at(0)))
+            # the window that ended with the step before
+            start = acc["at"] - window
+            high = (acc["at"] >= window) & (acc["held"] < start) & (acc["sum"] <= limit)
+            apart = acc["upto"] < start
+            closed = high & apart & (acc["from"] >= 0)
+            here = F.get(harmless, acc["past"])  # the next harmless span; ``held`` is the start of the last one passed
+            ends = F.coalesce(here["end"] <= acc["at"] + 1, F.lit(False))
+            return F.struct(*[word(j).alias(f"w{j}") for j in range(words)], (acc["sum"] + changed).alias("sum"), (acc["at"] + 1).alias("at"),
+                            F.when(high & (apart | (acc["from"] < 0)), start).otherwise(acc["from"]).alias("from"), F.when(high, acc["at"]).otherwise(acc["upto"]).alias("upto"),
+                            F.when(closed, F.concat(acc["out"], pair(acc["from"], acc["upto"]))).otherwise(acc["out"]).alias("out"),
+                            (acc["past"] + ends.cast("int")).alias("past"), F.when(ends, here["start"]).otherwise(acc["held"]).alias("held"))
+
+        return F.aggregate(steps, begin, step, lambda acc: F.when(acc["from"] >= 0, F.concat(acc["out"], pair(acc["from"], acc["upto"]))).otherwise(acc["out"]))
+
+    return _let(harmless, lambda h: fold(steps, h))
 
 
 def _ranked(spans: Column, kind: str) -> Column:

@@ -120,3 +120,28 @@ def test_no_python(spark, small):
     df = queries.op6_secret_scan(spark, small)
     assert not re.search("Python|Pandas|MapInArrow|Exchange", df._jdf.queryExecution().executedPlan().toString())
     assert df.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def test_long_strings_and_many_matches(spark):
+    """Texts on which a matcher that calls itself, a window that walks from the start or a list that is copied never ends."""
+    draw = random.Random(10)
+    noise = "".join(draw.choice(secrets.ALPHABET[:64]) for _ in range(1_000_000))
+    slug, word = "ab-12-" * 1_700_000, "z" * 2_000_000 + "1"
+    short = "\n".join(f"token=abcdefgh{i}" for i in range(100_000))
+    texts = [slug, word, noise, short, "deadbeef" * 125_000]
+    df = spark.createDataFrame([(i,) for i in range(len(texts))], "doc_id bigint").repartition(5)
+    parts = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string")
+    got = {r.doc_id: r for r in secrets.find_secrets(df.join(parts, F.col("doc_id") == F.col("k"))).select("doc_id", "base", "spans").collect()}
+    assert list(got[0].spans) == [] and list(got[1].spans) == []
+    assert [(s.start, s.end) for s in got[2].spans if s.kind == "entropy_base64"] == windows(noise, 20, 3.6)
+    assert [tuple(s) for s in got[3].base] == base(short) and len(got[3].base) == 100_000
+    assert [tuple(s) for s in got[4].base] == [("hex", 0, 1_000_000)]
+
+
+def test_paths_and_slugs(spark):
+    """The pattern of plain words and numbers holds the strings that it would with a repeated group."""
+    draw = random.Random(11)
+    whole = re.compile(r"/?([A-Za-z]+|[0-9]+)([-_/=]+([A-Za-z]+|[0-9]+))+[-_/=]*")
+    values = ["".join(draw.choice(["a", "B", "1", "22", "-", "_", "/", "=", "+", "ab"]) for _ in range(draw.randrange(1, 9))) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", F.regexp_like("v", F.lit(secrets.ALLOW[3])).alias("plain"))
+    assert all(r.plain == bool(whole.fullmatch(r.v)) for r in df.collect())
