@@ -9,6 +9,7 @@ from tabkit.operators import features as E
 from tabkit.operators import metrics as X
 from tabkit.operators import missing as M
 from tabkit.operators import models as L
+from tabkit.operators.encoders import CategoryIndexer, SentinelImputer
 from tabkit.operators.neighbours import knn_classify
 from tabkit.operators.splits import split_by_key
 from tabkit.operators.transformers import PairwiseProduct, Square
@@ -64,19 +65,19 @@ def train_linear_svc(spark, sf_dir):
 
 @query("fit_predict")
 def fit_predict(spark, sf_dir):
-    """Index and fill text, fill numbers, add products and squares, assemble, fit and predict."""
+    """Index and fill text, fill numbers, add products and squares, assemble, fit on training rows and predict test rows."""
     customer = table(spark, sf_dir, "customer")
-    df = customer.select(
+    df = settle(customer.select(
         F.col("c_custkey").alias("id"), (F.col("c_acctbal") > 5000).cast("double").alias("label"),
         F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"),
-        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"), F.col("c_nationkey").cast("double").alias("nation"))
-    df = M.impute_category(df, ["segment"])
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"), F.col("c_nationkey").cast("double").alias("nation")), "customers")
+    train, test = split_by_key(df, "id", 0.8)
     numbers = ["Imputedbalance", "Imputednation"]
     products = PairwiseProduct(inputCols=numbers)
-    before = [M.ml_imputer(["balance", "nation"]), products, Square(inputCols=numbers)]
+    before = [CategoryIndexer(inputCols=["segment"]), SentinelImputer(inputCols=["segmentIndex"]), M.ml_imputer(["balance", "nation"]), products, Square(inputCols=numbers)]
     cols = [*products.getOutputCols(), *numbers, "ImputedsegmentIndex"]
-    model = L.make_pipeline("random_forest", cols, "label", before, numTrees=10, maxDepth=4).fit(df)
-    return model.transform(df).select("id", "label", "prediction")
+    model = L.make_pipeline("random_forest", cols, "label", before, numTrees=10, maxDepth=4).fit(train)
+    return model.transform(test).select("id", "label", "prediction")
 
 
 @query("cross_validate")

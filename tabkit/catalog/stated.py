@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import draw_sql, query, rounded, table
 from tabkit.operators import metrics as X
 from tabkit.operators import models as L
+from tabkit.operators.encoders import CategoryIndexer, SentinelImputer
 from tabkit.operators.splits import split_by_key
 from tabkit.operators.transformers import PairwiseProduct, Square
 from tabkit.runtime import settle
@@ -147,3 +149,82 @@ def perturbation_split(spark, sf_dir):
     df = labelled(spark, sf_dir)
     model = L.make_pipeline("decision_tree", ["x"], "label", **TREE).fit(df)
     return rounded(L.perturbation_scores(model, df, ["x"], "label", "id", 1.2, 50), 9, "accuracy")
+
+
+STRATIFIED_SQL = f"""
+SELECT *, CAST(len(list_filter([1, 2, 3, 4], lambda j: (2 * n * j + 5) // 10 < r)) AS INT) AS fold FROM (
+ SELECT *, row_number() OVER (PARTITION BY label ORDER BY {draw_sql('id', repr('fold'))}, id) AS r, count(*) OVER (PARTITION BY label) AS n FROM {ORDERS})"""
+
+
+@query("stratified_folds", f"SELECT id, label, fold FROM ({STRATIFIED_SQL})")
+def stratified_folds(spark, sf_dir):
+    return L.with_folds(labelled(spark, sf_dir), "id", 5, "label").select("id", "label", F.col(L.FOLD).alias("fold"))
+
+
+@query("oof_stratified", f"""
+WITH f AS ({STRATIFIED_SQL}), s AS (SELECT x, sum(label) AS ones, count(*) AS n FROM f GROUP BY x), p AS (SELECT x, fold, sum(label) AS ones, count(*) AS n FROM f GROUP BY x, fold)
+SELECT f.id, f.label, f.fold, CAST((s.ones - p.ones) / (s.n - p.n) > 0.5 AS DOUBLE) AS prediction FROM f JOIN s USING (x) JOIN p USING (x, fold)""")
+def oof_stratified(spark, sf_dir):
+    """Out-of-fold predictions over folds with equal shares of each label."""
+    tree = L.make_pipeline("decision_tree", ["x"], "label", **TREE)
+    return L.oof_predictions(labelled(spark, sf_dir), tree, "id", 5, "label").select("id", "label", F.col(L.FOLD).alias("fold"), "prediction")
+
+
+# Orders with a category of which a tenth of the test rows has a value that no training row has, and some have none.
+SHOPS = ("o_orderkey AS id", "o_orderkey % 5 = 0 AS test", "CAST(o_totalprice + o_custkey % 10 * 20000 > 340000 AS DOUBLE) AS label",
+         "CASE WHEN o_orderkey % 50 = 0 THEN 'new' WHEN o_orderkey % 11 = 3 THEN NULL WHEN o_totalprice > 250000 THEN 'large' ELSE 'small' END AS size",
+         "CAST(o_custkey AS BIGINT) AS customer")
+SHOPS_SQL = f"(SELECT {', '.join(SHOPS)} FROM orders)"
+
+
+def shops(spark, sf_dir):
+    return settle(table(spark, sf_dir, "orders").selectExpr(*SHOPS), "shops")
+
+
+def index_sql(column: str, order: str) -> str:
+    return (f"SELECT CAST({column} AS VARCHAR) AS value, CAST(row_number() OVER (ORDER BY {order}) - 1 AS DOUBLE) AS i"
+            f" FROM {SHOPS_SQL} WHERE NOT test AND {column} IS NOT NULL GROUP BY {column}")
+
+
+@query("fitted_index_unseen", f"""
+WITH s AS ({index_sql('size', 'count(*) DESC, size')}), c AS ({index_sql('customer', 'count(*) DESC, CAST(customer AS VARCHAR)')})
+SELECT t.id, coalesce(s.i, CAST((SELECT count(*) FROM s) AS DOUBLE)) AS "sizeIndex", coalesce(c.i, CAST((SELECT count(*) FROM c) AS DOUBLE)) AS "customerIndex",
+ coalesce(s.i, 0.0) AS "ImputedsizeIndex", coalesce(c.i, 0.0) AS "ImputedcustomerIndex"
+FROM {SHOPS_SQL} AS t LEFT JOIN s ON t.size = s.value LEFT JOIN c ON CAST(t.customer AS VARCHAR) = c.value WHERE t.test""")
+def fitted_index_unseen(spark, sf_dir):
+    """Indexes learnt from training rows, applied to test rows with values that were not among them."""
+    df = shops(spark, sf_dir)
+    cols = ["size", "customer"]
+    pipeline = Pipeline(stages=[CategoryIndexer(inputCols=cols), SentinelImputer(inputCols=[f"{c}Index" for c in cols])])
+    out = pipeline.fit(df.where("NOT test")).transform(df.where("test"))
+    return out.select("id", *[f"{p}{c}Index" for p in ("", "Imputed") for c in cols])
+
+
+@query("fitted_label_encode", f"""
+WITH s AS ({index_sql('size', 'size')}), c AS ({index_sql('customer', 'customer')})
+SELECT t.id, s.i AS size_encoded, c.i AS customer_encoded FROM {SHOPS_SQL} AS t LEFT JOIN s ON t.size = s.value LEFT JOIN c ON CAST(t.customer AS VARCHAR) = c.value WHERE t.test""")
+def fitted_label_encode(spark, sf_dir):
+    """Codes in sorted order, learnt from training rows; test rows with other values have none."""
+    df = shops(spark, sf_dir)
+    coder = CategoryIndexer(inputCols=["size", "customer"], outputCols=["size_encoded", "customer_encoded"], order="value", unknown="null")
+    return coder.fit(df.where("NOT test")).transform(df.where("test")).select("id", "size_encoded", "customer_encoded")
+
+
+GROUPS_SQL = f"""
+WITH t AS (SELECT *, {fold_sql(5)} AS fold FROM {SHOPS_SQL} WHERE NOT test),
+ often AS (SELECT f, arg_min(size, (-n, size)) AS top FROM (SELECT f, size, count(*) AS n FROM t, (SELECT unnest(range(6)) AS f) WHERE fold <> f AND size IS NOT NULL GROUP BY f, size) GROUP BY f),
+ fitted AS (SELECT f, coalesce(size, top) AS size, avg(label) AS share FROM t JOIN often ON fold <> f GROUP BY ALL)"""
+
+
+@query("pipeline_unseen", f"""{GROUPS_SQL}
+SELECT id, label, CAST(share > 0.5 AS DOUBLE) AS prediction, round((SELECT avg(a) FROM (SELECT avg(CAST(label = CAST(share > 0.5 AS DOUBLE) AS DOUBLE)) AS a
+   FROM t JOIN often ON fold = often.f JOIN fitted ON fitted.f = fold AND fitted.size = coalesce(t.size, top) GROUP BY fold)), 9) AS score
+FROM {SHOPS_SQL} AS t JOIN often ON often.f = 5 JOIN fitted ON fitted.f = 5 AND fitted.size = CASE WHEN t.size IN (SELECT size FROM fitted WHERE f = 5) THEN t.size ELSE top END WHERE t.test""")
+def pipeline_unseen(spark, sf_dir):
+    """Indexer, imputer and tree in one pipeline under cross-validation: every fold learns its indexes from its own training rows."""
+    df = shops(spark, sf_dir)
+    before = [CategoryIndexer(inputCols=["size"]), SentinelImputer(inputCols=["sizeIndex"])]
+    pipeline = L.make_pipeline("decision_tree", ["ImputedsizeIndex"], "label", before)
+    fitted, score, _ = L.cross_validate(df.where("NOT test"), pipeline, {"maxDepth": [1]}, "label", "id", 5, "accuracy")
+    out = fitted.transform(df.where("test")).select("id", "label", "prediction", F.lit(score).alias("score"))
+    return rounded(out, 9, "score")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tabkit.columns import ref, replace_columns
 from tabkit.functions.draws import fold_by_key, normal_by_key
 from tabkit.operators.neighbours import knn_classify
+from tabkit.operators.splits import stratified_folds
 
 SEED = 42
 FOLD = "_fold"
@@ -78,15 +79,44 @@ def param_grid(pipeline: Pipeline, grid: dict[str, list]) -> list:
 
 
 class FoldedCrossValidator(CrossValidator):
-    """Cross-validator that takes its folds from the fold column by plain filters, without a Python check per row."""
+    """Cross-validator that takes its folds from the fold column by plain filters, without a Python check per row.
 
-    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    The stages before the classifier are fitted once per fold, on its training rows alone, and once on all rows for the winner, not again
+    for every point of a grid that varies the classifier only. Folds keep the label and the features.
+    """
+
+    def _pairs(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         fold = F.col(self.getFoldCol())
         return [(dataset.filter(fold != i), dataset.filter(fold == i)) for i in range(self.getNumFolds())]
 
-
-def with_folds(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
-    """Add the fold number of every row, fixed by its key."""
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        if self._before is None:
+            return self._pairs(dataset)
+        prepared = [(train, test, self._before.fit(train)) for train, test in self._pairs(self._raw)]
+        classifier = self.getEstimator()
+        cols = [classifier.getLabelCol(), classifier.getFeaturesCol()]
+        return [tuple(model.transform(part).select(*cols) for part in (train, test)) for train, test, model in prepared]
+
+    _before = _raw = None
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        pipeline = self.getEstimator()
+        stages = pipeline.getStages() if isinstance(pipeline, Pipeline) else []
+        if len(stages) < 2 or any(p.parent != stages[-1].uid for point in self.getEstimatorParamMaps() for p in point):
+            return super()._fit(dataset)
+        inner = self.copy()
+        inner.setEstimator(stages[-1])
+        inner._before, inner._raw = Pipeline(stages=stages[:-1]), dataset
+        whole = inner._before.fit(dataset)
+        found = super(FoldedCrossValidator, inner)._fit(whole.transform(dataset))
+        best = PipelineModel([*whole.stages, found.bestModel])
+        return self._copyValues(CrossValidatorModel(best, avgMetrics=found.avgMetrics, subModels=found.subModels, stdMetrics=found.stdMetrics))
+
+
+def with_folds(df: DataFrame, key: str, folds: int = 5, stratify: str | None = None) -> DataFrame:
+    """Add the fold number of every row, fixed by its key; with ``stratify`` every fold has its share of each label to a row."""
+    if stratify is not None:
+        return stratified_folds(df, key, stratify, folds, FOLD)
     return df.withColumn(FOLD, fold_by_key(ref(key), folds))
 
 
@@ -104,9 +134,9 @@ def best_params(fitted: CrossValidatorModel) -> tuple[float, dict]:
 
 
 def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str, key: str, folds: int = 5,
-                   metric: str = "auc") -> tuple[CrossValidatorModel, float, dict]:
-    """Grid search over keyed folds: the fitted model, its score and its parameters."""
-    folded = with_folds(df, key, folds).persist()
+                   metric: str = "auc", stratify: bool = False) -> tuple[CrossValidatorModel, float, dict]:
+    """Grid search over keyed folds, with ``stratify`` dealt evenly by label: the fitted model, its score and its parameters."""
+    folded = with_folds(df, key, folds, label if stratify else None).persist()
     fitted = grid_search(pipeline, grid, label, folds, metric).fit(folded)
     folded.unpersist()
     return fitted, *best_params(fitted)
@@ -132,9 +162,10 @@ def _scored(contestant: Estimator | Scorer, train: DataFrame, test: DataFrame) -
     return fitted.transform(test), best_params(fitted)[1] if isinstance(fitted, CrossValidatorModel) else {}
 
 
-def oof_predictions(df: DataFrame, contestant: Estimator | Scorer, key: str, folds: int = 5) -> DataFrame:
-    """Prediction of every row by a model that has not seen its fold. Persist or settle ``df`` first: every fold reads it."""
-    folded = with_folds(df, key, folds)
+def oof_predictions(df: DataFrame, contestant: Estimator | Scorer, key: str, folds: int = 5, stratify: str | None = None) -> DataFrame:
+    """Prediction of every row by a model that has not seen its fold; ``stratify`` names a label to deal evenly to the folds.
+    Persist or settle ``df`` first: every fold reads it."""
+    folded = with_folds(df, key, folds, stratify)
     parts = []
     for fold in range(folds):
         parts.append(_scored(contestant, folded.filter(F.col(FOLD) != fold), folded.filter(F.col(FOLD) == fold))[0])

@@ -62,3 +62,34 @@ def split_stratified(df: DataFrame, key: str, label: str, ratio: float,
     chosen = F.coalesce(F.struct(F.col("_u"), ref(key).alias("_key")) <= F.col("_last"), F.lit(False))
     flagged = joined.withColumn("_chosen", chosen).drop("_u", "_label", "_last")
     return (flagged.filter("_chosen").drop("_chosen"), flagged.filter(~F.col("_chosen")).drop("_chosen"))
+
+
+def stratified_folds(df: DataFrame, key: str, label: str, folds: int, out: str, salt: int | str = "fold") -> DataFrame:
+    """Add a fold number to every row: each label's rows in the order of their draws, cut into ``folds`` parts that differ by one row.
+
+    As in ``split_stratified`` that holds for a key without NULL (refused) and without repeats, slices tell where a rank lies, and
+    only slices with a cut are sorted. All cuts of all labels are found together; a row gets ``folds - 1`` of them by its label.
+    """
+    drawn = df.withColumn("_u", uniform_by_key(ref(key), salt))
+    per_label = drawn.groupBy(ref(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"), F.count_if(ref(key).isNull()).alias("_without"))
+    most, without = per_label.agg(F.coalesce(F.max("_n"), F.lit(0)), F.coalesce(F.sum("_without"), F.lit(0))).first()
+    if without:
+        raise ValueError(f"{without} rows have no {key}")
+    slices = slices_for(most)
+    in_slice = drawn.select(ref(label).alias("_label"), F.floor(F.col("_u") * slices).alias("_slice"), "_u", ref(key).alias("_key"))
+    counts = in_slice.groupBy("_label", "_slice").agg(F.count(F.lit(1)).alias("_in"))
+    by_label = W.partitionBy("_label")
+    upto = counts.select("*", F.sum("_in").over(by_label.orderBy("_slice")).alias("_upto"), F.sum("_in").over(by_label).alias("_all"))
+    # rank of the last row of each part but the last: n * part / folds, rounded
+    ends = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda j: F.floor((2 * F.col("_all") * j + folds) / (2 * folds))) if folds > 1 else F.array().cast("array<bigint>")
+    here = F.filter(ends, lambda r: (r > F.col("_upto") - F.col("_in")) & (r <= F.col("_upto")))
+    edge = upto.select(F.col("_label").alias("_edge_label"), F.col("_slice").alias("_edge_slice"),
+                       F.transform(here, lambda r: r - F.col("_upto") + F.col("_in")).alias("_ranks")).where(F.size("_ranks") > 0)
+    at_edge = F.col("_label").eqNullSafe(F.col("_edge_label")) & (F.col("_slice") == F.col("_edge_slice"))
+    in_order = F.row_number().over(W.partitionBy("_label", "_slice").orderBy("_u", "_key"))
+    cuts = (in_slice.join(edge, at_edge).withColumn("_row", in_order).where(F.array_contains("_ranks", F.col("_row").cast("bigint")))
+            .groupBy(F.col("_label").alias("_cut_label")).agg(F.collect_set(F.struct("_u", "_key")).alias("_cuts")))  # folds - 1 at most
+    joined = drawn.join(settle(cuts, "folds"), ref(label).eqNullSafe(F.col("_cut_label")), "left")
+    place = F.struct(F.col("_u"), ref(key).alias("_key"))
+    number = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < place))
+    return joined.withColumn(out, number).drop("_u", "_cut_label", "_cuts")
