@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from math import isnan
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabkit.columns import ref
 
-CELLS = 4_096  # cuts of the number line that the driver holds
-SLOTS_PER_BAND = 6  # places under which a band is listed, on average, at most
-COLLECTED_BANDS = 10_000  # bands whose ends the driver compares itself
+WHOLE = 9_999  # the level of one interval that holds all numbers
+FINEST = 1_000  # intervals are between 2^-1000 and 2^1000 wide
+FEW_BANDS = 32  # bands that a row rather tests than is looked up once more
+MOST_LEVELS = 12
 
 
 def join_full_outer(left: DataFrame, right: DataFrame, lcol: str, rcol: str) -> DataFrame:
@@ -35,107 +33,112 @@ def join_by_row_key(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other, key, "inner")
 
 
-def _cell(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataFrame:
-    """Add the number of the cell of a value between sorted cuts; NULL for NULL and NaN."""
-    kept = df.withColumn("_value", F.when(~F.isnan(value.cast("double")), value.cast("double")))
-    splits = [float("-inf"), *cuts, float("inf")]
-    put = Bucketizer(splits=splits, inputCol="_value", outputCol=name, handleInvalid="keep").transform(kept)
-    return put.withColumn(name, F.when(F.col("_value").isNotNull(), F.col(name).cast("bigint"))).drop("_value")
+def _cell(value: Column, level: int) -> Column:
+    """Number of the interval of width 2^level in which a value lies; of the level above all, 0. NULL for NULL and NaN."""
+    x = value.cast("double")
+    return F.when(~F.isnan(x), F.lit(0).cast("bigint") if level == WHOLE else F.floor(x * F.lit(2.0 ** -level)))
+
+
+def _level(lo: Column, hi: Column) -> Column:
+    """The least level whose intervals are as wide as a band, and no finer than the numbers around it can tell apart."""
+    apart = lambda x: F.ceil(F.log2(F.greatest(x, F.lit(2.0 ** -FINEST))))
+    own = F.greatest(apart(hi - lo), apart(F.greatest(F.abs(lo), F.abs(hi))) - 50)
+    return F.when(hi - lo < F.lit(2.0 ** FINEST), own).otherwise(F.lit(WHOLE)).cast("int")
+
+
+def _levels_kept(counts: dict[int, int]) -> list[int]:
+    """Levels under which bands are listed, in rising order. The bands of the others move up to the next.
+
+    A row is looked up once per level, so a level with few bands is not worth one: rows rather test these bands too.
+    """
+    kept, waiting = [], 0
+    for level in sorted(counts):
+        waiting += counts[level]
+        if waiting > FEW_BANDS:
+            kept.append([level, waiting])
+            waiting = 0
+    if waiting or not kept:
+        kept.append([max(counts, default=WHOLE), waiting])
+    while len(kept) > MOST_LEVELS:
+        least = min(range(len(kept) - 1), key=lambda i: kept[i][1])
+        kept[least + 1][1] += kept.pop(least)[1]
+    return [level for level, _ in kept]
 
 
 def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
               eq: tuple[str, str] | None = None, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Attach the bands with lo <= col <= hi; a NULL hi is open-ended. ``eq`` = (df column, band column).
 
-    The number line is cut at quantiles of the band ends, and the cells between the cuts into equal slots, so that far or
-    very long bands do not widen the slots of the others. Of several numbers of slots the largest is taken that lists all
-    bands under no more than six slots each on average. A row lies in exactly one slot, so the join is an equality
-    join on the slot with the exact range test behind it; Spark broadcasts the bands if they are small, and otherwise
-    splits slots that hold very many rows. A band whose hi is below its lo holds nothing. The sides share no column name.
+    Bands lie on a ladder of levels; an interval of level k is 2^k wide. A band is listed once, at the least level whose intervals are as
+    wide as itself, under the one or two intervals it touches; a row is looked up under its interval of every level that occurs. So
+    the join is an equality join on (level, interval, ``eq``) with the exact range test behind it, a row and a band meet at
+    most once, and at a level at least a quarter of the places under which a band is listed are its own. Far, tiny and endless bands have their own
+    levels and cost the others nothing. The driver sees one count per level. Spark broadcasts bands by their size or splits
+    intervals that hold very many rows.
+
+    Where rows without a band are kept and there are several levels, the bands of every different value are looked up first and joined
+    to the rows by the value: ``df`` is read twice then, so store it first if it is expensive. A band whose hi is below its lo, or an end of
+    which is NaN, holds nothing. The sides share no column name.
     """
     clash = sorted(set(c.lower() for c in df.columns) & set(c.lower() for c in bands.columns))
     if clash:
         raise ValueError(f"both sides have the columns {clash}")
-    few = _few(bands, lo, hi)
-    if few is not None:
-        count, found = 2 * len(few), [x for row in few for x in row if x is not None and not isnan(x)]
-    else:
-        ends = bands.select(F.explode(F.array(ref(lo).cast("double"), ref(hi).cast("double"))).alias("end")).where("end IS NOT NULL AND NOT isnan(end)")
-        count, found = ends.agg(F.count(F.lit(1)), F.percentile_approx("end", [i / CELLS for i in range(CELLS + 1)], 10 * CELLS)).first()
-    cuts = sorted({float(x) for x in found or [] if abs(x) != float("inf")}) or [0.0]
-    cuts = cuts[::-(-len(cuts) // CELLS)]
-    levels = [1]
-    while levels[-1] < 2 * count:
-        levels.append(4 * levels[-1])
-
-    def slot(value: Column, cell: Column, slots: int) -> Column:
-        """Number of the slot: fewer slots than cells join cells, more divide each cell that has two cuts."""
-        each = max(1, slots // (len(cuts) + 1))
-        if each == 1:
-            return F.floor(cell * F.lit(min(slots, len(cuts) + 1)) / F.lit(len(cuts) + 1)).cast("bigint")
-        at = F.array(*map(F.lit, cuts))
-        below, above = F.get(at, cell.cast("int") - 1), F.get(at, cell.cast("int"))
-        part = F.floor((value.cast("double") - below) / (above - below) * F.lit(each))
-        inner = F.when(below.isNotNull() & above.isNotNull(), F.greatest(F.least(part, F.lit(each - 1)), F.lit(0))).otherwise(0)
-        return (cell * F.lit(each) + inner).cast("bigint")
-
-    last = F.lit(len(cuts)).cast("bigint")
+    if how not in ("inner", "left"):
+        raise ValueError(f"{how} is neither inner nor left")
     own = {c: f"_band_{i}" for i, c in enumerate(bands.columns)}
-    named = bands.withColumnsRenamed(own)
     b_lo, b_hi = F.col(own[lo]), F.col(own[hi])
-    cut = _cell(_cell(named, b_lo, cuts, "_first"), b_hi, cuts, "_last").withColumn("_last", F.when(b_hi.isNull(), last).otherwise(F.col("_last")))
-    cut = cut.where((b_hi.isNull() | (b_hi >= b_lo)) & F.col("_first").isNotNull())
-
-    def covered(slots: int) -> tuple[Column, Column]:
-        each = max(1, slots // (len(cuts) + 1))
-        end = F.when(b_hi.isNull(), F.lit((len(cuts) + 1) * each - 1) if each > 1 else slot(F.lit(0.0), last, slots)).otherwise(slot(b_hi, F.col("_last"), slots))
-        return slot(b_lo, F.col("_first"), slots), end
-
-    if few is not None:
-        levels = [n for n in levels if n <= len(cuts)] + [len(cuts) + 1]  # each cell a slot at most
-        spans = [sum(_places(cuts, a, b, n) for a, b in few) for n in levels]
+    first, last = b_lo.cast("double"), F.coalesce(b_hi.cast("double"), F.lit(float("inf")))
+    named = bands.withColumnsRenamed(own).where(b_lo.isNotNull() & ~F.isnan(first) & ~F.isnan(last) & (b_hi.isNull() | (b_hi >= b_lo)))
+    counts = named.groupBy(_level(first, last).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    levels = _levels_kept({r["level"]: r["n"] for r in counts.collect()})  # a row per power of two
+    at = F.array_min(F.filter(F.array(*map(F.lit, levels)), lambda x: x >= _level(first, last)))
+    listed = named.withColumn("_band_level", at)
+    touched = F.when(F.col("_band_level") == WHOLE, F.sequence(*[F.lit(0).cast("bigint")] * 2))
+    for level in levels:
+        if level != WHOLE:
+            touched = touched.when(F.col("_band_level") == level, F.sequence(_cell(first, level), _cell(last, level)))
+    listed = listed.withColumn("_band_cell", F.explode(touched))
+
+    def looked_up(rows: DataFrame, value: Column, kind: str) -> DataFrame:
+        if len(levels) == 1:
+            keyed = rows.withColumns({"_level": F.lit(levels[0]), "_cell": _cell(value, levels[0])})
+        else:
+            places = F.array(*[F.struct(F.lit(x).alias("_level"), _cell(value, x).alias("_cell")) for x in levels])
+            keyed = rows.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
+        condition = (F.col("_level") == F.col("_band_level")) & (F.col("_cell") == F.col("_band_cell")) & (value >= b_lo) & (b_hi.isNull() | (value <= b_hi))
+        if eq is not None:
+            condition = condition & (ref(eq[0]) == F.col(own[eq[1]]))
+        return keyed.join(listed, condition, kind).drop("_level", "_cell", "_band_level", "_band_cell")
+
+    if how == "inner" or len(levels) == 1:
+        found = looked_up(df, ref(col), how)
     else:
-        spans = cut.agg(*[F.sum(covered(n)[1] - covered(n)[0] + 1) for n in levels]).first()
-    slots = max([n for n, listed in zip(levels, spans) if (listed or 0) <= SLOTS_PER_BAND * max(1, count)], default=1)
-    listed = cut.withColumn("_band_slot", F.explode(F.sequence(*covered(slots)))).drop("_first", "_last")
-    rows = _cell(df, ref(col), cuts, "_cell").withColumn("_slot", slot(ref(col), F.col("_cell"), slots)).drop("_cell")
-    condition = (F.col("_slot") == F.col("_band_slot")) & (ref(col) >= b_lo) & (b_hi.isNull() | (ref(col) <= b_hi))
-    if eq is not None:
-        condition = condition & (ref(eq[0]) == F.col(own[eq[1]]))
-    return (rows.join(listed, condition, how).drop("_slot", "_band_slot")
-            .withColumnsRenamed({new: old for old, new in own.items()}))
-
-
-def _few(bands: DataFrame, lo: str, hi: str) -> list[tuple[float, float | None]] | None:
-    """The ends of the bands that hold something, or None if there are too many bands to collect."""
-    rows = bands.select(ref(lo).cast("double").alias("lo"), ref(hi).cast("double").alias("hi")).limit(COLLECTED_BANDS + 1).collect()
-    if len(rows) > COLLECTED_BANDS:
-        return None
-    return [(r.lo, r.hi) for r in rows if r.lo is not None and not isnan(r.lo) and (r.hi is None or r.hi >= r.lo)]
-
-
-def _places(cuts: list[float], lo: float, hi: float | None, slots: int) -> int:
-    """Number of slots that a band is listed under."""
-    cells = len(cuts) + 1
-    first, last = bisect_right(cuts, lo), cells - 1 if hi is None else bisect_right(cuts, hi)
-    return last * min(slots, cells) // cells - first * min(slots, cells) // cells + 1
+        values = df.select(*dict.fromkeys([col, *([eq[0]] if eq else [])])).where(ref(col).isNotNull()).distinct()
+        hits = looked_up(values, ref(col), "inner").select(ref(col).alias("_looked_up"), *own.values())
+        condition = ref(col) == F.col("_looked_up")
+        if eq is not None:
+            condition = condition & (ref(eq[0]) == F.col(own[eq[1]]))
+        found = df.join(hits, condition, "left").drop("_looked_up")
+    return found.withColumnsRenamed({new: old for old, new in own.items()})
 
 
 def bands_overlap(bands: DataFrame, by: str | None = None, lo: str = "lo", hi: str = "hi") -> bool:
     """Whether two bands of one group share a value. Bands whose hi is below their lo hold nothing and are ignored.
 
-    Few bands are compared on the driver, counted first; of many, some lower end lies in two bands.
+    In the order of their lower ends, bands overlap if and only if some neighbours do. Neighbours are compared inside ranges of the order,
+    and the ends of the ranges with each other.
     """
     group = ref(by) if by else F.lit(0)
-    own = bands.select(group.alias("by"), ref(lo).cast("double").alias("lo"), ref(hi).cast("double").alias("hi")).where("lo IS NOT NULL AND (hi IS NULL OR hi >= lo)")
-    few = own.limit(COLLECTED_BANDS + 1).collect()
-    if len(few) <= COLLECTED_BANDS:
-        upto: dict[object, float] = {}
-        for row in sorted(few, key=lambda r: r.lo):
-            if row.by is not None and row.lo <= upto.get(row.by, float("-inf")):
-                return True
-            upto[row.by] = max(upto.get(row.by, float("-inf")), float("inf") if row.hi is None else row.hi)
-        return False
-    points = own.select(F.col("by").alias("_by"), F.col("lo").alias("_point")).distinct()
-    hits = join_band(points, own, "_point", "inner", ("_by", "by"))
-    return not hits.groupBy("_by", "_point").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    own = bands.select(group.alias("by"), ref(lo).cast("double").alias("lo"), F.coalesce(ref(hi).cast("double"), F.lit(float("inf"))).alias("hi")).where(
+        "by IS NOT NULL AND lo IS NOT NULL AND hi >= lo AND NOT isnan(lo) AND NOT isnan(hi)")
+    order = ["by", "lo", "hi"]
+    # the partition is that of one and the same run, so what it holds need not be the same again
+    ranged = own.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    before = lambda w: F.lag(F.struct("by", "hi")).over(w)
+    meets = F.coalesce((F.col("last.by") == F.col("by")) & (F.col("lo") <= F.col("last.hi")), F.lit(False))
+    inside = ranged.withColumn("last", before(W.partitionBy("range").orderBy(*order))).groupBy("range").agg(
+        F.max(meets).alias("meets"), F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("final"))
+    across = F.lag("final").over(W.orderBy("range"))  # one row per range
+    found = inside.withColumn("last", across).select(
+        (F.col("meets") | F.coalesce((F.col("last.by") == F.col("first.by")) & (F.col("first.lo") <= F.col("last.hi")), F.lit(False))).alias("meets"))
+    return bool(found.agg(F.max("meets")).first()[0])

@@ -49,28 +49,57 @@ def test_auc(spark, monkeypatch, per_slice):
     assert X.auc_roc(df.withColumn("s", -F.col("s")), "y", "s").first()[0] == pytest.approx(1 - want)
 
 
-@pytest.mark.parametrize("seed, collected, cells", [(0, 100, 4096), (1, 0, 4096), (2, 100, 8), (3, 0, 8)])
-def test_band_join(spark, monkeypatch, seed, collected, cells):
-    monkeypatch.setattr(J, "COLLECTED_BANDS", collected)
-    monkeypatch.setattr(J, "CELLS", cells)
+@pytest.mark.parametrize("seed, few, levels", [(0, 32, 12), (1, 0, 12), (2, 0, 3), (3, 5, 1)])
+def test_band_join(spark, monkeypatch, seed, few, levels):
+    monkeypatch.setattr(J, "FEW_BANDS", few)
+    monkeypatch.setattr(J, "MOST_LEVELS", levels)
     rnd = random.Random(seed)
     bands = []
     for i in range(60):
         lo = rnd.choice([rnd.uniform(-50, 50), rnd.uniform(-1e6, 1e6), 5.0])
-        hi = rnd.choice([None, lo, lo + rnd.uniform(0, 3), lo + rnd.uniform(0, 1e5), lo - 1.0])
+        hi = rnd.choice([None, lo, lo + rnd.uniform(0, 3), lo + 4.0, lo + 1e-300, lo + rnd.uniform(0, 1e5), lo - 1.0, float("inf"), 1e308])
         bands.append((rnd.randint(0, 1), lo, hi, i))
-    rows = [(i, rnd.randint(0, 1), rnd.choice([5.0, rnd.uniform(-60, 60), rnd.uniform(-2e6, 2e6), None])) for i in range(300)]
+    bands += [(0, -float("inf"), -1.5e6, 60), (1, 0.0, 0.0, 61), (0, None, 3.0, 62), (1, -1e308, 1e308, 63)]
+    rows = [(i, rnd.randint(0, 1), rnd.choice([5.0, 9.0, 0.0, -0.0, rnd.uniform(-60, 60), rnd.uniform(-2e6, 2e6), None])) for i in range(300)]
+    rows += [(300, 0, float("inf")), (301, 1, -float("inf")), (302, 0, float("nan")), (303, 1, 1e308)]
     df = spark.createDataFrame(rows, "id int, g int, x double")
     bd = spark.createDataFrame(bands, "grp int, lo double, hi double, band int")
 
     def hits(by_group):
         return sorted((i, b) for i, g, x in rows for grp, lo, hi, b in bands
-                      if x is not None and x >= lo and (hi is None or x <= hi) and (not by_group or g == grp))
+                      if x is not None and lo is not None and x >= lo and (hi is None or x <= hi) and (not by_group or g == grp))
 
     assert sorted((r["id"], r["band"]) for r in J.join_band(df, bd, "x", "inner").collect()) == hits(False)
     assert sorted((r["id"], r["band"]) for r in J.join_band(df, bd, "x", "inner", ("g", "grp")).collect()) == hits(True)
-    left = J.join_band(df, bd, "x")
-    assert left.select("id").distinct().count() == 300 and left.filter("band IS NOT NULL").count() == len(hits(False))
+    for eq in (None, ("g", "grp")):
+        found = hits(eq is not None)
+        alone = {i for i, _, _ in rows} - {i for i, _ in found}
+        left = [(r["id"], r["band"]) for r in J.join_band(df, bd, "x", eq=eq).collect()]
+        assert sorted(x for x in left if x[1] is not None) == found and sorted(i for i, b in left if b is None) == sorted(alone)
+    with pytest.raises(ValueError):
+        J.join_band(df, bd, "x", "full")
+
+
+def test_a_level_is_as_wide_as_its_bands(spark):
+    """At most two intervals to a band, at every scale."""
+    rnd = random.Random(4)
+    bands = [(lo, lo + rnd.choice([0.0, 1e-9, 1.0, 3.0, 1e7]) * rnd.random()) for lo in (rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-12, 15) for _ in range(500))]
+    df = spark.createDataFrame(bands, "lo double, hi double").select("*", J._level(F.col("lo"), F.col("hi")).alias("level"))
+    for r in df.collect():
+        assert r.hi - r.lo <= 2.0 ** r.level
+        assert abs(r.lo / 2.0 ** r.level) < 2**52
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_overlap_of_neighbours(spark, seed):
+    rnd = random.Random(seed)
+    for grouped in (False, True):
+        n, width = rnd.choice([(40, 60), (40, 3), (8, 900)])
+        bands = [(rnd.choice([None, 1, 2]), float(lo), rnd.choice([lo + rnd.random() * width / 40, lo - 1.0, None if rnd.random() < 0.05 else float(lo)])) for lo in rnd.sample(range(1000), n)]
+        own = [(g if grouped else 0, lo, float("inf") if hi is None else hi) for g, lo, hi in bands if (not grouped or g is not None) and (hi is None or hi >= lo)]
+        want = any(a[0] == b[0] and a[1] <= b[2] and b[1] <= a[2] for i, a in enumerate(own) for b in own[:i])
+        df = spark.createDataFrame(bands, "g int, lo double, hi double").repartition(3)
+        assert J.bands_overlap(df, "g" if grouped else None) == want
 
 
 @pytest.mark.parametrize("p, weights, block", [(1, "distance", 20), (2, "uniform", 33), (2, "distance", 1000)])
