@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,11 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once. Spark computes what a lambda names from outside anew for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def columns_of(df: DataFrame, kinds, exclude: Iterable[str] = ()) -> list[str]:
     skip = set(exclude)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds) and f.name not in skip]

@@ -41,7 +41,7 @@ def extract_numbers(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(1)), lambda s: s.try_cast("bigint"))
 
 
-# Named character entities and their characters; the ampersand is decoded last.
+# Named character entities and their characters.
 ENTITIES = {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
     "hellip": "…", "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "plusmn": "±", "times": "×", "divide": "÷",
@@ -49,28 +49,30 @@ ENTITIES = {
     "ne": "≠", "larr": "←", "rarr": "→", "szlig": "ß", "auml": "ä", "ouml": "ö", "uuml": "ü", "eacute": "é", "egrave": "è", "agrave": "à", "ntilde": "ñ",
     "ensp": " ", "emsp": " ", "thinsp": " ", "shy": "", "amp": "&",
 }
-NUMERIC = r"(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"
+REFERENCE = r"&(?:[A-Za-z][A-Za-z0-9]*|#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7});"
 
 
 def _character(reference: Column) -> Column:
-    """The character of a numeric reference; one that names none stays."""
-    digits = F.regexp_extract(reference, r"(?i)&#(x?)([0-9a-f]+);", 2)
-    code = F.when(F.substring(F.lower(reference), 3, 1) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    """The character of a reference; one that names none stays, and so does a no-break space, by its name."""
+    hexadecimal = F.lower(F.substring(reference, 3, 1)) == "x"
+    digits = F.regexp_extract(reference, r"(?i)&#x?([0-9a-f]+);", 1)
+    code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
     real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     safe = F.when(real, code).otherwise(F.lit(32))
-    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")).otherwise(reference)
+    numeric = F.when(code == 0xA0, F.lit("&nbsp;")).when(real, F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")).otherwise(reference)
+    names = F.create_map(*[F.lit(x) for name, char in ENTITIES.items() for x in (f"&{name};", char)])
+    return F.when(reference.startswith("&#"), numeric).otherwise(F.coalesce(names[reference], reference))
 
 
 def decode_entities(text: Column) -> Column:
-    """Numeric references and the named ones of ``ENTITIES`` as characters; no-break spaces stay as their reference."""
-    spaced = F.regexp_replace(text, "(?i)&#(?:160|xa0);", "&nbsp;")
-    numeric = F.array_distinct(F.regexp_extract_all(spaced, F.lit(NUMERIC), F.lit(0)))
-    # "&#38;" must not begin a new reference
-    out = F.aggregate(numeric, spaced, lambda acc, m: F.replace(acc, m, F.when(_character(m) == "&", F.lit("&amp;")).otherwise(_character(m))))
-    out = F.when(text.contains("&#"), out).otherwise(text)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return out
+    """Numeric references and the named ones of ``ENTITIES`` as characters, each decoded once; no-break spaces stay as their reference.
+
+    The text is cut at its references and put together again with their characters; a text without an ampersand is not looked at.
+    """
+    between = F.split(text, REFERENCE, -1)
+    characters = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
+    whole = F.array_join(F.zip_with(between, characters, lambda a, c: F.concat(a, F.coalesce(c, F.lit("")))), "")
+    return F.when(text.contains("&"), whole).otherwise(text)
 
 
 # Signs that a text is not clean yet.

@@ -5,23 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.columns import ref
+from tabkit.columns import let, ref
 from tabkit.functions.text import extract_age_range, extract_numbers, extract_percentage, strip_markup
 
-# Fixed value: what a page is read as, piece by piece: comments, scripts and styles, tags, text.
+# What a page is read as, piece by piece: comments, scripts and styles, tags, text.
 PIECE = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\z)|<[^>]*(?:>|\z)|[^<]+"
-
+# Signs that a page holds more than plain tags and text: a tag within a tag, a comment, a script or style.
+UNEVEN = r"(?is)<[^>]*<|<!--|<(?:script|style)\b"
+REMOVED = r"(?is)^<(?:!--|(?:script|style)\b)"
+TAG = r"<[^>]*(?:>|\z)"
+TABLE, ROW, CELL, PLAIN_CELL = (
+    rf"(?i)<{x}(?![A-Za-z0-9])[^>]*(?:>|\z)" for x in ("/?table", "/?(?:tr|thead|tbody|tfoot)", "t[dh]", "td"))
+CELL_TEXT = rf"(?s){CELL}(.*?)(?=</?t[dh](?![A-Za-z0-9])|\z)"  # from a start tag to the next start or end tag of a cell
+LIST = r"(?i)</?(?:ul|ol|li)(?![A-Za-z0-9])[^>]*(?:>|\z)"
+ITEM = r"(?i)^<li(?![A-Za-z0-9])"
+CLASSED = r"(?i)<[a-z][^>]*\bclass\s*=[^>]*(?:>|\z)"
+
+LONGEST = 2**30  # of slices and substrings that go to the end
 MAX_AGE = 150  # fixed value: stands in for the second cell of a row with one cell
 
 
-def _pieces(html: Column) -> Column:
-    """Array of (name, ends, raw): the element a tag names, whether it is an end tag, and the piece itself."""
-    return F.transform(F.regexp_extract_all(html, F.lit(PIECE), F.lit(0)), lambda p: F.struct(
-        F.lower(F.regexp_extract(p, "^</?([A-Za-z][A-Za-z0-9]*)", 1)).alias("name"), p.startswith("</").alias("ends"), p.alias("raw")))
+def _plain(html: Column) -> Column:
+    """The page without comments, scripts and styles, and with no tag inside another, so that a tag is what looks like one.
+    Most pages are so already and are not taken apart."""
+    pieces = F.filter(F.regexp_extract_all(html, F.lit(PIECE), F.lit(0)), lambda p: ~p.rlike(REMOVED))
+    alone = F.transform(pieces, lambda p: F.when(p.startswith("<"), F.concat(F.lit("<"), F.replace(F.substring(p, 2, LONGEST), F.lit("<"), F.lit(" ")))).otherwise(p))
+    return F.when(html.rlike(UNEVEN), F.array_join(alone, "")).otherwise(html)
+
+
+def _cut(html: Column, tag: str | Column) -> Column:
+    """Array of (tag, opens, after): every tag that matches, and what follows it up to the next. What comes before the first is left out."""
+    pattern = F.lit(tag) if isinstance(tag, str) else tag
+    return F.zip_with(F.regexp_extract_all(html, pattern, F.lit(0)), F.slice(F.split(html, pattern, -1), 2, LONGEST),
+                      lambda t, s: F.struct(t.alias("tag"), (~t.startswith("</")).alias("opens"), s.alias("after")))
+
+
+def _deeper(depth: Column, opens: Column) -> Column:
+    return depth + F.when(opens, 1).otherwise(-1)
+
+
+def _nth_table(html: Column, n: int) -> Column:
+    """What is between the tags of the n-th table, with the tables inside it as text. The fold is over the tags of tables only."""
+    start = F.struct(F.lit(0).alias("seen"), F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
 
+    def step(at: Column, t: Column) -> Column:
+        depth = F.when(at["depth"] > 0, _deeper(at["depth"], t["opens"])).when(t["opens"] & ~at["done"] & (at["seen"] == n), F.lit(1)).otherwise(F.lit(0))
+        text = F.when(depth == 1, F.concat(at["text"], t["after"])).when(depth > 1, F.concat(at["text"], F.regexp_replace(t["after"], TAG, ""))).otherwise(at["text"])
+        return F.struct((at["seen"] + t["opens"].cast("int")).alias("seen"), depth.alias("depth"), (at["done"] | (at["depth"] == 1) & ~t["opens"]).alias("done"), text.alias("text"))
 
-def _struct(**fields: Column) -> Column:
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
+    return F.aggregate(_cut(html, TABLE), start, step, lambda at: at["text"])
 
 
 def html_table_rows(df: DataFrame, html: str, n: int = 1, pad: object = MAX_AGE) -> DataFrame:
@@ -29,36 +61,41 @@ def html_table_rows(df: DataFrame, html: str, n: int = 1, pad: object = MAX_AGE)
 
     End tags of rows and cells may be left out. Text of a table inside a cell belongs to the cell; its rows are rows of a table
     of their own. A header row has header cells only. A row with a single cell gets the pad value as its second one.
+
+    The page is cut at the tags of tables, the table at those of rows and a row at those of cells, so each text is looked at a few times
+    whatever the number of its tags, and a page is one row until its rows are known.
     """
-    row = "struct<header:boolean,cells:array<string>>"
-    none = F.lit(None).cast("string")
-    start = _struct(seen=F.lit(0), depth=F.lit(0), done=F.lit(False), rows=F.array().cast(f"array<{row}>"),
-                    cells=F.array().cast("array<string>"), plain=F.lit(0), text=none)
-
-    def step(at: Column, p: Column) -> Column:
-        name, opens, inside = p["name"], ~p["ends"], (at["depth"] > 0) & ~at["done"]
-        own = inside & (at["depth"] == 1)
-        table = name == "table"
-        enters = opens & table & ~inside & ~at["done"] & (at["seen"] == n)
-        leaves = own & table & p["ends"]
-        depth = F.when(enters, F.lit(1)).when(inside & table & opens, at["depth"] + 1).when(inside & table, at["depth"] - 1).otherwise(at["depth"])
-        new_cell = own & opens & name.isin("td", "th")
-        ends_cell = leaves | new_cell | own & name.isin("td", "th", "tr", "thead", "tbody", "tfoot")
-        ends_row = leaves | own & name.isin("tr", "thead", "tbody", "tfoot")
-        cells = F.when(ends_cell & at["text"].isNotNull(), F.concat(at["cells"], F.array(at["text"]))).otherwise(at["cells"])
-        full = F.struct((at["plain"] == 0).alias("header"), cells.alias("cells"))
-        rows = F.when(ends_row & (F.size(cells) > 0), F.concat(at["rows"], F.array(full))).otherwise(at["rows"])
-        text = F.when(new_cell, F.lit("")).when(ends_cell, none).when(inside & (name == ""), F.concat(at["text"], p["raw"])).otherwise(at["text"])
-        plain = F.when(ends_row, F.lit(0)).otherwise(at["plain"]) + F.when(new_cell & (name == "td"), 1).otherwise(0)
-        return _struct(seen=at["seen"] + F.when(opens & table, 1).otherwise(0), depth=depth, done=at["done"] | leaves, rows=rows,
-                       cells=F.when(ends_row, F.array().cast("array<string>")).otherwise(cells), plain=plain, text=text)
-
-    # a last row or cell without end tags ends with the page
-    closed = F.concat(_pieces(ref(html)), F.transform(F.array_repeat(F.lit("</tr>"), 1), lambda p: F.struct(F.lit("tr").alias("name"), F.lit(True).alias("ends"), p.alias("raw"))))
-    rows = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(F.aggregate(closed, start, step, lambda at: at["rows"])).alias("row_no", "_row"))
-    cells = F.transform(F.col("_row.cells"), strip_markup)
-    padded = F.when(F.size(cells) == 1, F.concat(cells, F.array(F.lit(str(pad))))).otherwise(cells)
-    return rows.select("*", F.col("_row.header").alias("is_header"), padded.alias("cells")).drop("_row")
+    inside = let(_plain(ref(html)), lambda page: _nth_table(page, n))
+    rows = F.filter(F.split(inside, ROW, -1), lambda r: r.rlike(CELL))
+    rows = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(rows).alias("row_no", "_row"))
+    rows = rows.select("*", (~F.col("_row").rlike(PLAIN_CELL)).alias("is_header"), F.regexp_extract_all("_row", F.lit(CELL_TEXT), F.lit(1)).alias("_cells")).drop("_row")
+    cells = F.transform("_cells", strip_markup)
+    padded = F.when(F.size("_cells") == 1, F.concat(cells, F.array(F.lit(str(pad))))).otherwise(cells)
+    return rows.withColumn("cells", padded).drop("_cells")
+
+
+def _within(html: Column, container: str, n: int) -> Column:
+    """What is inside the n-th element of a class, up to its own end tag or the end of the page; NULL without one."""
+    def has(tag: Column) -> Column:
+        return F.array_contains(F.split(F.regexp_extract(tag, r"""(?is)\bclass\s*=\s*["']?([^"'>]*)""", 1), r"\s+"), container)
+
+    def chosen(tags: Column) -> Column:  # place of the n-th element among those with a class
+        return F.get(F.filter(F.transform(tags, lambda t, i: F.when(has(t), i)), lambda i: i.isNotNull()), F.lit(n))
+
+    def rest(tags: Column) -> Column:
+        return let(chosen(tags), lambda i: F.when(i.isNotNull(), F.struct(
+            F.regexp_extract(F.get(tags, i), "^<([A-Za-z][A-Za-z0-9]*)", 1).alias("name"), F.get(F.split(html, CLASSED, i + 2), i + 1).alias("after"))))
+
+    def to_end(found: Column) -> Column:
+        same = F.concat(F.lit("(?i)</?"), found["name"], F.lit(r"(?![A-Za-z0-9])[^>]*(?:>|\z)"))
+        before = F.get(F.split(found["after"], same, 2), F.lit(0))
+        start = F.struct(F.lit(1).alias("depth"), before.alias("text"))
+        step = lambda at, t: F.when(at["depth"] == 0, at).otherwise(F.struct(
+            _deeper(at["depth"], t["opens"]).alias("depth"),
+            F.when(_deeper(at["depth"], t["opens"]) == 0, at["text"]).otherwise(F.concat(at["text"], t["tag"], t["after"])).alias("text")))
+        return F.when(found.isNotNull(), F.aggregate(_cut(found["after"], same), start, step, lambda at: at["text"]))
+
+    return let(let(F.regexp_extract_all(html, F.lit(CLASSED), F.lit(0)), rest), to_end)
 
 
 def html_list_items(df: DataFrame, html: str, list_no: int | None = None, container: str | None = None, n: int = 0) -> DataFrame:
@@ -68,38 +105,26 @@ def html_list_items(df: DataFrame, html: str, list_no: int | None = None, contai
     (from 0, by start tags, inside the container if one is given). End tags of items may be left out. A list inside an item ends
     the item's own text.
     """
-    none = F.lit(None).cast("string")
-    start = _struct(lists=F.lit(0), open=F.array().cast("array<int>"), seen=F.lit(0), name=F.lit(""), depth=F.lit(0 if container else 1), done=F.lit(False),
-                    items=F.array().cast("array<struct<list:int,item:string>>"), text=none)
-
-    def step(at: Column, p: Column) -> Column:
-        name, opens = p["name"], ~p["ends"] & (p["name"] != "")
-        seen, depth, target, done = at["seen"], at["depth"], at["name"], at["done"]
-        if container:
-            named = F.regexp_extract(p["raw"], r"""(?is)\bclass\s*=\s*["']?([^"'>]*)""", 1)
-            has = opens & F.array_contains(F.split(named, r"\s+"), container)
-            enters = has & (depth == 0) & ~done & (seen == n)
-            seen = seen + F.when(has & (depth == 0), 1).otherwise(0)
-            target = F.when(enters, name).otherwise(target)
-            depth = F.when(enters, F.lit(1)).when((depth > 0) & (name == at["name"]), depth + F.when(p["ends"], -1).otherwise(1)).otherwise(depth)
-            done = done | (at["depth"] > 0) & (depth == 0)
-        inside = at["depth"] > 0
-        is_list, is_item = name.isin("ul", "ol"), name == "li"
-        ends = inside & (is_list | is_item) | (at["depth"] > 0) & (depth == 0)
-        here = F.coalesce(F.get(at["open"], F.size(at["open"]) - 1), F.lit(-1))
-        items = F.when(ends & at["text"].isNotNull(), F.concat(at["items"], F.array(F.struct(here.alias("list"), at["text"].alias("item"))))).otherwise(at["items"])
-        text = F.when(inside & is_item & opens, F.lit("")).when(ends, none).when(inside & ((name == "") | ~(is_list | is_item)), F.concat(at["text"], p["raw"])).otherwise(at["text"])
-        starts = inside & is_list & opens
-        stack = F.when(starts, F.concat(at["open"], F.array(at["lists"]))).when(
-            inside & is_list & p["ends"], F.slice(at["open"], 1, F.greatest(F.size(at["open"]) - 1, F.lit(0)))).otherwise(at["open"])
-        return _struct(lists=at["lists"] + F.when(starts, 1).otherwise(0), open=stack, seen=seen, name=target, depth=depth, done=done, items=items, text=text)
-
-    last = F.array(F.struct(F.lit("li").alias("name"), F.lit(True).alias("ends"), F.lit("</li>").alias("raw")))
-    items = F.aggregate(F.concat(_pieces(ref(html)), last), start, step, lambda at: at["items"])
-    if list_no is not None:
-        items = F.filter(items, lambda x: x["list"] == list_no)
+    page = _plain(ref(html))
+    if container:
+        page = let(page, lambda h: _within(h, container, n))
+    cut = let(page, lambda h: _cut(h, LIST))
+    if list_no is None:
+        items = F.transform(F.filter(cut, lambda t: t["tag"].rlike(ITEM)), lambda t: t["after"])
+    else:
+        start = F.struct(F.lit(0).alias("lists"), F.array().cast("array<int>").alias("open"), F.array().cast("array<string>").alias("items"))
+
+        def step(at: Column, t: Column) -> Column:
+            item, is_list = t["tag"].rlike(ITEM), ~t["tag"].rlike("(?i)^</?li(?![A-Za-z0-9])")
+            open_lists = F.when(is_list & t["opens"], F.concat(at["open"], F.array(at["lists"]))).when(
+                is_list, F.slice(at["open"], 1, F.greatest(F.size(at["open"]) - 1, F.lit(0)))).otherwise(at["open"])
+            here = F.coalesce(F.get(at["open"], F.size(at["open"]) - 1), F.lit(-1)) == list_no
+            return F.struct((at["lists"] + (is_list & t["opens"]).cast("int")).alias("lists"), open_lists.alias("open"),
+                            F.when(item & here, F.concat(at["items"], F.array(t["after"]))).otherwise(at["items"]).alias("items"))
+
+        items = F.aggregate(cut, start, step, lambda at: at["items"])
     out = df.select(*[ref(c) for c in df.columns if c != html], F.posexplode(items).alias("item_no", "_item"))
-    return out.withColumn("item", strip_markup(F.col("_item.item"))).drop("_item")
+    return out.withColumn("item", strip_markup(F.col("_item"))).drop("_item")
 
 
 def rates_from_text(df: DataFrame, text: str) -> DataFrame:
