@@ -1,12 +1,13 @@
 """HTML extraction: the main text of pages, with the help of a suffix array over the pages of each host.
 
 A page is read into blocks, the text between block-level tags. Scripts, styles, heads and hidden parts are no blocks; menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments are known by their tag, role, class or id. The blocks
+headers, footers, sidebars, notices, adverts, forms and reader comments are known by their tag, role, class or id; of a class or id whole
+names count, and a name does not decide on what holds most of a page's words when no article lies outside it. The blocks
 of all pages of a host, as word counts and hashes, are the token streams; a suffix array over them, built by the same
 distributed prefix doubling as in ``lines``, gives the runs of blocks with ``LEAST_WORDS`` words or more that repeat: that
 ``LEAST_PAGES`` distinct pages or more, and a share of ``LEAST_SHARE`` of the host's distinct pages, hold. Blocks covered by such runs are boilerplate, and what is left are the unique runs, joined by line ends in page order.
 
-Where the page itself marks its article (``article``, else ``main``), the text comes from the blocks in it that are not one of the
+Where the page itself marks its article (``article``, else ``main``, or ``main`` with cards in it), the text comes from the blocks in it that are not one of the
 kinds above. Of these go the runs that so many pages hold within the article, and so many outside it: menus and notices set into the article. Others stay: copies of an article, lines that
 many articles quote, or a line that some advert repeats, are not boilerplate. Pages without such a mark lose all that repeats on the host's pages,
 within articles or not; near copies of one article on fewer pages keep it.
@@ -49,18 +50,22 @@ BLOCK = frozenset(("address article aside blockquote body caption center dd deta
                    " td tfoot th thead title tr ul").split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 NO_TEXT = frozenset("head script style noscript template iframe noembed noframes svg math canvas audio video object map select datalist".split())
-BOILERPLATE_TAGS = frozenset("nav header footer aside form menu dialog button textarea".split())
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+BOILERPLATE_TAGS = frozenset("nav header footer aside menu dialog button textarea".split())
+BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 BOILERPLATE_NAMES = frozenset((
     "ad ads adv advert adverts advertisement advertising banner billboard sponsor sponsored sponsors promo promos promotion promoted"
     " nav navbar navigation menu menus breadcrumb breadcrumbs header masthead topbar toolbar footer colophon copyright"
     " sidebar sidebars aside widget widgets rail cookie cookies consent gdpr notice notices alert popup modal overlay paywall"
     " comment comments commentlist respond replies disqus share sharing social related recommended recommendations newsletter"
     " subscribe subscription signup login search searchform pagination pager skip form").split())
+# Parts that say nothing of their own in the name of a class or id: "cookie-box" is a notice, "article-header" no page header.
+NEUTRAL_NAMES = frozenset((
+    "area bar block bottom box btn button buttons col column container content desktop element fixed global group icon icons inner item items"
+    " left link links list main mobile module outer panel primary region right row secondary section site slot sticky text title top unit wrap wrapper").split())
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/\"'>]|\Z)", re.I)
-_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>]+))?")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 # Which open element a start tag ends, and the elements beyond which it does not look.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -72,30 +77,68 @@ class Block(NamedTuple):
     known: bool  # known to be boilerplate by its mark-up
 
 
-def _boilerplate(name: str, attributes: str) -> bool:
+SURE, BY_NAME = 2, 1
+
+
+def _named(token: str) -> bool:
+    """Whether a class or id names boilerplate: one of its parts does, and the others say nothing."""
+    parts = [x.lower() for x in _NAME.findall(token)]
+    return any(x in BOILERPLATE_NAMES for x in parts) and all(x in BOILERPLATE_NAMES or x in NEUTRAL_NAMES or x.isdigit() for x in parts)
+
+
+def _boilerplate(name: str, attributes: str) -> int:
+    """``SURE`` by its tag, role or because it is hidden, ``BY_NAME`` if it is a form or a class or id says so, else 0.
+
+    Attributes are read one after the other, so no value is taken for an attribute, and no attribute for another that ends alike.
+    """
     if name in BOILERPLATE_TAGS:
-        return True
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return SURE
+    found = BY_NAME if name == "form" else 0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+        if key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true":
+            return SURE
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return SURE
+        if name in ("html", "body", "main"):
+            continue
         if key == "role" and value.lower() in BOILERPLATE_ROLES:
-            return True
-        if key in ("class", "id") and any(part.lower() in BOILERPLATE_NAMES for part in _NAME.findall(value)):
-            return True
-    return False
+            return SURE
+        if key in ("class", "id") and any(map(_named, value.split())) or key == "role" and value.lower() == "form":
+            found = BY_NAME
+    return found
+
+
+class _Read(NamedTuple):
+    text: str
+    place: int
+    sure: bool
+    named: tuple[int, ...]  # numbers of the elements around it that are boilerplate by their name
+
+
+def _decided(read: list[_Read]) -> list[Block]:
+    """A name decides on an element unless that holds most words of the page and no marked article lies outside: a wrapper's class tells
+    of its looks, and a page may be one form."""
+    words = [len(r.text.split()) for r in read]
+    held: dict[int, int] = {}
+    for r, n in zip(read, words):
+        for element in r.named:
+            held[element] = held.get(element, 0) + n
+    large = {e for e, n in held.items() if 2 * n > sum(words)}
+    while large:  # an element inside a large one may be large too, so the innermost that is no wrapper decides
+        marked = {e for e in large if any(r.place and not r.sure and e not in r.named and not any(x not in large for x in r.named) for r in read)}
+        if not marked:
+            break
+        large -= marked
+    return [Block(r.text, r.place, r.sure or any(e not in large for e in r.named)) for r in read]
 
 
 def blocks_of(page: str) -> list[Block]:
     """All blocks of a page that have text, in page order."""
-    out: list[Block] = []
+    out: list[_Read] = []
     held: list[str] = []
-    open_: list[tuple[str, int, bool, bool]] = []  # name, place, known, without text
-    place, known, mute = 0, False, False
+    open_: list[tuple[str, int, bool, tuple[int, ...], bool]] = []  # name, place, sure, named, without text
+    place, sure, named, mute, numbered = 0, False, (), False, 0
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -103,15 +146,15 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append(Block(text, place, known))
+                out.append(_Read(text, place, sure, named))
 
     def close(depth: int) -> None:
-        nonlocal place, known, mute
-        _, *after = open_[depth - 1] if depth else ("", 0, False, False)
-        if [place, known, mute] != after or any(name in BLOCK for name, *_ in open_[depth:]):
+        nonlocal place, sure, named, mute
+        _, *after = open_[depth - 1] if depth else ("", 0, False, (), False)
+        if [place, sure, named, mute] != after or any(name in BLOCK for name, *_ in open_[depth:]):
             flush()
         del open_[depth:]
-        place, known, mute = after
+        place, sure, named, mute = after
 
     while at < end:
         lt = page.find("<", at)
@@ -158,8 +201,11 @@ def blocks_of(page: str) -> list[Block]:
         if boiler or name in NO_TEXT or name in ("article", "main"):
             flush()
         place = max(place, 2 if name == "article" else 1 if name == "main" else 0)
-        known, mute = known or boiler, mute or name in NO_TEXT
-        open_.append((name, place, known, mute))
+        if boiler == BY_NAME:
+            numbered += 1
+            named = (*named, numbered)
+        sure, mute = sure or boiler == SURE, mute or name in NO_TEXT
+        open_.append((name, place, sure, named, mute))
         if name in RAW:
             stop = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             to = stop.start() if stop else end
@@ -167,13 +213,19 @@ def blocks_of(page: str) -> list[Block]:
                 held.append(page[at:to])
             at = to
     flush()
-    return out
+    return _decided(out)
 
 
 def article_marks(blocks: list[Block]) -> list[bool] | None:
-    """Of every block, whether it belongs to the marked article; None if the page marks none."""
-    best = max((b.place for b in blocks if not b.known), default=0)
-    return [not b.known and b.place == best for b in blocks] if best else None
+    """Of every block, whether it belongs to the marked article; None if the page marks none.
+
+    Articles go before the main part, unless they hold less than half of its words: then they are cards beside the text.
+    """
+    words = {p: sum(len(b.text.split()) for b in blocks if not b.known and b.place == p) for p in (1, 2)}
+    if not any(words.values()):
+        return None
+    least = 2 if words[2] and words[2] >= words[1] else 1
+    return [not b.known and b.place >= least for b in blocks]
 
 
 def article_of(blocks: list[Block]) -> list[str] | None:

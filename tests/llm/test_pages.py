@@ -15,6 +15,16 @@ CASES = [
     ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p><!-- open", ["yes"]),
     ("<article><p>x</p><section class='cookie-notice'><div>no</div></section><section class=story><p>y</section></article>", ["x", "y"]),
     ("<article><p>a <b>b</b> c<i>d</i>e <a href=x>f</a>, g <span class=ad>no</span>h</article>", ["a b cde f, g", "h"]),
+    ("<article><p title='a hidden gem'>a<p data-hidden='false'>b<p data-id='nav'>c<p hidden=''>no<p aria-hidden=true>no<p aria-hidden=false>d</article>", ["a", "b", "c", "d"]),
+    ("<article><p title=\"class='ad'\">a<p CLASS = 'x  ad'>no<p id=ad-2>no<p class=myAdBox>b<p class='AdBox'>no</article>", ["a", "b"]),
+    ("<body class='has-sidebar'><div class='content no-sidebar'><article><h1 class='article-header'>h</h1><p class='social-science'>s</article></div>", ["h", "s"]),
+    ("<form id=aspnetForm><article><p>one page in a form</p><form><p>no</p></form></article></form>", ["one page in a form"]),
+    ("<div class='widget'><div class='header'><article><p>the text of a page in a wrapper</article></div><p>x</div>", ["the text of a page in a wrapper"]),
+    ("<article><p>the text</article><article class='comment'><p>a longer answer of some reader to it</article><article class=promo><p>no</article>", ["the text"]),
+    ("<main><p>text</p></main><div id=comments><p>more words than the page itself has in all</div>", ["text"]),
+    ("<article class=comment><p>the one article</article>", ["the one article"]),
+    ("<main><p>the main text of this page</p><article><p>a card</article><p>goes on</main>", ["the main text of this page", "a card", "goes on"]),
+    ("<main><article><p>first story of this page</article><article><p>second</article><p>x</main>", ["first story of this page", "second"]),
     ("<article></article>", None), ("plain text", None), ("", None), ("<", None),
 ]
 
