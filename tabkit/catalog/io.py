@@ -10,6 +10,7 @@ from tabkit.operators.stats import word_count
 from tabkit.operators.validity import drop_null_subset
 from tabkit.plans import extract
 from tabkit.runtime import scratch_path
+from tabkit.sources.published import Publication
 from tabkit.sources.readers import inline, read_csv, read_jsonl, read_mixed, read_parquet, read_text, read_xml
 from tabkit.sources.staging import run_step, stage, table_shape
 from tabkit.sources.writers import write_csv, write_jsonl, write_parquet, write_text, write_xml
@@ -155,6 +156,30 @@ def staged_step(spark, sf_dir):
     return rounded(spark.table("order_totals").withColumn("kept", F.lit(metrics["kept"]).cast("bigint")), 4, "mean_price")
 
 
+@query("published_steps", """
+SELECT version, o_orderpriority, CAST(count(*) AS BIGINT) AS orders, round(avg(o_totalprice), 4) AS mean_price,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_custkey % 13 <> 0) AS kept
+FROM orders, (VALUES (1), (2)) AS v(version) WHERE version = 1 OR o_custkey % 13 <> 0 GROUP BY version, o_orderpriority""")
+def published_steps(spark, sf_dir):
+    """Orders and their totals, published together in two versions; a reader of the first still has it when the second is there."""
+    shop = Publication(spark, scratch_path(spark, "published"))
+
+    def totals(orders):
+        return orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.avg("o_totalprice").alias("mean_price"))
+
+    orders = table(spark, sf_dir, "orders")
+    shop.publish({"orders": orders, "totals": totals(orders)})
+    before = shop.snapshot()
+
+    def clean(tables):
+        kept = tables["orders"].where(F.col("o_custkey") % 13 != 0)
+        return {"orders": kept, "totals": totals(kept)}, {"kept": kept.count()}
+
+    metrics = shop.run_step(clean, ["orders"], ["orders", "totals"])
+    both = [s.read("totals").withColumn("version", F.lit(i + 1)) for i, s in enumerate((before, shop.snapshot()))]
+    return rounded(both[0].unionByName(both[1]).withColumn("kept", F.lit(metrics["kept"]).cast("bigint")), 4, "mean_price")
+
+
 @query("table_shape", """
 SELECT CAST(p AS INT) AS position, c AS column_name, t AS data_type, (SELECT CAST(count(*) AS BIGINT) FROM customer) AS row_count
 FROM (VALUES (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'),

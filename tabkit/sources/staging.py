@@ -32,8 +32,13 @@ def run_step(spark: SparkSession, fn: Step, inputs: Sequence[str], outputs: Sequ
 
 
 def _switch(spark: SparkSession, written: dict[str, str]) -> None:
-    """Let table names point to folders that are written in full."""
+    """Let table names point to folders that are written in full. A table with the same columns is moved, so its name never goes;
+    tables that must change together belong into a ``Publication``."""
     for name, path in written.items():
+        if spark.catalog.tableExists(name) and spark.table(name).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            continue
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=path, source="parquet")
 
