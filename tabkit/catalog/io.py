@@ -12,6 +12,7 @@ from tabkit.plans import extract
 from tabkit.runtime import scratch_path
 from tabkit.sources.published import Publication
 from tabkit.sources.readers import inline, read_csv, read_jsonl, read_mixed, read_parquet, read_text, read_xml
+from tabkit.sources.rescue import read_mixed_rescued
 from tabkit.sources.staging import run_step, stage, table_shape
 from tabkit.sources.writers import write_csv, write_jsonl, write_parquet, write_text, write_xml
 
@@ -70,6 +71,31 @@ def extract_mixed_formats(spark, sf_dir):
     return read_mixed(spark, paths, schema)
 
 
+# Customers as lines of text, of which some hold no number where one belongs, are cut short or have a field too many.
+# Per format: a line, whether it is broken, and whether the segment and the nation are missing from a good one.
+BROKEN = {
+    "csv": ("CAST(c_custkey AS STRING) || ',' || c_mktsegment || ',' || CASE c_custkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '1,2' ELSE CAST(c_nationkey AS STRING) END",
+            "c_custkey % 7 IN (0, 2)", "false", "c_custkey % 7 = 1"),
+    "json": ("'{\"c_custkey\":' || CAST(c_custkey AS STRING) || CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN ',\"c_nationkey\":\"many\"}'"
+             " WHEN 2 THEN '}' ELSE ',\"c_mktsegment\":\"' || c_mktsegment || '\",\"c_nationkey\":' || CAST(c_nationkey AS STRING) || '}' END",
+             "c_custkey % 5 IN (0, 1)", "c_custkey % 5 = 2", "c_custkey % 5 = 2"),
+}
+BROKEN_SQL = " UNION ALL ".join(f"""
+SELECT {rank} AS source_rank, NOT ({bad}) AS good, CASE WHEN NOT ({bad}) THEN c_custkey END AS c_custkey,
+ CASE WHEN NOT ({bad}) AND NOT {no_segment} THEN c_mktsegment END AS c_mktsegment, CASE WHEN NOT ({bad}) AND NOT {no_nation} THEN c_nationkey END AS c_nationkey,
+ CASE WHEN {bad} THEN {line} END AS raw FROM customer""" for rank, (line, bad, no_segment, no_nation) in enumerate(BROKEN.values()))
+
+
+@query("rescued_records", BROKEN_SQL)
+def rescued_records(spark, sf_dir):
+    """Two formats with broken records: the good ones by column, the others as they stand in the files."""
+    customer = table(spark, sf_dir, "customer")
+    paths = {fmt: write_text(customer, F.expr(line), scratch_path(spark, fmt)) for fmt, (line, *_) in BROKEN.items()}
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_mktsegment", T.StringType()), T.StructField("c_nationkey", T.IntegerType())])
+    good, bad = read_mixed_rescued(spark, paths, schema, header=False)
+    return good.withColumn("good", F.lit(True)).unionByName(bad.drop("file").withColumn("good", F.lit(False)), allowMissingColumns=True)
+
+
 @query("extract_flow", """
 SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, source_rank FROM (
  SELECT p_partkey, p_name, p_brand, p_type, p_size, round(p_retailprice, 1) + 0.0 AS p_retailprice, CAST(p_partkey % 3 AS INT) AS source_rank FROM part)
