@@ -235,3 +235,72 @@ def test_radius_holds_similar_windows():
         prints = [leaks.fingerprints(leaks.bit_sums(x), np.zeros(1, np.int64), len(x)) for x in (own, other)]
         missed += np.unpackbits(prints[0] ^ prints[1]).sum() > leaks.RADIUS
     assert missed == 0
+
+
+def test_node_ties_connect_what_alike_pairs_connect():
+    draw = np.random.default_rng(8)
+    for size in (2, 9, 60, 200):
+        base = draw.integers(0, 256, (max(2, size // 12), near.SKETCH), np.uint8)
+        sketches = base[draw.integers(0, len(base), size)].copy()
+        change = draw.random(sketches.shape) < draw.choice([0.1, 0.3, 0.42], (size, 1))
+        sketches[change] = draw.integers(0, 256, int(change.sum()), np.uint8)
+        want = near.least_reached(near.alike(sketches, sketches))
+        assert near.node_ties(sketches).tolist() == want.tolist()
+
+
+def small_docs(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+
+
+def ties_of(spark, texts, monkeypatch):
+    found = []
+    monkeypatch.setattr(near, "components", lambda edges: found.append([tuple(r) for r in edges.collect()]) or graph.components(edges))
+    result = near.near_duplicates(small_docs(spark, texts), node_block=16).collect()
+    return found[0], result
+
+
+def test_pages_that_share_a_menu_are_no_cluster(spark, monkeypatch):
+    """Texts that are alike to a third meet in nodes, and are told apart there."""
+    menu = prose(1, 100).replace("\n", " ")
+    texts = [menu + " " + prose(100 + i, 100).replace("\n", " ") for i in range(600)]
+    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts[:2]]
+    assert 0.28 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.38
+    ties, result = ties_of(spark, texts, monkeypatch)
+    assert ties == [] and all(r.n_links == 0 and r.class_id == r.doc_id for r in result)
+
+
+def test_a_node_of_many_blocks(spark, monkeypatch):
+    """Copies with small changes share most nodes; blocks of 16 sketches are compared in pairs."""
+    words = prose(5, 300).split()
+    draw = random.Random(6)
+    texts = []
+    for i in range(90):
+        own = list(words)
+        own[draw.randrange(300)] = f"x{i}"
+        texts.append(" ".join(own))
+    ties, result = ties_of(spark, texts, monkeypatch)
+    assert len(ties) < 90 * 45 and all(r.class_id == 0 and r.n_links == 89 for r in result)
+
+
+def test_recall_against_all_pairs(spark):
+    """Links among the given documents and a copy of each with some words changed, about the threshold."""
+    from pathlib import Path
+
+    import pyarrow as pa
+    path = Path("/root/testdata/sf0.01/documents.parquet")
+    if not path.exists():
+        pytest.skip("test tables are not here")
+    draw, texts = random.Random(13), {r.text or "" for r in spark.read.parquet(str(path)).select("text").collect()}
+    for text in sorted(texts):
+        share = draw.uniform(0.002, 0.025)
+        texts.add(re.sub(r"\S+", lambda m: f"w{draw.randrange(10**6)}" if draw.random() < share else m[0], text))
+    texts = sorted(texts)
+    docs = small_docs(spark, texts)
+    hashes, offsets = near.shingles(pa.array(texts))
+    sets = [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    held = [i for i, s in enumerate(sets) if len(s)]
+    want = dict(zip((texts[i] for i in held), near.linked([sets[i] for i in held], 80).sum(1).tolist()))
+    got = {r.text: r.n_links for r in near.near_duplicates(docs).join(docs.select("doc_id", "text"), "doc_id").collect()}
+    found, all_links = sum(got[t] for t in want), sum(want.values())
+    print(f"links found {found} of {all_links}, recall {found / all_links}")
+    assert all_links > 1000 and found >= 0.9 * all_links and all(got[t] <= want[t] for t in want)
