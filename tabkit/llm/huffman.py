@@ -36,6 +36,7 @@ CHECKPOINT = 256  # ids between two bit offsets
 BLOCK_IDS = 1 << 16
 DECODED_IDS = 1 << 20  # ids decoded side by side
 PART_IDS = 1 << 22
+MOST_PARTS = 100_000  # parts grow beyond PART_IDS ids rather than become more
 
 # White space that keeps a text from being cut at its spaces and line ends; see Encoder.
 _ODD = r"[^\S \n]|^\s|\s$|\s\s"
@@ -285,27 +286,26 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_
     codes = canonical_codes(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
 
-    parts = max(1, -(-int(counts.sum()) // part_ids))
+    parts = max(1, min(MOST_PARTS, -(-int(counts.sum()) // part_ids)))
     cuts = [i / parts for i in range(1, parts)]
     bounds = encoded.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * parts))).first()[0] if parts > 1 else None
-    bounds = sorted(set(bounds or []))
-    number = F.lit(len(bounds)) - F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b >= F.col("doc_id"))) if bounds else F.lit(0)
+    bounds = np.array(sorted(set(bounds or [])), np.int64)
 
     def code_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.set_column(3, "ids", _bytes(batch.column(3)))
+            batch = batch.set_column(2, "ids", _bytes(batch.column(2)))
             for part in slices(batch, "ids"):
-                sizes, (data, _) = part.column(2).to_numpy(), text_bytes(part.column(3))
+                sizes, (data, _) = part.column(1).to_numpy(), text_bytes(part.column(2))
                 bits, ends, within = pack_bits(data.view(_ids_type(sizes, len(data))), sizes, codes, lengths)
+                number = np.searchsorted(bounds, part.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()).astype(np.int32)  # NULL ids come first
                 each = -(-sizes // CHECKPOINT)
                 first = np.cumsum(sizes) - sizes
                 places = ragged(np.zeros(len(each), np.int64), each) * CHECKPOINT + np.repeat(first, each)
-                yield pa.record_batch([part.column(0), part.column(1), part.column(2), binary_array(bits, ends),
+                yield pa.record_batch([pa.array(number), part.column(0), part.column(1), binary_array(bits, ends),
                                        binary_array(within[places].astype("<u8").view(np.uint8), 8 * np.concatenate([[0], np.cumsum(each)]))],
                                       ["part", "doc_id", "n_tokens", "bits", "marks"])
 
-    coded = (encoded.select(F.when(F.col("doc_id").isNull(), 0).otherwise(number).cast("int").alias("part"), "doc_id", "n_tokens", "ids")
-             .mapInArrow(code_task, "part int, doc_id bigint, n_tokens bigint, bits binary, marks binary"))
+    coded = encoded.select("doc_id", "n_tokens", "ids").mapInArrow(code_task, "part int, doc_id bigint, n_tokens bigint, bits binary, marks binary")
     ordered = coded.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n_tokens", "bits")
 
     def block_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
