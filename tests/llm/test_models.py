@@ -75,3 +75,12 @@ def test_edges(spark):
         assert got.count() == len(rows) and all(r.score == 0 for r in got.where("doc_id IN (1, 2, 3)").collect())
         for f in (quality.score_quality, quality.keep_good, toxicity.score_toxicity):
             assert f(empty_docs(spark), known).collect() == []
+
+
+def test_a_toxic_document_names_sentences():
+    """Many sentences that are unlikely alone: the likeliest half of the exponent is named."""
+    bias = float(np.log(0.12 / 0.88))
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), bias)
+    scores, spans = toxicity.score_texts(model, pa.array(["one two three. " * 9, "one two three.", "", None]))
+    assert abs(scores[0] - (1 - 0.88 ** 9)) < 1e-9 and [len(s) for s in spans] == [5, 0, 0, 0]
+    assert [s["start"] for s in spans[0]] == [0, 15, 30, 45, 60]
