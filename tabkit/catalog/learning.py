@@ -11,6 +11,7 @@ from tabkit.operators import missing as M
 from tabkit.operators import models as L
 from tabkit.operators.encoders import CategoryIndexer, SentinelImputer
 from tabkit.operators.neighbours import knn_classify
+from tabkit.operators.pivots import nearest_by_pivots
 from tabkit.operators.splits import split_by_key
 from tabkit.operators.transformers import PairwiseProduct, Square
 from tabkit.runtime import settle
@@ -80,6 +81,26 @@ def fit_predict(spark, sf_dir):
     return model.transform(test).select("id", "label", "prediction")
 
 
+@query("classify_flow")
+def classify_flow(spark, sf_dir):
+    """From text and number columns with gaps to a forest: all published depths over three folds of the training rows, scored on test rows."""
+    customer = table(spark, sf_dir, "customer")
+    df = settle(customer.select(
+        F.col("c_custkey").alias("id"), (F.col("c_acctbal") + F.col("c_nationkey") * 200 > 6000).cast("double").alias("label"),
+        F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"), F.substring("c_name", -2, 2).alias("ending"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"), F.col("c_nationkey").cast("double").alias("nation")), "customers")
+    train, test = split_by_key(df, "id", 0.8)
+    texts, numbers = ["segment", "ending"], ["balance", "nation"]
+    products = PairwiseProduct(inputCols=[f"Imputed{c}" for c in numbers])
+    before = [CategoryIndexer(inputCols=texts), SentinelImputer(inputCols=[f"{c}Index" for c in texts]), M.ml_imputer(numbers), products,
+              Square(inputCols=[f"Imputed{c}" for c in numbers])]
+    cols = [*products.getOutputCols(), *[f"Imputed{c}" for c in numbers], *[f"Imputed{c}Index" for c in texts]]
+    pipeline = L.make_pipeline("random_forest", cols, "label", before)
+    fitted, score, params = L.cross_validate(train, pipeline, {**L.FOREST_GRID, "numTrees": L.FOREST_GRID["numTrees"][:1]}, "label", "id", 3)
+    auc = L.evaluator("auc", "label", "probability").evaluate(fitted.transform(test))
+    return spark.createDataFrame([(score, auc, str(sorted(params.items())))], "score double, auc double, params string")
+
+
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
     """The whole grid of the logistic regression over five folds."""
@@ -159,6 +180,13 @@ def knn_train_test(spark, sf_dir):
     return knn_classify(df.where("id % 5 <> 0"), df.where("id % 5 = 0"))
 
 
+@query("knn_pivots", TRAIN_TEST_SQL.format(label="b.label", distance="list_distance(q.e, b.e)").replace("vec_id % 400", "vec_id"))
+def knn_pivots(spark, sf_dir):
+    """The same with blocks left out that cannot hold a neighbour."""
+    df = vectors(spark, sf_dir)
+    return knn_classify(df.where("id % 5 <> 0"), df.where("id % 5 = 0"), search=nearest_by_pivots)
+
+
 @query("knn_text_labels", TRAIN_TEST_SQL.format(label="'class ' || CAST(b.label AS VARCHAR)", distance=(
     "pow(list_sum(list_transform(list_zip(q.e, b.e), lambda x: pow(abs(x[1] - x[2]), 3))), 1 / 3.0::DOUBLE)")).replace("vec_id % 400", "vec_id + 1"))
 def knn_text_labels(spark, sf_dir):

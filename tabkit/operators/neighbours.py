@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -16,11 +17,44 @@ from tabkit.functions.draws import fold_by_key
 BLOCK_ROWS = 1_000
 
 
+def distance_function(p: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that travels to the tasks by value, which need numpy and pandas but not this package."""
+    def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Every row of a to every row of b, summed dimension by dimension."""
+        total = np.zeros((len(a), len(b)))
+        for x, y in zip(a.T, b.T):
+            gap = x[:, None] - y[None, :]
+            total += np.abs(gap) if p == 1 else gap * gap if p == 2 else np.abs(gap) ** p
+        return total if p == 1 else np.sqrt(total) if p == 2 else total ** (1 / p)
+
+    return distances
+
+
+def block_search(k: int, p: float, same: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The k nearest rows of a block of base vectors for every row of a block of queries, likewise by value."""
+    distances = distance_function(p)
+
+    def block_nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or b.empty:
+            return pd.DataFrame({"id": q["q_id"].iloc[:0], "base_id": b["b_id"].iloc[:0], "label": b["b_label"].iloc[:0],
+                                 "distance": np.zeros(0)})
+        b = b.sort_values("b_id", ignore_index=True)
+        far = distances(np.stack(q["q_vec"]).astype("float64"), np.stack(b["b_vec"]).astype("float64"))
+        q_ids, b_ids = q["q_id"].to_numpy(), b["b_id"].to_numpy()
+        first = np.argsort(far, axis=1, kind="stable")[:, :k + same]
+        near = np.take_along_axis(far, first, axis=1)
+        found = pd.DataFrame({"id": np.repeat(q_ids, first.shape[1]), "base_id": b_ids[first].ravel(),
+                              "label": b["b_label"].to_numpy()[first].ravel(), "distance": near.ravel()})
+        return found[found["id"] != found["base_id"]] if same else found
+
+    return block_nearest
+
+
 def nearest(base: DataFrame, queries: DataFrame, k: int, p: float = 2, id_col: str = "id", vec_col: str = "vec",
             label_col: str = "label", same: bool = False) -> DataFrame:
     """The k nearest base vectors of each query: ``id``, ``rank``, ``label``, ``distance``; equal distances in
     the order of the base ids. ``p`` is the exponent of the Minkowski distance, 1 or more. With ``same``, base and queries are
-    one table and a vector is not its own neighbour. Distances that are infinite or NaN come last.
+    one table and a vector is not its own neighbour. Distances that are infinite come last, after them those that are NaN, as NULL.
 
     Base and queries are dealt into blocks of bounded size by hashing their ids, every query block meets every
     base block in a task of its own, and a task returns at most k rows per query. So neither side has to fit
@@ -40,43 +74,24 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, p: float = 2, id_col: s
     right = dealt(base.select(ref(id_col).alias("b_id"), ref(vec_col).alias("b_vec"), ref(label_col).alias("b_label")),
                   "b_id", base_blocks, "bb", "qb", query_blocks)
 
-    # both functions travel to the tasks by value, which need numpy and pandas but not this package
-    def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Every row of a to every row of b, summed dimension by dimension."""
-        total = np.zeros((len(a), len(b)))
-        for x, y in zip(a.T, b.T):
-            gap = x[:, None] - y[None, :]
-            total += np.abs(gap) if p == 1 else gap * gap if p == 2 else np.abs(gap) ** p
-        return total if p == 1 else np.sqrt(total) if p == 2 else total ** (1 / p)
-
-    def block_nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or b.empty:
-            return pd.DataFrame({"id": q["q_id"].iloc[:0], "base_id": b["b_id"].iloc[:0], "label": b["b_label"].iloc[:0],
-                                 "distance": np.zeros(0)})
-        b = b.sort_values("b_id", ignore_index=True)
-        far = distances(np.stack(q["q_vec"]).astype("float64"), np.stack(b["b_vec"]).astype("float64"))
-        q_ids, b_ids = q["q_id"].to_numpy(), b["b_id"].to_numpy()
-        first = np.argsort(far, axis=1, kind="stable")[:, :k + same]
-        near = np.take_along_axis(far, first, axis=1)
-        found = pd.DataFrame({"id": np.repeat(q_ids, first.shape[1]), "base_id": b_ids[first].ravel(),
-                              "label": b["b_label"].to_numpy()[first].ravel(), "distance": near.ravel()})
-        return found[found["id"] != found["base_id"]] if same else found
-
+    block_nearest = block_search(k, p, same)
     kinds = [left.schema["q_id"], right.schema["b_id"], right.schema["b_label"]]
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(("id", "base_id", "label"), kinds)) + ", distance double"
     blocks = left.groupBy("qb", "bb").cogroup(right.groupBy("qb", "bb"))
     found = blocks.applyInPandas(block_nearest, schema)
-    rank = F.row_number().over(W.partitionBy("id").orderBy("distance", "base_id"))
+    rank = F.row_number().over(W.partitionBy("id").orderBy(F.col("distance").asc_nulls_last(), "base_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("id", "rank", "label", "distance")
 
 
 def knn_classify(base: DataFrame, queries: DataFrame, k: int = 5, p: float = 2, weights: str = "uniform",
-                 id_col: str = "id", vec_col: str = "vec", label_col: str = "label", same: bool = False) -> DataFrame:
+                 id_col: str = "id", vec_col: str = "vec", label_col: str = "label", same: bool = False,
+                 search: Callable[..., DataFrame] = nearest) -> DataFrame:
     """Label with the largest vote among the k nearest; the smaller label on ties.
 
-    ``weights`` is "uniform" or "distance" (1/distance; exact matches outvote everything else).
+    ``weights`` is "uniform" or "distance" (1/distance; exact matches outvote everything else). ``search`` is ``nearest``, or
+    ``pivots.nearest_by_pivots`` where vectors lie in clusters.
     """
-    near = nearest(base, queries, k, p, id_col, vec_col, label_col, same)
+    near = search(base, queries, k, p, id_col, vec_col, label_col, same)
     if weights == "distance":
         exact = F.max((F.col("distance") == 0).cast("int")).over(W.partitionBy("id"))
         weight = F.when(exact == 1, (F.col("distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("distance")))
