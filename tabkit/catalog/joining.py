@@ -10,7 +10,9 @@ from tabkit.catalog.registry import GAPPY_SQL, gappy, query, rounded, table
 from tabkit.operators import joins as J
 from tabkit.operators import missing as M
 from tabkit.operators import outliers as O
+from tabkit.runtime import scratch_path
 from tabkit.sources.readers import inline
+from tabkit.sources.writers import write_bucketed
 
 
 @query("join_full_outer", f"""
@@ -75,6 +77,17 @@ def join_by_row_key(spark, sf_dir):
     return rounded(J.join_by_row_key(events.select("event_id", "value"), extra, "event_id"), 6, "twice")
 
 
+@query("join_bucketed", """
+SELECT o_orderkey, o_totalprice, CAST(count(*) AS BIGINT) AS lines, round(sum(l_quantity), 4) AS quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
+def join_bucketed(spark, sf_dir):
+    """Orders and lines, both stored by the order's key: joined and summed where they lie."""
+    orders, lines = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    write_bucketed(orders, "orders_by_key", scratch_path(spark, "bucketed"), ["o_orderkey"], 8)
+    write_bucketed(lines, "lines_by_order", scratch_path(spark, "bucketed"), ["l_orderkey"], 8)
+    joined = J.join_by_row_key(spark.table("orders_by_key"), spark.table("lines_by_order").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+    return rounded(joined.groupBy("o_orderkey", "o_totalprice").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")), 4, "quantity")
+
+
 # Surcharge by price band, the last band open-ended.
 SURCHARGES = [(0.0, 99999.99, 0.01), (100000.0, 199999.99, 0.02), (200000.0, 399999.99, 0.03), (400000.0, None, 0.05)]
 

@@ -164,3 +164,29 @@ def test_scaled_values_lie_between_zero_and_one(spark):
     df = spark.createDataFrame([(v,) for v in skewed(300, 9)], "x double")
     lo, hi = E.apply_minmax(df, E.fit_minmax(df, ["x"])).agg(F.min("x"), F.max("x")).first()
     assert lo == 0.0 and hi == pytest.approx(1.0)
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark):
+    from tabkit.runtime import scratch_path
+    from tabkit.sources.writers import write_bucketed
+    left = spark.range(1000).select("id", (F.col("id") % 7).alias("a"))
+    right = spark.range(500, 1500).select("id", (F.col("id") % 5).alias("b"))
+    for name, df in (("bucketed_left", left), ("bucketed_right", right)):
+        write_bucketed(df, name, scratch_path(spark, name), ["id"], 6)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = J.join_by_row_key(spark.table("bucketed_left"), spark.table("bucketed_right"), "id")
+        counted = joined.groupBy("id").count()
+        assert joined.count() == 500 and counted.count() == 500
+        for df in (joined, counted):
+            df.collect()
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    write_bucketed(left.limit(3), "bucketed_left", scratch_path(spark, "again"), ["id"], 2, sort=False)
+    assert spark.table("bucketed_left").count() == 3
+    for name in ("bucketed_left", "bucketed_right"):
+        spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(ValueError):
+        write_bucketed(left, "bucketed_left", scratch_path(spark, "none"), ["id"], 0)
