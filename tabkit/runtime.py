@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN: ContextVar[str | None] = ContextVar("tabkit_run", default=None)
+_OWNED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,9 +32,29 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The application's folder for intermediate results, deleted when the driver's Python ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/tabkit/{spark.sparkContext.applicationId}"
+    if path not in _OWNED:
+        _OWNED.add(path)
+        atexit.register(_delete_quietly, spark, path)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has used yet, inside the shared folder; in ``scratch`` inside the folder that it deletes."""
-    return f"{_RUN.get() or shared_dir(spark).rstrip('/') + '/tabkit'}/{label}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, inside the shared folder; in ``scratch`` inside the folder that it deletes, else in one that goes
+    with the application."""
+    return f"{_RUN.get() or _own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A path nobody has used yet for a table that outlives the application."""
+    return f"{shared_dir(spark).rstrip('/')}/tabkit/tables/{name}-{uuid.uuid4().hex}"
+
+
+def _delete_quietly(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the JVM may be gone
+        delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -58,7 +80,7 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
 
     What follows starts from stored columns: nothing before is computed twice or again after a lost executor,
     later passes read only the columns they use, and the optimizer has a short plan to work on. The files stay until
-    the ``scratch`` around the call ends, or for good without one.
+    the ``scratch`` around the call ends, or the application without one.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

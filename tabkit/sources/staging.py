@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.columns import long_form
-from tabkit.runtime import scratch_path
+from tabkit.runtime import table_path
 from tabkit.sources.readers import read_table
 from tabkit.sources.writers import write_parquet
 
@@ -25,7 +25,7 @@ def run_step(spark: SparkSession, fn: Step, inputs: Sequence[str], outputs: Sequ
     results, metrics = fn({name: read_table(spark, name) for name in inputs})
     if set(results) != set(outputs):
         raise ValueError(f"step returned {sorted(results)}, expected {sorted(outputs)}")
-    _switch(spark, {name: write_parquet(df, scratch_path(spark, name)) for name, df in results.items()})
+    _switch(spark, {name: write_parquet(df, table_path(spark, name)) for name, df in results.items()})
     for name in set(drop) - set(outputs):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return metrics
@@ -45,7 +45,7 @@ def _switch(spark: SparkSession, written: dict[str, str]) -> None:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder, let the name point to it, and read it back; a failed write leaves the old table."""
-    _switch(df.sparkSession, {name: write_parquet(df, scratch_path(df.sparkSession, name))})
+    _switch(df.sparkSession, {name: write_parquet(df, table_path(df.sparkSession, name))})
     return read_table(df.sparkSession, name)
 
 
