@@ -8,6 +8,7 @@ from tabkit.catalog.registry import GAPPY_SQL, gappy, query, rounded, table
 from tabkit.functions.numbers import code_to_label
 from tabkit.operators import metrics as X
 from tabkit.operators import stats as S
+from tabkit.operators.gram import corr_matrix_wide
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -85,6 +86,18 @@ def correlation_matrix(spark, sf_dir):
     return rounded(S.corr_matrix(gappy(spark, sf_dir), ["price", "age", "flag"]), 8, "corr")
 
 
+@query("correlation_wide", """
+WITH e AS (SELECT vec_id, unnest(range(24)) AS d, unnest(embedding[1:24]) AS x FROM embeddings),
+ g AS (SELECT vec_id, d, CASE WHEN (vec_id + d) % 7 <> 0 THEN CAST(x AS DOUBLE) + 1000 * d END AS x FROM e)
+SELECT 'v' || a.d AS column_x, 'v' || b.d AS column_y, round(CASE WHEN a.d = b.d THEN 1.0 ELSE corr(a.x, b.x) END, 6) + 0.0 AS corr
+FROM g AS a JOIN g AS b USING (vec_id) GROUP BY a.d, b.d""")
+def correlation_wide(spark, sf_dir):
+    """Many columns with gaps, far from zero."""
+    vectors = table(spark, sf_dir, "embeddings").select(*[
+        F.when((F.col("vec_id") + d) % 7 != 0, F.col("embedding")[d].cast("double") + 1000 * d).alias(f"v{d}") for d in range(24)])
+    return rounded(corr_matrix_wide(vectors, [f"v{d}" for d in range(24)]), 6, "corr")
+
+
 @query("count_distinct", per_column("SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values FROM {t}",
                                     ("l_suppkey", "l_returnflag", "l_quantity")))
 def count_distinct(spark, sf_dir):
