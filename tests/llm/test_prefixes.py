@@ -70,8 +70,8 @@ def test_every_conversation_goes_on_where_the_last_one_ended(spark, monkeypatch)
 
 
 def test_one_conversation_with_most_turns(spark, monkeypatch):
-    monkeypatch.setattr(prefixes, "CHUNK_BYTES", 50)
-    rows = [(7, t, "user", f"{t % 5}") for t in range(1400)] + [(15, t, "user", f"{t % 5}") for t in range(1100)]
+    monkeypatch.setattr(prefixes, "SLICE", 64)
+    rows = [(7, t, "user", f"{t % 5}") for t in range(350)] + [(15, t, "user", f"{t % 5}") for t in range(270)]
     df = spark.createDataFrame(rows + [(20, t, "user", f"{t % 5}") for t in range(3)], SCHEMA)
     assert sorted(map(tuple, prefixes.prefix_trie(df.repartition(3)).select("conv_id", "depth", "n_convs", "n_children", "saved_tokens", "n_leaves").collect())) == sorted(
         (r[0], r[1], r[3], r[4], r[6], r[5]) for r in brute(rows + [(20, t, "user", f"{t % 5}") for t in range(3)]))
