@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabkit.catalog.registry import GAPPY_SQL, draw_sql, gappy, query, rounded, table
 from tabkit.operators import missing as M
 from tabkit.operators import outliers as O
+from tabkit.operators.frequent import mode_table
 from tabkit.sources.readers import inline
 
 
@@ -39,6 +40,24 @@ def impute_mode(spark, sf_dir):
     return M.impute_mode(gappy(spark, sf_dir).select("id", *cols), cols)
 
 
+# Keys of which a twentieth are one value, keys as they are (none is frequent), their text with a frequent word, and a price.
+NEAR_UNIQUE = {
+    "some": "CASE WHEN l_orderkey % 20 = 3 THEN -7 ELSE l_orderkey * 10 + l_linenumber END",
+    "none": "l_orderkey",
+    "word": "CASE WHEN l_partkey % 11 < 2 THEN 'none' ELSE concat(l_orderkey, '-', l_linenumber) END",
+    "price": "CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 9 = 1 THEN 0 ELSE CAST(l_extendedprice * 100 AS BIGINT) END",
+}
+
+
+@query("mode_near_unique", " UNION ALL ".join(f"""
+(SELECT '{name}' AS column_name, CAST(v AS VARCHAR) AS value, count(*) AS n FROM (SELECT {sql} AS v FROM lineitem) WHERE v IS NOT NULL
+ GROUP BY v ORDER BY count(*) DESC, v LIMIT 1)""" for name, sql in NEAR_UNIQUE.items()))
+def mode_near_unique(spark, sf_dir):
+    """Modes of columns with almost as many values as rows."""
+    cols = table(spark, sf_dir, "lineitem").selectExpr(*[f"{sql} AS {name}" for name, sql in NEAR_UNIQUE.items()])
+    return mode_table(cols, list(NEAR_UNIQUE))
+
+
 @query("impute_mean", f"""
 WITH t AS (SELECT id, price, age FROM {GAPPY_SQL})
 SELECT id, round(coalesce(price, (SELECT avg(price) FROM t)), 4) AS price, round(coalesce(age, (SELECT avg(age) FROM t)), 4) AS age

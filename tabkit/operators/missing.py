@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tabkit.columns import float_cols, long_form, ref, replace_columns, string_cols
 from tabkit.functions.draws import bernoulli_by_key
 from tabkit.operators.features import string_index_frequency
+from tabkit.operators.frequent import most_frequent
 from tabkit.operators.joins import bands_overlap, join_band
 
 
@@ -47,20 +48,8 @@ def null_review(df: DataFrame) -> DataFrame:
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
-    """Most frequent non-NULL value of each column, the smallest on ties.
-
-    All columns are counted in one pass. Counting by (column, value) spreads the distinct values over the
-    cluster, where the built-in ``mode`` would hold all of them in one task.
-    """
-    result: dict[str, object] = {c: None for c in cols}
-    for kind in {df.schema[c].dataType.simpleString() for c in cols}:
-        alike = [c for c in cols if df.schema[c].dataType.simpleString() == kind]
-        cells = df.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("i"), ref(c).alias("value")) for i, c in enumerate(alike)])))
-        counts = cells.filter(F.col("value").isNotNull()).groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
-        best = counts.groupBy("i").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
-        result |= {alike[row["i"]]: row["value"] for row in best.collect()}
-    return result
+    """Most frequent non-NULL value of each column, the smallest on ties."""
+    return {c: None for c in cols} | {c: value for c, (value, _) in most_frequent(df, cols).items()}
 
 
 def means(df: DataFrame, exprs: dict[str, Column]) -> dict[str, float | None]:
