@@ -151,6 +151,21 @@ def perturbation_split(spark, sf_dir):
     return rounded(L.perturbation_scores(model, df, ["x"], "label", "id", 1.2, 50), 9, "accuracy")
 
 
+# The interval at 95 % is 2 * 1.959963984540054 standard errors wide.
+@query("perturbation_width", f"""
+WITH m AS ({MAJORITY_SQL}), n AS (SELECT o.*, trial, x + {noise_sql('trial', 1.2)} > 0.5 AS high FROM {ORDERS} AS o, (SELECT unnest(range(1, 41)) AS trial)),
+ s AS (SELECT CAST(trial AS INT) AS trial, avg(CAST(label = CASE WHEN high THEN (SELECT prediction FROM m WHERE x = 1) ELSE
+  (SELECT prediction FROM m WHERE x = 0) END AS DOUBLE)) AS accuracy FROM n GROUP BY trial),
+ w AS (SELECT b.ends, 2 * 1.959963984540054 * stddev_pop(s.accuracy) / sqrt(count(*)) AS width FROM s JOIN (SELECT unnest([5, 10, 15, 20, 25, 30, 35, 40]) AS ends) AS b
+  ON s.trial <= b.ends GROUP BY b.ends)
+SELECT trial, round(accuracy, 9) AS accuracy FROM s WHERE trial <= coalesce((SELECT min(ends) FROM w WHERE width <= 0.0028), 40)""")
+def perturbation_width(spark, sf_dir):
+    """Noise on the split column, by fives of trials until the mean accuracy is known to 0.0028, or forty."""
+    df = labelled(spark, sf_dir)
+    model = L.make_pipeline("decision_tree", ["x"], "label", **TREE).fit(df)
+    return rounded(L.perturbation_until(model, df, ["x"], "label", "id", 0.0028, 1.2, batch=5, most=40), 9, "accuracy")
+
+
 STRATIFIED_SQL = f"""
 SELECT *, CAST(len(list_filter([1, 2, 3, 4], lambda j: (2 * n * j + 5) // 10 < r)) AS INT) AS fold FROM (
  SELECT *, row_number() OVER (PARTITION BY label ORDER BY {draw_sql('id', repr('fold'))}, id) AS r, count(*) OVER (PARTITION BY label) AS n FROM {ORDERS})"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 from functools import reduce
+from statistics import NormalDist, pstdev
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -192,11 +194,37 @@ def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estima
     return train.sparkSession.createDataFrame(rows, LEADERBOARD)
 
 
-def perturbation_scores(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str,
-                        std: float = 1.2, trials: int = 50) -> DataFrame:
-    """Accuracy under Gaussian noise on all features, one row per trial; all trials run in one job."""
-    repeated = df.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
+def _trial_scores(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str, std: float, first: int, last: int) -> DataFrame:
+    """Accuracy of the trials ``first`` to ``last``. Rows are spread over all cores before they are repeated, by their key, so a table
+    in few files does not leave the trials to few tasks; repeated rows are never shuffled."""
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, ref(key))
+    repeated = spread.withColumn("trial", F.explode(F.sequence(F.lit(first), F.lit(last))))
     noisy = replace_columns(repeated, {c: ref(c) + normal_by_key(ref(key), std, F.concat(F.lit(f"{c}:"), F.col("trial").cast("string")))
                                        for c in cols})
     right = (F.col("prediction") == ref(label)).cast("double")
     return model.transform(noisy).groupBy("trial").agg(F.avg(right).alias("accuracy"))
+
+
+def perturbation_scores(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str,
+                        std: float = 1.2, trials: int = 50) -> DataFrame:
+    """Accuracy under Gaussian noise on all features, one row per trial; all trials run in one job."""
+    return _trial_scores(model, df, cols, label, key, std, 1, trials)
+
+
+def perturbation_until(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str, width: float,
+                       std: float = 1.2, level: float = 0.95, batch: int = 10, most: int = 200) -> DataFrame:
+    """One row per trial as ``perturbation_scores`` gives it, for as many batches of trials as it takes until the interval of the
+    mean accuracy is no wider than ``width``, and no more than ``most`` trials.
+
+    A batch is one job; the driver sees one number per trial. An empty table ends after its first batch, without rows.
+    """
+    if batch < 2 or width <= 0:
+        raise ValueError("a batch has two trials or more, and the width is above zero")
+    z, done = NormalDist().inv_cdf(0.5 + level / 2.0), []
+    while len(done) < most:
+        found = _trial_scores(model, df, cols, label, key, std, len(done) + 1, min(len(done) + batch, most)).collect()
+        done += sorted((r["trial"], r["accuracy"]) for r in found)
+        scores = [a for _, a in done if a is not None]
+        if len(scores) < len(done) or not scores or 2 * z * pstdev(scores) / math.sqrt(len(scores)) <= width:
+            break
+    return df.sparkSession.createDataFrame(done, "trial int, accuracy double")
