@@ -14,6 +14,7 @@ from tabkit.operators import splits as P
 from tabkit.operators.transformers import PairwiseProduct, Square
 
 MEASURES = ["l_quantity", "l_discount", "l_tax"]
+SPARSE = r"^\((\d+),\[([^\]]*)\],\[([^\]]*)\]\)$"  # a sparse vector as text
 
 
 def measures(spark, sf_dir):
@@ -63,9 +64,12 @@ SELECT id, cust, CAST(dense_rank() OVER (ORDER BY cust) - 1 AS DOUBLE) AS positi
 def one_hot_sparse(spark, sf_dir):
     """The place of the 1, the sum and the length of every vector."""
     out = E.one_hot_sparse(gappy(spark, sf_dir).select("id", "cust"), "cust")
-    dense = vector_to_array("cust_vector")
-    return out.select("id", "cust", (F.array_position(dense, 1.0) - 1).cast("double").alias("position"),
-                      F.aggregate(dense, F.lit(0.0), lambda a, x: a + x).alias("total"), F.size(dense).alias("size"))
+    # read from the stored places, "(size,[places],[values])": as an array every vector would be as long as there are values
+    stored = out.withColumn("_text", F.col("cust_vector").cast("string"))
+    part = lambda i, kind: F.from_json(F.concat(F.lit("["), F.regexp_extract("_text", SPARSE, i), F.lit("]")), f"array<{kind}>")
+    return stored.withColumns({"_places": part(2, "int"), "_values": part(3, "double")}).select(
+        "id", "cust", F.coalesce(F.get("_places", F.array_position("_values", 1.0).cast("int") - 1).cast("double"), F.lit(-1.0)).alias("position"),
+        F.aggregate("_values", F.lit(0.0), lambda a, x: a + x).alias("total"), F.regexp_extract("_text", SPARSE, 1).cast("int").alias("size"))
 
 
 @query("minmax_params", " UNION ALL ".join(
