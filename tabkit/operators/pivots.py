@@ -27,7 +27,8 @@ from tabkit.runtime import settle
 BLOCK_ROWS = 1_000
 PIVOTS = 64
 DRAWN = 8  # vectors drawn per pivot, of which the pivots are those that lie farthest apart
-CELLS = 4_000_000  # queries x blocks that a task looks at together
+CELLS = 1_000_000  # queries x blocks that a task looks at together
+SENT = 2**20  # numbers of vectors that a task hands over together
 
 
 def far_apart(vectors: np.ndarray, number: int, p: float) -> np.ndarray:
@@ -89,10 +90,11 @@ def visits(queries: DataFrame, blocks: pd.DataFrame, pivots: np.ndarray, p: floa
     """q_id, vec, block for every block that a query (q_id, vec, block, bound) has to visit besides its own."""
     distances = distance_function(p)
     number, cell, low, high = (blocks[c].to_numpy() for c in ("block", "cell", "low", "high"))
+    cells, sent = CELLS, SENT  # travel by value
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            step = max(1, CELLS // max(1, len(number)))
+            step = max(1, cells // max(1, len(number)))
             for begin in range(0, len(whole), step):
                 batch = whole.iloc[begin:begin + step]
                 # a column of zeros for the cell behind the last: nothing is known of it, so it is always visited
@@ -103,7 +105,11 @@ def visits(queries: DataFrame, blocks: pd.DataFrame, pivots: np.ndarray, p: floa
                 near |= cell == len(pivots)
                 near &= number != batch["block"].to_numpy()[:, None]
                 q, b = np.nonzero(near)
-                yield pd.DataFrame({"q_id": batch["q_id"].to_numpy()[q], "vec": batch["vec"].to_numpy()[q], "block": number[b]})
+                # a vector is written once per block, so a batch of queries can be many times its size
+                ids, vectors, piece = batch["q_id"].to_numpy(), batch["vec"].to_numpy(), max(1, sent // pivots.shape[1])
+                for at in range(0, len(q), piece):
+                    some = q[at:at + piece]
+                    yield pd.DataFrame({"q_id": ids[some], "vec": vectors[some], "block": number[b[at:at + piece]]})
 
     kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
     return queries.mapInPandas(task, f"q_id {kinds['q_id']}, vec {kinds['vec']}, block bigint")
