@@ -11,7 +11,7 @@ from tabkit.functions.text import extract_age_range, extract_numbers, extract_pe
 # What a page is read as, piece by piece: comments, scripts and styles, tags, text.
 PIECE = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\z)|<[^>]*(?:>|\z)|[^<]+"
 # Signs that a page holds more than plain tags and text: a tag within a tag, a comment, a script or style.
-UNEVEN = r"(?is)<[^>]*<|<!--|<(?:script|style)\b"
+UNEVEN = r"(?is)<(?:[^<>]*+<|!--|(?:script|style)\b)"  # one look at each sign, and none back
 REMOVED = r"(?is)^<(?:!--|(?:script|style)\b)"
 TAG = r"<[^>]*(?:>|\z)"
 TABLE, ROW, CELL, PLAIN_CELL = (
