@@ -4,30 +4,72 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from statistics import NormalDist, pstdev
+from threading import Lock
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.columns import ref, replace_columns
 from tabkit.functions.draws import fold_by_key, normal_by_key
+from tabkit.operators import metrics as X
 from tabkit.operators.neighbours import knn_classify
 from tabkit.operators.splits import stratified_folds
+from tabkit.runtime import scratch, spread
 
 SEED = 42
 FOLD = "_fold"
 LEADERBOARD = "place int, model string, metric string, value double, seconds double, params string"
 
+
+class _Fits:
+    """The models of a grid, in the order of their limits of iterations, for several threads at once."""
+
+    def __init__(self, estimator: LogisticRegression, dataset: DataFrame, points: Sequence[dict]):
+        self.estimator, self.dataset, self.points = estimator, dataset, points
+        self.limits = [estimator.copy(point).getMaxIter() for point in points]
+        others = [{p: v for p, v in point.items() if p.name != "maxIter"} for point in points]
+        self.group = [others.index(x) for x in others]  # points that differ in the limit alone
+        self.order, self.lock = iter(sorted(range(len(points)), key=self.limits.__getitem__)), Lock()
+        self.fitted, self.waits = {g: [] for g in self.group}, {g: Lock() for g in self.group}
+
+    def __iter__(self) -> Iterator[tuple[int, Model]]:
+        return self
+
+    def __next__(self) -> tuple[int, Model]:
+        with self.lock:
+            i = next(self.order)
+        with self.waits[self.group[i]]:
+            known = self.fitted[self.group[i]]
+            model = next((m for limit, m in known if m.summary.totalIterations < limit), None)
+            if model is None:
+                model = self.estimator.fit(self.dataset, self.points[i])
+                known.append((self.limits[i], model))
+        return i, model
+
+
+class LimitedLogisticRegression(LogisticRegression):
+    """Logistic regression that does not fit again under a higher limit of iterations what stopped below a lower one.
+
+    A limit changes nothing before it is reached: a fit that ended by its tolerance has the coefficients of any higher limit.
+    """
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, Model]]:
+        return _Fits(self, dataset, paramMaps)
+
+
 CLASSIFIERS: dict[str, Callable] = {
-    "logreg": LogisticRegression,
+    "logreg": LimitedLogisticRegression,
     "random_forest": RandomForestClassifier,
     "gbt": GBTClassifier,
     "decision_tree": DecisionTreeClassifier,
@@ -60,10 +102,28 @@ def make_pipeline(kind: str, cols: Sequence[str], label: str, before: Sequence =
     return Pipeline(stages=[*before, VectorAssembler(inputCols=list(cols), outputCol="features"), model])
 
 
+class ExactAuc(BinaryClassificationEvaluator):
+    """Exact area under the ROC curve by ``metrics.auc_roc``: scores are counted and ranked as columns, in slices, not as objects of an RDD.
+
+    As of the evaluator that it stands for, the area is 0 without positive rows, 1 without negative ones and 0.5 without any. What it stores
+    is deleted at its end.
+    """
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        score, spark = self.getRawPredictionCol(), dataset.sparkSession
+        found = vector_to_array(ref(score))[1] if isinstance(dataset.schema[score].dataType, VectorUDT) else ref(score)
+        rows = dataset.select(found.alias("s"), (ref(self.getLabelCol()) > 0.5).cast("int").alias("y"))
+        with scratch(spark):
+            area = X.auc_roc(rows, "y", "s").first()["auc"]
+        if area is None:
+            area = rows.agg(F.coalesce(F.max("y").cast("double"), F.lit(0.5))).first()[0]
+        return area
+
+
 def evaluator(metric: str, label: str, score: str = "rawPrediction"):
     """Area under the ROC curve of a score column ("auc") or share of right predictions ("accuracy")."""
     if metric == "auc":
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0)  # 0: exact
+        return ExactAuc(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0)  # 0: exact
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
@@ -138,7 +198,7 @@ def best_params(fitted: CrossValidatorModel) -> tuple[float, dict]:
 def cross_validate(df: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str, key: str, folds: int = 5,
                    metric: str = "auc", stratify: bool = False) -> tuple[CrossValidatorModel, float, dict]:
     """Grid search over keyed folds, with ``stratify`` dealt evenly by label: the fitted model, its score and its parameters."""
-    folded = with_folds(df, key, folds, label if stratify else None).persist()
+    folded = spread(with_folds(df, key, folds, label if stratify else None)).persist()
     fitted = grid_search(pipeline, grid, label, folds, metric).fit(folded)
     folded.unpersist()
     return fitted, *best_params(fitted)

@@ -11,6 +11,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 50_000
+
 _RUN: ContextVar[str | None] = ContextVar("tabkit_run", default=None)
 _OWNED: set[str] = set()
 
@@ -85,3 +87,12 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)  # a known schema spares a job over the files
+
+
+def spread(df: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """The frame dealt evenly to all cores, or to a task per so many rows if that is fewer, where its files would leave it to fewer tasks.
+
+    For stored frames that many passes read: a file with one row group is one task of every pass else. Rows are dealt in turn, not by a key.
+    """
+    n = min(df.sparkSession.sparkContext.defaultParallelism, df.count() // rows + 1)
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
