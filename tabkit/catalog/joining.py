@@ -48,8 +48,8 @@ FROM lineitem JOIN part ON l_extendedprice / l_quantity >= p_retailprice * 2
 def join_band_large(spark, sf_dir):
     bands = table(spark, sf_dir, "part").selectExpr("p_retailprice * 2 AS lo", "p_retailprice * 2.0002D AS hi", "p_partkey")
     prices = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey", "l_extendedprice / l_quantity AS price")
-    hits = J.join_band(prices, bands, "price", "inner")
-    return hits.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("hits"), F.sum("p_partkey").alias("keys"))
+    found = J.join_band(prices, bands, "price", "inner", totals=["p_partkey"])
+    return found.groupBy("l_suppkey").agg(F.sum("hits").alias("hits"), F.sum("p_partkey").alias("keys"))
 
 
 SPREAD = ["SELECT p_retailprice * 2 AS lo, p_retailprice * 2.0002 AS hi, p_partkey FROM part",
@@ -65,8 +65,8 @@ def join_band_spread(spark, sf_dir):
     bands = table(spark, sf_dir, "part").selectExpr("p_retailprice * 2 AS lo", "p_retailprice * 2.0002D AS hi", "p_partkey")
     bands = bands.unionByName(inline(spark, [(1e12, 1.1e12, -1), (0.0, 1e6, -2), (4000.0, None, -3), (5.0, 4.0, -4)], "lo double, hi double, p_partkey bigint"))
     prices = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey", "l_extendedprice / l_quantity AS price")
-    hits = J.join_band(prices, bands, "price", "inner")
-    return hits.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("hits"), F.sum("p_partkey").alias("keys"))
+    found = J.join_band(prices, bands, "price", "inner", totals=["p_partkey"])
+    return found.groupBy("l_suppkey").agg(F.sum("hits").alias("hits"), F.sum("p_partkey").alias("keys"))
 
 
 @query("join_by_row_key", """

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabkit.columns import ref
+from tabkit.runtime import settle
 
 WHOLE = 9_999  # the level of one interval that holds all numbers
 FINEST = 1_000  # intervals are between 2^-1000 and 2^1000 wide
 FEW_BANDS = 32  # bands that a row rather tests than is looked up once more
 MOST_LEVELS = 12
+ROWS_PER_SLICE = 250_000
+WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def join_full_outer(left: DataFrame, right: DataFrame, lcol: str, rcol: str) -> DataFrame:
@@ -65,10 +71,46 @@ def _levels_kept(counts: dict[int, int]) -> list[int]:
     return [level for level, _ in kept]
 
 
+def _holds_some(lo: Column, hi: Column) -> Column:
+    """Whether a band is one: it has a lower end, no end is NaN, and the upper one is not below the lower."""
+    return lo.isNotNull() & ~F.isnan(lo.cast("double")) & ~F.coalesce(F.isnan(hi.cast("double")), F.lit(False)) & (hi.isNull() | (hi >= lo))
+
+
+def _band_totals(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str, totals: Sequence[str]) -> DataFrame:
+    """Every row in a band, with ``hits`` and the sums of the columns ``totals`` over its bands.
+
+    In one order of rows and ends of bands, a band counts from its lower end on and is taken off behind its upper one, so the running sums at a row
+    are those of its bands: the work grows with rows and bands, not with the pairs that meet. Running sums are taken inside ranges of the order, to
+    which the sums of the earlier ranges are added; equal values may lie in several ranges. Ranges are stored, because a range computed anew could begin elsewhere.
+    """
+    odd = [c for c in totals if not isinstance(bands.schema[c].dataType, WHOLE_NUMBERS)]
+    if odd or "hits" in df.columns:
+        raise ValueError(f"totals are of whole numbers, not of {odd}" if odd else "df has a column hits")
+    sums = {"_n": F.lit(1)} | {f"_sum_{i}": F.coalesce(ref(c), F.lit(0)) for i, c in enumerate(totals)} | {f"_some_{i}": ref(c).isNotNull().cast("int") for i, c in enumerate(totals)}
+    end = lambda at, kind, sign: F.struct(ref(at).alias("_at"), F.lit(kind).alias("_kind"), *[(v.cast("bigint") * sign).alias(k) for k, v in sums.items()])
+    valid = bands.where(_holds_some(ref(lo), ref(hi)))
+    ends = valid.select(end(lo, 0, 1).alias("_end")).unionByName(valid.where(ref(hi).isNotNull()).select(end(hi, 2, -1).alias("_end"))).select("_end.*")
+    rows = df.where(ref(col).isNotNull() & ~F.isnan(ref(col).cast("double"))).withColumns({"_at": ref(col), "_kind": F.lit(1)})
+    placed = rows.unionByName(ends, allowMissingColumns=True).withColumn("_id", F.monotonically_increasing_id())
+    slices = (df.count() + 2 * bands.count()) // ROWS_PER_SLICE + 1
+    ranged = settle(placed.repartitionByRange(slices, "_at", "_kind", "_id").withColumn("_slice", F.spark_partition_id()), "bands")
+    by_slice = ranged.where("_kind <> 1").groupBy("_slice").agg(*[F.sum(k).alias(k) for k in sums])
+    earlier = ranged.select("_slice").distinct().join(by_slice, "_slice", "left").select(
+        F.col("_slice").alias("_of"), *[F.sum(k).over(W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)).alias(f"{k}_earlier") for k in sums])  # one row per range
+    upto = W.partitionBy("_slice").orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = ranged.withColumns({k: F.sum(k).over(upto) for k in sums}).where("_kind = 1").join(earlier, F.col("_slice") == F.col("_of"))
+    both = lambda k: F.coalesce(F.col(k), F.lit(0).cast("bigint")) + F.coalesce(F.col(f"{k}_earlier"), F.lit(0).cast("bigint"))
+    found = [F.when(both(f"_some_{i}") > 0, both(f"_sum_{i}")).alias(c) for i, c in enumerate(totals)]
+    return inside.where(both("_n") > 0).select(*[ref(c) for c in df.columns], both("_n").alias("hits"), *found)
+
+
 def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
-              eq: tuple[str, str] | None = None, lo: str = "lo", hi: str = "hi") -> DataFrame:
+              eq: tuple[str, str] | None = None, lo: str = "lo", hi: str = "hi", totals: Sequence[str] | None = None) -> DataFrame:
     """Attach the bands with lo <= col <= hi; a NULL hi is open-ended. ``eq`` = (df column, band column).
 
+    With ``totals``, for an inner join without ``eq``, every row that lies in a band comes once, with ``hits``, the number of its bands, and the
+    sums of these band columns, whole numbers, under their names. Hits are not listed then: see ``_band_totals``.
+
     Bands lie on a ladder of levels; an interval of level k is 2^k wide. A band is listed once, at the least level whose intervals are as
     wide as itself, under the one or two intervals it touches; a row is looked up under its interval of every level that occurs. So
     the join is an equality join on (level, interval, ``eq``) with the exact range test behind it, a row and a band meet at
@@ -85,10 +127,14 @@ def join_band(df: DataFrame, bands: DataFrame, col: str, how: str = "left",
         raise ValueError(f"both sides have the columns {clash}")
     if how not in ("inner", "left"):
         raise ValueError(f"{how} is neither inner nor left")
+    if totals is not None:
+        if how != "inner" or eq is not None:
+            raise ValueError("totals are those of an inner join without eq")
+        return _band_totals(df, bands, col, lo, hi, totals)
     own = {c: f"_band_{i}" for i, c in enumerate(bands.columns)}
     b_lo, b_hi = F.col(own[lo]), F.col(own[hi])
     first, last = b_lo.cast("double"), F.coalesce(b_hi.cast("double"), F.lit(float("inf")))
-    named = bands.withColumnsRenamed(own).where(b_lo.isNotNull() & ~F.isnan(first) & ~F.isnan(last) & (b_hi.isNull() | (b_hi >= b_lo)))
+    named = bands.withColumnsRenamed(own).where(_holds_some(b_lo, b_hi))
     counts = named.groupBy(_level(first, last).alias("level")).agg(F.count(F.lit(1)).alias("n"))
     levels = _levels_kept({r["level"]: r["n"] for r in counts.collect()})  # a row per power of two
     at = F.array_min(F.filter(F.array(*map(F.lit, levels)), lambda x: x >= _level(first, last)))
