@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.columns import ref, replace_columns
-from tabkit.functions.draws import fold_by_key, normal_by_key
+from tabkit.functions.draws import fold_by_key, normal_of, repeated_with_draws
 from tabkit.operators import metrics as X
 from tabkit.operators.neighbours import knn_classify
 from tabkit.operators.splits import stratified_folds
@@ -256,11 +256,11 @@ def leaderboard(train: DataFrame, test: DataFrame, contestants: dict[str, Estima
 
 def _trial_scores(model: PipelineModel, df: DataFrame, cols: Sequence[str], label: str, key: str, std: float, first: int, last: int) -> DataFrame:
     """Accuracy of the trials ``first`` to ``last``. Rows are spread over all cores before they are repeated, by their key, so a table
-    in few files does not leave the trials to few tasks; repeated rows are never shuffled."""
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, ref(key))
-    repeated = spread.withColumn("trial", F.explode(F.sequence(F.lit(first), F.lit(last))))
-    noisy = replace_columns(repeated, {c: ref(c) + normal_by_key(ref(key), std, F.concat(F.lit(f"{c}:"), F.col("trial").cast("string")))
-                                       for c in cols})
+    in few files does not leave the trials to few tasks; repeated rows are never shuffled. The draws of all columns are made batch by batch."""
+    dealt = df.repartition(df.sparkSession.sparkContext.defaultParallelism, ref(key))
+    drawn = repeated_with_draws(dealt, ref(key), cols, first, last)
+    noise = {c: ref(c) + normal_of(F.col(f"_a{i}"), F.col(f"_b{i}"), std) for i, c in enumerate(cols)}
+    noisy = replace_columns(drawn, noise).withColumnRenamed("_number", "trial").drop(*[f"_{part}{i}" for i in range(len(cols)) for part in "ab"])
     right = (F.col("prediction") == ref(label)).cast("double")
     return model.transform(noisy).groupBy("trial").agg(F.avg(right).alias("accuracy"))
 
